@@ -101,30 +101,59 @@ def safe_cast(c: Any, declared_type: Any) -> Column:
     return typed_value(to_variant(c), declared_type, "$.v")
 
 
+def _struct_field_type(declared_type: Any) -> str:
+    t = spark_type_name(declared_type)
+    return t if t in ("int", "bigint", "double", "float") else "string"
+
+
+def image_struct_type(schema: Any) -> str:
+    """DDL of the struct a row image is cast to: numeric fields as their type,
+    every other field as text (post-processed by ``typed_from_struct``)."""
+    declared = DeclaredSchema.coerce(schema)
+    parts = ["`" + f.name.replace("`", "``") + "`:" + _struct_field_type(f.type)
+             for f in declared.fields]
+    return "struct<" + ",".join(parts) + ">"
+
+
+def typed_from_struct(row: Column, field: Any) -> Column:
+    """One declared field out of an image cast with ``image_struct_type``."""
+    value = row.getField(field.name)
+    t = field.sql_type
+    if t == "boolean":
+        return F.lower(value).isin(*TRUTHY_WORDS)
+    if t in ("date", "timestamp"):
+        return value.try_cast(t)
+    return value
+
+
 def record_op(value: Any) -> Column:
     """The record's ``op`` as text; null when absent, null or the record is invalid."""
-    return variant_text(envelope(value).getField("op"))
+    return F.try_variant_get(parse_record(value), "$['op']", "string")
 
 
-def _image(part: Column, schema: Any = None) -> Column:
+def _image(value: Any, part: str, schema: Any = None) -> Column:
+    v = parse_record(value)
+    path = f"$['{part}']"
     if schema is None:
-        return F.when(~is_json_null(part), F.to_json(part))
+        img = F.try_variant_get(v, path, "variant")
+        return F.when(~is_json_null(img), F.to_json(img))
     declared = DeclaredSchema.coerce(schema)
-    st = F.struct(*[typed_value(part, f.type, json_path(f.name)).alias(f.name)
-                    for f in declared.fields])
-    return F.when(is_json_object(part), st)
+    row = F.try_variant_get(v, path, image_struct_type(declared))
+    return F.when(row.isNotNull(),
+                  F.struct(*[typed_from_struct(row, f).alias(f.name) for f in declared.fields]))
 
 
 def before_image(value: Any, schema: Any = None) -> Column:
-    """Row before the change: JSON text, or a typed struct when a schema is given."""
-    return _image(envelope(value).getField("before"), schema)
+    """Row before the change: JSON text, or a typed struct when a schema is given
+    (null when the image is absent, null or not an object)."""
+    return _image(value, "before", schema)
 
 
 def after_image(value: Any, schema: Any = None) -> Column:
     """Row after the change: JSON text, or a typed struct when a schema is given."""
-    return _image(envelope(value).getField("after"), schema)
+    return _image(value, "after", schema)
 
 
 def source_metadata(value: Any) -> Column:
     """The record's ``source`` object as ``map<string,string>``; null if not an object."""
-    return F.try_variant_get(envelope(value).getField("source"), "$", "map<string,string>")
+    return F.try_variant_get(parse_record(value), "$['source']", "map<string,string>")

@@ -14,9 +14,9 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.changes import envelope, json_path, record_op, variant_text
+from ..functions.changes import parse_record, record_op
 
-_ENV = "__tm_env"
+_V = "__tm_v"
 
 
 def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
@@ -30,14 +30,13 @@ def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
     if existing:
         raise ValueError(f"input already has columns {existing}")
     cols = [F.col(f"`{c}`") for c in df.columns]
-    env = F.col(_ENV)
-    src = env.getField("source")
-    return (df.select(*cols, envelope(F.col(value_col)).alias(_ENV))
+    v = F.col(_V)
+    return (df.select(*cols, parse_record(F.col(value_col)).alias(_V))
               .select(*cols,
-                      variant_text(env.getField("op")).alias("op"),
-                      F.try_variant_get(env.getField("ts_ms"), "$", "bigint").alias("ts_ms"),
-                      variant_text(src, json_path("table")).alias("source_table"),
-                      variant_text(src, json_path("db")).alias("source_db")))
+                      F.try_variant_get(v, "$['op']", "string").alias("op"),
+                      F.try_variant_get(v, "$['ts_ms']", "bigint").alias("ts_ms"),
+                      F.try_variant_get(v, "$['source']['table']", "string").alias("source_table"),
+                      F.try_variant_get(v, "$['source']['db']", "string").alias("source_db")))
 
 
 def filter_by_operation(df: DataFrame, operations: Iterable[str] | None, *,

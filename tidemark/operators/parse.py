@@ -9,25 +9,27 @@ malformed record is kept, with every output column null (no drop, no dead
 letter).  A well-formed record without ``op`` gets ``op = ''``; one whose
 image is null (e.g. a truncate) gets null fields and its ``op``.
 
-Plan shape: a Project computing the envelope once, a Project computing the
-well-formed flag, op and image once, and a Project reading each declared field
-from the image.  The three stay inside one whole-stage-codegen span; fields a
-later step does not use are pruned by Catalyst.
+Plan shape: one Project parses the record (a VARIANT) and reads ``op``; the
+next casts the chosen image to the declared fields in one struct cast (the
+image is navigated in place, never copied out) and computes the well-formed
+flag; the last one lays the fields out.  All three sit in one
+whole-stage-codegen span with no Python in the plan.
 """
 
 from __future__ import annotations
 
 from typing import Any, Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.changes import (
-    OP_DELETE, envelope, is_json_null, is_json_object, is_json_text, json_path,
-    typed_value, variant_text,
+    OP_DELETE, image_struct_type, is_json_text, parse_record, typed_from_struct,
 )
 from ..spec import OP_COLUMN, DeclaredSchema
 
-_ENV, _OK, _OP, _IMG = "__tm_env", "__tm_ok", "__tm_op", "__tm_img"
+_V, _OPV, _OK, _OP, _ROW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row"
+
+_EMPTY_STRUCT = "struct<>"
 
 
 def _keep(df: DataFrame, keep: Iterable[str]) -> list[str]:
@@ -38,6 +40,15 @@ def _keep(df: DataFrame, keep: Iterable[str]) -> list[str]:
     return names
 
 
+def _is_object(v: Column, path: str) -> Column:
+    return F.try_variant_get(v, path, _EMPTY_STRUCT).isNotNull()
+
+
+def _null_or_absent(v: Column, path: str) -> Column:
+    # a JSON null or a missing key reads as SQL null; anything else has text
+    return F.try_variant_get(v, path, "string").isNull()
+
+
 def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
                   keep: Iterable[str] = (), image: str = "auto") -> DataFrame:
     """Parse change records in ``value_col`` into the declared fields plus ``op``.
@@ -49,32 +60,39 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     """
     declared = DeclaredSchema.coerce(schema)
     declared.check_parse_target()
+    if image not in ("auto", "before", "after"):
+        raise ValueError(f"image must be auto, before or after: {image!r}")
     names = _keep(df, keep)
+    st = image_struct_type(declared)
 
-    step1 = df.select(*names, envelope(F.col(value_col)).alias(_ENV))
-    env = F.col(_ENV)
-    opv = env.getField("op")
+    step1 = df.select(*names, parse_record(F.col(value_col)).alias(_V))
+    v = F.col(_V)
+    opv = F.try_variant_get(v, "$['op']", "variant")
     op_is_text = is_json_text(opv)
-    op_text = variant_text(opv)
+    op_text = F.when(op_is_text, F.try_variant_get(opv, "$", "string"))
+    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP))
+
+    v, opv, op = F.col(_V), F.col(_OPV), F.col(_OP)
+    before, after = "$['before']", "$['after']"
     if image == "auto":
-        img = F.when(op_is_text & (op_text == F.lit(OP_DELETE)), env.getField("before")) \
-               .otherwise(env.getField("after"))
-    elif image in ("before", "after"):
-        img = env.getField(image)
+        is_delete = F.coalesce(op == F.lit(OP_DELETE), F.lit(False))
+        row = F.when(is_delete, F.try_variant_get(v, before, st)) \
+               .otherwise(F.try_variant_get(v, after, st))
+        img_absent = F.when(is_delete, _null_or_absent(v, before)) \
+                      .otherwise(_null_or_absent(v, after))
     else:
-        raise ValueError(f"image must be auto, before or after: {image!r}")
-
-    ok = (env.isNotNull()
-          & (opv.isNull() | op_is_text)
-          & (img.isNull() | is_json_null(img) | is_json_object(img)))
-    step2 = step1.select(*names, ok.alias(_OK),
-                         F.when(op_is_text, op_text).alias(_OP), img.alias(_IMG))
+        path = before if image == "before" else after
+        row = F.try_variant_get(v, path, st)
+        img_absent = _null_or_absent(v, path)
+    ok = (_is_object(v, "$")
+          & (opv.isNull() | op.isNotNull())
+          & (row.isNotNull() | img_absent))
+    step3 = step2.select(*names, ok.alias(_OK), op, row.alias(_ROW))
 
-    okc, imgc = F.col(_OK), F.col(_IMG)
-    out = [F.when(okc, typed_value(imgc, f.type, json_path(f.name))).alias(f.name)
-           for f in declared.fields]
-    op = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
-    return step2.select(*names, *out, op)
+    okc, rowc = F.col(_OK), F.col(_ROW)
+    out = [F.when(okc, typed_from_struct(rowc, f)).alias(f.name) for f in declared.fields]
+    op_out = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
+    return step3.select(*names, *out, op_out)
 
 
 def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
@@ -83,9 +101,9 @@ def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
     whose ``after`` is an object, whatever the op; other records are dropped."""
     declared = DeclaredSchema.coerce(schema)
     names = _keep(df, keep)
-    step1 = df.select(*names, envelope(F.col(value_col)).getField("after").alias(_IMG))
-    imgc = F.col(_IMG)
-    return (step1.filter(is_json_object(imgc))
-                 .select(*names,
-                         *[typed_value(imgc, f.type, json_path(f.name)).alias(f.name)
-                           for f in declared.fields]))
+    st = image_struct_type(declared)
+    step1 = df.select(*names, F.try_variant_get(parse_record(F.col(value_col)), "$['after']", st)
+                      .alias(_ROW))
+    rowc = F.col(_ROW)
+    return (step1.filter(rowc.isNotNull())
+                 .select(*names, *[typed_from_struct(rowc, f).alias(f.name) for f in declared.fields]))

@@ -17,9 +17,30 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame
 
+from ..session import shared_dir
 from ..spec import JobSpec
 
 
+def materialize(batch: DataFrame) -> DataFrame:
+    """Cut the lineage of a lazily parsed bounded frame before SQL runs on it.
+
+    Catalyst treats projections as cheap: a join key, an inferred not-null
+    filter or a semi join on a parsed field is pushed *below* the parse by
+    inlining the field's whole expression, so each record would be parsed
+    again for every such use.  A persisted micro-batch (the streaming path)
+    already holds parsed rows; any other bounded frame is written once as a
+    parquet table in the shared checkpoint folder and the SQL reads it back:
+    one parse per record, columnar storage, and the scan gets column pruning
+    and filter pushdown on the parsed fields.  Lost executors only retry
+    their write tasks; the written files survive them.
+    """
+    if batch.isStreaming or batch.storageLevel.useMemory or batch.storageLevel.useDisk:
+        return batch
+    path = shared_dir(batch.sparkSession, "tidemark", "staged", unique=True)
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.parquet(path)
+
+
 def run_sql(batch: DataFrame, sql: str | None, view: str) -> DataFrame:
     if not sql or not sql.strip():
         return batch
@@ -36,6 +57,10 @@ def select_columns(df: DataFrame, columns: Iterable[str] | None) -> DataFrame:
     return df.select(*[f"`{c}`" for c in wanted])
 
 
-def apply_batch(batch: DataFrame, spec: JobSpec, batch_id: int | None = None) -> DataFrame:
+def apply_batch(batch: DataFrame, spec: JobSpec, batch_id: int | None = None, *,
+                materialize_input: bool = True) -> DataFrame:
     view = spec.output.temp_view or spec.name or f"_tmp_batch_{batch_id}"
-    return select_columns(run_sql(batch, spec.output.sql, view), spec.output.columns)
+    sql = spec.output.sql
+    if materialize_input and sql and sql.strip():
+        batch = materialize(batch)
+    return select_columns(run_sql(batch, sql, view), spec.output.columns)

@@ -1,8 +1,8 @@
 """Registered queries (one per operator) and their DuckDB oracle SQL."""
 
-from . import cdc
+from . import batch_sql, cdc
 
-QUERIES = {**cdc.QUERIES}
-ORACLES = {**cdc.ORACLES}
+QUERIES = {**cdc.QUERIES, **batch_sql.QUERIES}
+ORACLES = {**cdc.ORACLES, **batch_sql.ORACLES}
 
 __all__ = ["QUERIES", "ORACLES"]

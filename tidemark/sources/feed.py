@@ -15,8 +15,12 @@ for a row with integer key ``k``:
 
 Variants for tests: ``with_op=False`` drops ``op``; ``truncate_every=n`` makes
 keys divisible by ``n`` a truncate with no image; ``malformed_every=n`` makes
-them invalid text.  Every row of the input yields exactly one record; it is a
-narrow projection (no shuffle), so it scales with the table.
+them invalid text.  Every row of the input yields exactly one record.
+
+Records are hash-partitioned by key, like a keyed CDC topic: all changes of a
+key land in one partition.  That shuffle is only added when the table arrives
+in fewer partitions than the cluster can run at once (e.g. one large row
+group); a table already split that finely stays a narrow projection.
 """
 
 from __future__ import annotations
@@ -43,11 +47,22 @@ def epoch_millis(c: Column) -> Column:
                             c.cast("timestamp_ntz"))
 
 
+def spread_by_key(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``key`` when the frame has fewer partitions than the
+    cluster's default parallelism (or than ``num_partitions`` when given)."""
+    target = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target and num_partitions is None:
+        return df
+    return df.repartition(target, F.col(f"`{key}`"))
+
+
 def change_feed(df: DataFrame, *, key: str, table: str, db: str = "tpch",
                 ts_col: str | None = None, ops: tuple[str, ...] = DEFAULT_OPS,
                 before_changes: Mapping[str, Column] | None = None,
                 with_op: bool = True, truncate_every: int | None = None,
-                malformed_every: int | None = None) -> DataFrame:
+                malformed_every: int | None = None,
+                num_partitions: int | None = None) -> DataFrame:
+    df = spread_by_key(df, key, num_partitions)
     k = F.col(f"`{key}`")
     cols = [F.col(f"`{c}`") for c in df.columns]
     op = F.element_at(F.array(*[F.lit(o) for o in ops]),

@@ -1,8 +1,8 @@
 """Registered queries (one per operator) and their DuckDB oracle SQL."""
 
-from . import batch_sql, cdc
+from . import batch_sql, cdc, streams
 
-QUERIES = {**cdc.QUERIES, **batch_sql.QUERIES}
-ORACLES = {**cdc.ORACLES, **batch_sql.ORACLES}
+QUERIES = {**cdc.QUERIES, **batch_sql.QUERIES, **streams.QUERIES}
+ORACLES = {**cdc.ORACLES, **batch_sql.ORACLES, **streams.ORACLES}
 
 __all__ = ["QUERIES", "ORACLES"]

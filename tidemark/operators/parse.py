@@ -12,8 +12,15 @@ image is null (e.g. a truncate) gets null fields and its ``op``.
 Plan shape: one Project parses the record (a VARIANT) and reads ``op``; the
 next casts the chosen image to the declared fields in one struct cast (the
 image is navigated in place, never copied out) and computes the well-formed
-flag; the last one lays the fields out.  All three sit in one
-whole-stage-codegen span with no Python in the plan.
+flag; a Generate (``inline`` of a one-row array) lays the fields out.  All of
+it sits in one whole-stage-codegen span with no Python in the plan.
+
+Why the Generate: Catalyst pushes a filter (or an inferred not-null of a join
+key, or a semi join) below a Project by inlining the projected expression,
+so a later ``filter(op == 'c')`` would parse every record again inside the
+Filter, once per reference.  A filter on a generator's output cannot move
+below the generator: the parse runs exactly once per record whatever comes
+after it.  Filters on ``keep`` columns still reach the source.
 """
 
 from __future__ import annotations
@@ -49,13 +56,25 @@ def _null_or_absent(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string").isNull()
 
 
+def _emit(row: Column, keep_row: Column | None = None) -> Column:
+    """One output row from a struct; none when ``keep_row`` is not true
+    (``inline`` of a null array emits nothing)."""
+    rows = F.array(row)
+    if keep_row is not None:
+        rows = F.when(keep_row, rows)
+    return F.inline(rows)
+
+
 def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
-                  keep: Iterable[str] = (), image: str = "auto") -> DataFrame:
+                  keep: Iterable[str] = (), image: str = "auto",
+                  operations: Iterable[str] | None = None) -> DataFrame:
     """Parse change records in ``value_col`` into the declared fields plus ``op``.
 
     ``keep`` carries input columns (e.g. a Kafka ``key``, ``partition``,
     ``offset``) in front of the declared fields.  ``image`` is ``auto``
-    (delete -> before, else after), ``before`` or ``after``.
+    (delete -> before, else after), ``before`` or ``after``.  ``operations``,
+    when given, keeps only records whose op is in the list (decided on the
+    parsed op, before any image is cast; malformed records never match).
     Works on batch and streaming frames alike.
     """
     declared = DeclaredSchema.coerce(schema)
@@ -92,7 +111,11 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     okc, rowc = F.col(_OK), F.col(_ROW)
     out = [F.when(okc, typed_from_struct(rowc, f)).alias(f.name) for f in declared.fields]
     op_out = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
-    return step3.select(*names, *out, op_out)
+    ops = [str(o) for o in (operations or [])]
+    wanted = None
+    if operations is not None:
+        wanted = okc & F.coalesce(F.col(_OP), F.lit("")).isin(*ops) if ops else F.lit(False)
+    return step3.select(*names, _emit(F.struct(*out, op_out), wanted))
 
 
 def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
@@ -105,5 +128,5 @@ def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
     step1 = df.select(*names, F.try_variant_get(parse_record(F.col(value_col)), "$['after']", st)
                       .alias(_ROW))
     rowc = F.col(_ROW)
-    return (step1.filter(rowc.isNotNull())
-                 .select(*names, *[typed_from_struct(rowc, f).alias(f.name) for f in declared.fields]))
+    typed = F.struct(*[typed_from_struct(rowc, f).alias(f.name) for f in declared.fields])
+    return step1.select(*names, _emit(typed, rowc.isNotNull()))

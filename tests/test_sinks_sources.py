@@ -1,0 +1,98 @@
+"""Table-name resolution, checkpoint paths, writes, Kafka and file options."""
+
+import pytest
+
+from tidemark import (OutputSpec, SourceSpec, checkpoint_path, console_rows, kafka_options,
+                      resolve_table_name, write_batch)
+from tidemark.sources.change_stream import file_options, read_change_batch
+
+
+def test_resolve_table_name():
+    assert resolve_table_name("a.b.c") == "a.b.c"
+    assert resolve_table_name("ns.t") == "bronze.ns.t"
+    assert resolve_table_name("t") == "bronze.bronze.t"
+    assert resolve_table_name("", job_name="job") == "bronze.bronze.job"
+    assert resolve_table_name("", table="x.y", job_name="job") == "bronze.x.y"
+    assert resolve_table_name("t", catalog="spark_catalog", namespace="default") == "spark_catalog.default.t"
+    with pytest.raises(ValueError):
+        resolve_table_name("a.b.c.d")
+    with pytest.raises(ValueError):
+        resolve_table_name("")
+
+
+def test_checkpoint_path():
+    assert checkpoint_path("s3a://bucket/", "job1") == "s3a://bucket/checkpoints/job1/main"
+    assert checkpoint_path("/x", "job1", "console") == "/x/checkpoints/job1/console"
+
+
+def test_kafka_options():
+    src = SourceSpec(kind="kafka", bootstrap_servers="b1:9092,b2:9092", topics="t1,t2",
+                     starting_offsets="earliest", max_offsets_per_trigger=1000, min_partitions=64)
+    assert kafka_options(src) == {
+        "kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "t1,t2",
+        "startingOffsets": "earliest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "1000", "minPartitions": "64"}
+    with pytest.raises(ValueError):
+        kafka_options(SourceSpec(kind="kafka"))
+
+
+def test_kafka_secure_options():
+    src = SourceSpec(kind="kafka", bootstrap_servers="b:9092", topics="t", secure=True,
+                     user="u", password='p"w')
+    opts = kafka_options(src)
+    assert opts["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    assert opts["kafka.sasl.mechanism"] == "SCRAM-SHA-256"
+    assert opts["kafka.sasl.jaas.config"] == (
+        'org.apache.kafka.common.security.scram.ScramLoginModule required '
+        'username="u" password="p\\"w";')
+    # no deserializer options: the Kafka source always delivers binary
+    assert not any("deserializer" in k for k in opts)
+
+
+def test_file_options_and_batch_read(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.json").write_text('{"after":{"x":1},"op":"c"}\n{"after":{"x":2},"op":"u"}\n')
+    src = SourceSpec(kind="files", path=str(d), max_files_per_trigger=2)
+    assert file_options(src) == {"maxFilesPerTrigger": "2"}
+    assert read_change_batch(spark, src).columns == ["value"]
+    assert read_change_batch(spark, src).count() == 2
+
+
+def test_write_batch_path_modes(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.range(5).withColumnRenamed("id", "k")
+    write_batch(df, OutputSpec(path=out))
+    write_batch(df, OutputSpec(path=out))
+    assert spark.read.parquet(out).count() == 10
+    write_batch(df.limit(2), OutputSpec(path=out, write_mode="overwrite"))
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_write_batch_idempotent_replay(spark, tmp_path):
+    out = str(tmp_path / "idem")
+    spec = OutputSpec(path=out, idempotent=True)
+    a, b = spark.range(3), spark.range(10, 14)
+    for batch_id, df in ((0, a), (1, b), (1, b), (0, a)):
+        write_batch(df, spec, batch_id=batch_id)
+    got = spark.read.parquet(out)
+    assert got.count() == 7
+    assert sorted(r._batch_id for r in got.select("_batch_id").distinct().collect()) == [0, 1]
+
+
+def test_write_batch_catalog_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze_t")
+    name = "spark_catalog.bronze_t.sink_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spec = OutputSpec(table_properties={"purpose": "test"}, distribute_by=["k"])
+    df = spark.range(4).withColumnRenamed("id", "k")
+    write_batch(df, spec, table=name)
+    write_batch(df, spec, table=name)
+    assert spark.table(name).count() == 8
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert props.get("purpose") == "test"
+
+
+def test_console_rows(spark):
+    assert console_rows(spark.range(100)).count() == 20
+    assert console_rows(spark.range(100), 5).count() == 5

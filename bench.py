@@ -27,6 +27,9 @@ from tidemark import (  # noqa: E402
 from tidemark.sources.feed import change_feed  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+# set BENCH_UDF_BASELINE=1 to also time a row-at-a-time Python UDF parse
+# (reported apart, not part of the total)
+UDF_BASELINE = os.environ.get("BENCH_UDF_BASELINE", "") == "1"
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
@@ -71,6 +74,33 @@ def noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def python_udf_parse(records):
+    """Baseline only: the same parse as a per-row Python function."""
+    import json as _json
+
+    from pyspark.sql import types as T
+
+    names = [n for n, _ in LINEITEM]
+    pytypes = {"long": T.LongType(), "int": T.LongType(), "double": T.DoubleType()}
+    st = T.StructType([T.StructField(n, pytypes.get(t, T.StringType())) for n, t in LINEITEM]
+                      + [T.StructField("op", T.StringType())])
+
+    def parse(value):
+        try:
+            rec = _json.loads(value)
+        except Exception:
+            return None
+        if not isinstance(rec, dict):
+            return None
+        op = rec.get("op", "")
+        img = rec.get("before") if op == "d" else rec.get("after")
+        if not isinstance(img, dict):
+            return tuple([None] * len(names)) + (op,)
+        return tuple(img.get(n) for n in names) + (op,)
+
+    return records.select(F.udf(parse, st)("value").alias("r")).select("r.*")
+
+
 def main() -> None:
     spark = session()
     work = shared_dir(spark, "tidemark", "bench", unique=True)
@@ -111,6 +141,10 @@ def main() -> None:
         run_job(spark, spec, available_now=True)
     queries["stream_end_to_end"] = best(stream, repeat=max(1, REPEAT - 1))
 
+    baseline = {}
+    if UDF_BASELINE:
+        baseline["parse_python_udf"] = round(best(lambda: noop(python_udf_parse(records)), 1), 3)
+
     total = sum(queries.values())
     out = {
         "metric": "total_query_time",
@@ -121,6 +155,7 @@ def main() -> None:
         "records": n_records,
         "stage_sec": round(stage_sec, 3),
         "cpus": CPUS,
+        **({"baseline": baseline} if baseline else {}),
         "sf": os.path.basename(SF_DIR).replace("sf", ""),
     }
     print(json.dumps(out))

@@ -93,20 +93,26 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
 
     v, opv, op = F.col(_V), F.col(_OPV), F.col(_OP)
     before, after = "$['before']", "$['after']"
+    is_delete = F.coalesce(op == F.lit(OP_DELETE), F.lit(False))
     if image == "auto":
-        is_delete = F.coalesce(op == F.lit(OP_DELETE), F.lit(False))
         row = F.when(is_delete, F.try_variant_get(v, before, st)) \
                .otherwise(F.try_variant_get(v, after, st))
+    else:
+        row = F.try_variant_get(v, before if image == "before" else after, st)
+    # the image cast gets a Project of its own, so it is evaluated once per
+    # record (not again inside the short-circuit of the well-formed check)
+    step3 = step2.select(*names, v, opv, op, row.alias(_ROW))
+
+    v, opv, op, rowc = F.col(_V), F.col(_OPV), F.col(_OP), F.col(_ROW)
+    if image == "auto":
         img_absent = F.when(is_delete, _null_or_absent(v, before)) \
                       .otherwise(_null_or_absent(v, after))
     else:
-        path = before if image == "before" else after
-        row = F.try_variant_get(v, path, st)
-        img_absent = _null_or_absent(v, path)
+        img_absent = _null_or_absent(v, before if image == "before" else after)
     ok = (_is_object(v, "$")
           & (opv.isNull() | op.isNotNull())
-          & (row.isNotNull() | img_absent))
-    step3 = step2.select(*names, ok.alias(_OK), op, row.alias(_ROW))
+          & (rowc.isNotNull() | img_absent))
+    step3 = step3.select(*names, ok.alias(_OK), op, rowc)
 
     okc, rowc = F.col(_OK), F.col(_ROW)
     out = [F.when(okc, typed_from_struct(rowc, f)).alias(f.name) for f in declared.fields]

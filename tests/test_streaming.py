@@ -142,3 +142,48 @@ def test_processing_time_trigger_runs_until_stopped(spark, tmp_path):
         assert q.isActive and q.name == "streaming_changes"
     finally:
         q.stop()
+
+
+def test_empty_batch_is_skipped(spark, tmp_path):
+    from tidemark import BatchHandler
+    out = tmp_path / "never"
+    handler = BatchHandler(JobSpec(name="changes", output=OutputSpec(path=str(out), sql="select 1 as x")))
+    empty = parse_changes(spark.createDataFrame([], "value string"), SCHEMA)
+    handler(empty, 0)
+    assert not out.exists()
+
+
+def test_session_conf_from_spec(spark, tmp_path):
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 1)
+    spec = job(tmp)
+    spec.spark.min_batches_to_retain = 7
+    spec.spark.shuffle_partitions = 5
+    run_job(spark, spec, available_now=True)
+    assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "7"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "true"
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_batch_error_stops_the_query(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+    import pytest
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 1)
+    with pytest.raises(StreamingQueryException):
+        run_job(spark, job(tmp, sql="select no_such_column from changes"), available_now=True)
+
+
+def test_windows_and_functions_in_batch_sql(spark, tmp_path):
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 2)
+    spec = job(tmp, sql=("select id, op, twice(cast(id as int)) as id2, "
+                         "row_number() over (partition by op order by id desc) as rn from changes"))
+    spec.functions = {"twice": "(x INT) RETURNS INT RETURN x * 2"}
+    run_job(spark, spec, available_now=True)
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(rows) == 50 and all(r.id2 == 2 * r.id for r in rows)
+    # one file per micro-batch: the window restarts in every batch
+    firsts = sorted(r.id for r in rows if r.rn == 1)
+    assert len(firsts) == 6

@@ -64,3 +64,17 @@ def test_no_python_in_plans(spark):
         p = plan_text(q)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
         assert "[codegen id" in p
+
+
+def test_typed_image_with_post_processed_fields(spark):
+    import datetime as dt
+    df = spark.createDataFrame([
+        ('{"before":{"flag":"YES","at":"2024-05-06T07:08:09","n":"3"},"op":"d"}',),
+        ('{"before":"text","op":"d"}',),
+        ('{"op":"c"}',)], "value string")
+    schema = [("flag", "boolean"), ("at", "timestamp"), ("n", "int")]
+    rows = df.select(before_image("value", schema).alias("b")).select("b.*").collect()
+    assert tuple(rows[0]) == (True, dt.datetime(2024, 5, 6, 7, 8, 9), 3)
+    assert tuple(rows[1]) == (None, None, None) and tuple(rows[2]) == (None, None, None)
+    p = plan_text(df.select(before_image("value", schema).alias("b")).select("b.*"))
+    assert "BatchEvalPython" not in p

@@ -139,8 +139,15 @@ def _image(value: Any, part: str, schema: Any = None) -> Column:
         return F.when(~is_json_null(img), F.to_json(img))
     declared = DeclaredSchema.coerce(schema)
     row = F.try_variant_get(v, path, image_struct_type(declared))
-    return F.when(row.isNotNull(),
-                  F.struct(*[typed_from_struct(row, f).alias(f.name) for f in declared.fields]))
+    if all(f.sql_type in ("int", "bigint", "double", "float", "string") for f in declared.fields):
+        return row  # the struct cast already is the typed image (null if not an object)
+
+    # post-processed fields: bind the cast once (a lambda variable), so the
+    # record is not parsed again for every field that reads it
+    def typed(r: Column) -> Column:
+        return F.when(r.isNotNull(),
+                      F.struct(*[typed_from_struct(r, f).alias(f.name) for f in declared.fields]))
+    return F.transform(F.array(row), typed).getItem(0)
 
 
 def before_image(value: Any, schema: Any = None) -> Column:

@@ -44,12 +44,20 @@ def shared_root(spark: SparkSession) -> str:
     our own made and set, so lineage cuts and stream state never land on a
     machine-local path on a cluster.
     """
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no SparkContext handle
+        sc = None
+    root = (sc.getCheckpointDir() if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     root = tempfile.mkdtemp(prefix="tidemark-state-")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        return (sc.getCheckpointDir() or root).rstrip("/")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:

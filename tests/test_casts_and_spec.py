@@ -41,7 +41,7 @@ def test_job_spec_from_dict():
         "spark": {"trigger_interval": "5 seconds"},
     })
     assert spec.name == "j1" and spec.view_name == "j1"
-    assert spec.spark.trigger_interval == "5 seconds" and spec.spark.shuffle_partitions == 6
+    assert spec.spark.trigger_interval == "5 seconds" and spec.spark.shuffle_partitions is None
     assert "secret" not in repr(spec.source)
     with pytest.raises(ValueError):
         JobSpec.from_dict({"output": {"no_such_key": 1}})

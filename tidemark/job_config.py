@@ -47,7 +47,7 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
         raise ValueError(f"data_format {data_format!r}: only JSON change records are read")
 
     spark = SparkSettings(
-        shuffle_partitions=int(sp.get("shuffle_partitions", 6)),
+        shuffle_partitions=int(sp["shuffle_partitions"]) if sp.get("shuffle_partitions") else None,
         trigger_interval=str(sp.get("trigger_interval", "1 seconds")),
         min_batches_to_retain=int(sp.get("min_batches_to_retain", 5)),
         no_data_progress_event_interval=int(sp.get("no_data_progress_event_interval", 100000)),

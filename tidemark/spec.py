@@ -147,7 +147,6 @@ def _from_mapping(cls, data: Mapping[str, Any] | None):
 # Defaults of a job (trigger, retention, intake limit, write
 # mode, catalog and namespace of the target table, console preview rows).
 DEFAULT_TRIGGER = "1 seconds"
-DEFAULT_SHUFFLE_PARTITIONS = 6
 DEFAULT_MIN_BATCHES_TO_RETAIN = 5
 DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS = 100000
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 1000
@@ -160,7 +159,10 @@ DEFAULT_CONSOLE_ROWS = 20
 
 @dataclass
 class SparkSettings:
-    shuffle_partitions: int | None = DEFAULT_SHUFFLE_PARTITIONS
+    # None leaves the session's shuffle-partition count alone: a fixed small
+    # count would starve per-batch joins and aggregates on a large cluster
+    # (AQE coalesces a generous count down to the data).
+    shuffle_partitions: int | None = None
     trigger_interval: str = DEFAULT_TRIGGER
     min_batches_to_retain: int = DEFAULT_MIN_BATCHES_TO_RETAIN
     no_data_progress_event_interval: int = DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS

@@ -81,3 +81,13 @@ def test_after_only(spark):
     assert 1 not in got and 2 not in got and 6 not in got and 7 not in got and 8 not in got
     assert 10 not in got
     assert got[18] == (4, None)
+
+
+def test_odd_field_and_column_names(spark):
+    df = spark.createDataFrame(
+        [("k1", '{"after":{"a.b":1,"with space":"x","it`s":true},"op":"c"}')],
+        "`kafka.key` string, `the value` string")
+    schema = [("a.b", "int"), ("with space", "string"), ("it`s", "boolean")]
+    out = parse_changes(df, schema, value_col="the value", keep=["kafka.key"])
+    assert out.columns == ["kafka.key", "a.b", "with space", "it`s", "op"]
+    assert tuple(out.first()) == ("k1", 1, "x", True, "c")

@@ -31,7 +31,7 @@ def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
         raise ValueError(f"input already has columns {existing}")
     cols = [F.col(f"`{c}`") for c in df.columns]
     v = F.col(_V)
-    return (df.select(*cols, parse_record(F.col(value_col)).alias(_V))
+    return (df.select(*cols, parse_record(F.col("`" + value_col.replace("`", "``") + "`")).alias(_V))
               .select(*cols,
                       F.try_variant_get(v, "$['op']", "string").alias("op"),
                       F.try_variant_get(v, "$['ts_ms']", "bigint").alias("ts_ms"),
@@ -49,4 +49,4 @@ def filter_by_operation(df: DataFrame, operations: Iterable[str] | None, *,
     ops = [str(o) for o in (operations or [])]
     if not ops:
         return df
-    return df.filter(record_op(F.col(value_col)).isin(*ops))
+    return df.filter(record_op(F.col("`" + value_col.replace("`", "``") + "`")).isin(*ops))

@@ -39,12 +39,16 @@ _V, _OPV, _OK, _OP, _ROW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row
 _EMPTY_STRUCT = "struct<>"
 
 
-def _keep(df: DataFrame, keep: Iterable[str]) -> list[str]:
+def _keep(df: DataFrame, keep: Iterable[str]) -> list[Column]:
     names = list(keep or ())
     missing = [c for c in names if c not in df.columns]
     if missing:
         raise ValueError(f"columns to keep not in input: {missing}")
-    return names
+    return [_quoted(c) for c in names]
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def _is_object(v: Column, path: str) -> Column:
@@ -84,7 +88,7 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     names = _keep(df, keep)
     st = image_struct_type(declared)
 
-    step1 = df.select(*names, parse_record(F.col(value_col)).alias(_V))
+    step1 = df.select(*names, parse_record(_quoted(value_col)).alias(_V))
     v = F.col(_V)
     opv = F.try_variant_get(v, "$['op']", "variant")
     op_is_text = is_json_text(opv)
@@ -131,7 +135,7 @@ def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
     declared = DeclaredSchema.coerce(schema)
     names = _keep(df, keep)
     st = image_struct_type(declared)
-    step1 = df.select(*names, F.try_variant_get(parse_record(F.col(value_col)), "$['after']", st)
+    step1 = df.select(*names, F.try_variant_get(parse_record(_quoted(value_col)), "$['after']", st)
                       .alias(_ROW))
     rowc = F.col(_ROW)
     typed = F.struct(*[typed_from_struct(rowc, f).alias(f.name) for f in declared.fields])

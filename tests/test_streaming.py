@@ -187,3 +187,19 @@ def test_windows_and_functions_in_batch_sql(spark, tmp_path):
     # one file per micro-batch: the window restarts in every batch
     firsts = sorted(r.id for r in rows if r.rn == 1)
     assert len(firsts) == 6
+
+
+def test_progress_log_reports_rows_per_batch(spark, tmp_path):
+    import time
+    from tidemark.streaming import ProgressLog
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 3)
+    progress = ProgressLog()
+    run_job(spark, job(tmp), available_now=True, progress=progress)
+    deadline = time.time() + 10  # listener events arrive asynchronously
+    while sum(b["rows"] for b in progress.batches) < 75 and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(progress)
+    with_rows = [b for b in progress.batches if b["rows"]]
+    assert sum(b["rows"] for b in with_rows) == 75
+    assert all(int(b["metrics"]["cdc_rows"]["rows"]) == b["rows"] for b in with_rows)

@@ -1,3 +1,3 @@
-from .runner import BatchHandler, register_lookup_tables, run_job, start_job
+from .runner import BatchHandler, ProgressLog, register_lookup_tables, run_job, start_job
 
-__all__ = ["BatchHandler", "register_lookup_tables", "run_job", "start_job"]
+__all__ = ["BatchHandler", "ProgressLog", "register_lookup_tables", "run_job", "start_job"]

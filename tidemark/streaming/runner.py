@@ -20,7 +20,7 @@ import logging
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.phone import register_functions
 from ..plans.batch import apply_batch
@@ -65,6 +65,34 @@ class BatchHandler:
             batch.unpersist()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Logs each micro-batch's input rows and the parse metrics (rows, rows per
+    op, malformed) from the query's progress: no extra job, no action."""
+
+    def __init__(self, names: set[str] | None = None):
+        self.names = names
+        self.batches: list[dict] = []
+        self.registered = False
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if self.names is not None and p.name not in self.names:
+            return
+        metrics = {k: dict(v.asDict()) for k, v in (p.observedMetrics or {}).items()}
+        entry = {"name": p.name, "batch": p.batchId, "rows": p.numInputRows, "metrics": metrics}
+        self.batches.append(entry)
+        log.info("[%s batch=%s] %s rows %s", p.name, p.batchId, p.numInputRows, metrics)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def query_name(spec: JobSpec) -> str:
     prefix = "console_" if spec.output.sink == "console" else "streaming_"
     return prefix + spec.name
@@ -77,10 +105,17 @@ def job_checkpoint(spark: SparkSession, spec: JobSpec) -> str:
     return checkpoint_path(root, spec.name, "console" if spec.output.sink == "console" else "main")
 
 
-def start_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False) -> StreamingQuery:
+def start_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False,
+              progress: ProgressLog | None = None) -> StreamingQuery:
     """Start the job's query.  ``available_now`` processes what the source holds
-    now (still in rate-limited micro-batches) and stops: tests and backfills."""
+    now (still in rate-limited micro-batches) and stops: tests and backfills.
+    ``progress`` (a ``ProgressLog``) is registered for this query's batches."""
     prepare_session(spark, spec)
+    if progress is not None:
+        progress.names = (progress.names or set()) | {query_name(spec)}
+        if not progress.registered:  # events arrive asynchronously: the caller
+            spark.streams.addListener(progress)  # removes it when done with it
+            progress.registered = True
     register_functions(spark, spec.functions, spec.phone_country_code)
     register_lookup_tables(spark, spec.lookup_tables)
     table = None
@@ -100,11 +135,12 @@ def start_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False
     return q
 
 
-def run_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False) -> StreamingQuery:
+def run_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False,
+            progress: ProgressLog | None = None) -> StreamingQuery:
     """Start and wait.  An error in a batch stops the query and is raised here.
     After a bounded run the target table's file list is refreshed, so readers
     in this session see the new rows."""
-    q = start_job(spark, spec, available_now=available_now)
+    q = start_job(spark, spec, available_now=available_now, progress=progress)
     q.awaitTermination()
     if spec.output.sink == "table" and not spec.output.path:
         spark.catalog.refreshTable(table_for(spec))

@@ -34,7 +34,7 @@ OP_DELETE = "d"
 OP_TRUNCATE = "t"
 
 _ENVELOPE = "struct<op:variant,before:variant,after:variant,source:variant,ts_ms:variant>"
-_OBJECT_PROBE = "struct<o:variant>"
+_EMPTY_STRUCT = "struct<>"
 
 
 def _col(c: Any) -> Column:
@@ -65,8 +65,9 @@ def is_json_null(v: Column) -> Column:
 
 
 def is_json_object(v: Column) -> Column:
-    """True when the variant holds a JSON object (a one-key lookup, not a walk)."""
-    return F.try_variant_get(v, "$", _OBJECT_PROBE).isNotNull()
+    """True when the variant holds a JSON object (a cast to an empty struct: a
+    type check, not a walk over the object)."""
+    return F.try_variant_get(v, "$", _EMPTY_STRUCT).isNotNull()
 
 
 def is_json_text(v: Column) -> Column:

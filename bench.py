@@ -114,7 +114,8 @@ def main() -> None:
     feed.write.mode("overwrite").parquet(f"{work}/feed")
     records = spark.read.parquet(f"{work}/feed")
     n_records = records.count()
-    records.select("value").write.mode("overwrite").text(f"{work}/stream_in")
+    # two micro-batches' worth of files: one file per core per trigger
+    records.select("value").repartition(2 * CPUS).write.mode("overwrite").text(f"{work}/stream_in")
     stage_sec = time.perf_counter() - t0
 
     queries: dict[str, float] = {}
@@ -135,7 +136,7 @@ def main() -> None:
         run_dir = shared_dir(spark, "tidemark", "bench", "stream", unique=True)
         spec = JobSpec(
             name="lineitem_changes", schema=LINEITEM,
-            source=SourceSpec(kind="files", path=f"{work}/stream_in", max_files_per_trigger=4),
+            source=SourceSpec(kind="files", path=f"{work}/stream_in", max_files_per_trigger=CPUS),
             output=OutputSpec(path=f"{run_dir}/out"),
             checkpoint_location=f"{run_dir}/checkpoint")
         run_job(spark, spec, available_now=True)

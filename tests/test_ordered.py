@@ -44,3 +44,18 @@ def test_hot_key_is_split_across_tasks(spark, hot):
     per_task = (got.filter(F.col("k") == 7)
                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
     assert len(per_task) > 1  # the hot key is not processed by a single task
+
+
+def test_correct_without_exchange_reuse(spark, hot):
+    """Both steps read one written range assignment, so a second evaluation of
+    the range exchange (no reuse, no AQE) cannot change the answer."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = running_totals(hot, ["k"], [F.desc("v"), "id"], num_partitions=13)
+        w = Window.partitionBy("k").orderBy(F.desc("v"), "id")
+        want = hot.withColumn("position", F.row_number().over(w))
+        assert got.select("id", "position").exceptAll(want.select("id", "position")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -7,7 +7,10 @@ task a third of the job.  Here the work is split by position instead:
 
 1. ``repartitionByRange`` on (key, order): the range bounds come from a sample
    of (key, order) values, so a hot key is cut into many contiguous pieces,
-   one per range partition;
+   one per range partition.  The rows, tagged with their range partition, are
+   written once as parquet in the shared checkpoint folder: both later steps
+   read the same assignment (a range exchange computed twice may sample
+   different bounds), and lost executors cannot change it;
 2. a window over (range partition, key) numbers and sums each piece; every
    such group is at most one range partition, so the tasks stay balanced;
 3. a per-partition summary (at most one row per range partition: its first
@@ -28,6 +31,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import shared_dir
+
 _PID, _LRN, _LSUM, _KEY = "__tm_pid", "__tm_lrn", "__tm_lsum", "__tm_key"
 
 
@@ -47,9 +52,11 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     order_cols = [_c(o) for o in order]
     val = _c(value).cast("double") if value else F.lit(0.0)
 
-    ranged = (df.repartitionByRange(n, *key_cols, *order_cols)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_KEY, F.struct(*key_cols)))
+    path = shared_dir(spark, "tidemark", "ordered", unique=True)
+    (df.repartitionByRange(n, *key_cols, *order_cols)
+       .withColumn(_PID, F.spark_partition_id())
+       .write.mode("overwrite").parquet(path))
+    ranged = spark.read.parquet(path).withColumn(_KEY, F.struct(*key_cols))
     piece = Window.partitionBy(_PID, *key_cols).orderBy(*order_cols)
     local = (ranged.withColumn(_LRN, F.row_number().over(piece))
                    .withColumn(_LSUM, F.sum(val).over(

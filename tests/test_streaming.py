@@ -203,3 +203,16 @@ def test_progress_log_reports_rows_per_batch(spark, tmp_path):
     with_rows = [b for b in progress.batches if b["rows"]]
     assert sum(b["rows"] for b in with_rows) == 75
     assert all(int(b["metrics"]["cdc_rows"]["rows"]) == b["rows"] for b in with_rows)
+
+
+def test_lookup_tables_visible_in_micro_batches(spark, tmp_path):
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 2)
+    spark.createDataFrame([("c", "create"), ("u", "update"), ("d", "delete")], "op string, label string") \
+        .write.parquet(f"{tmp}/ops")
+    spec = job(tmp, sql="select c.id, o.label from changes c join op_labels o on c.op = o.op")
+    spec.lookup_tables = {"op_labels": f"{tmp}/ops"}
+    run_job(spark, spec, available_now=True)
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(rows) == 50
+    assert {r.label for r in rows} == {"create", "update", "delete"}

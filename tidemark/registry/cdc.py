@@ -19,6 +19,7 @@ from .common import (
 )
 
 OP = op_sql("o_orderkey")
+IS_DELETE = f"{OP} = 'd'"
 ORDERS_SELECT = ", ".join(ORDERS_COLS)
 
 
@@ -186,7 +187,7 @@ ORACLES = {
         f"SELECT {_nulls_when('o_orderkey % 10 = 0', ORDERS_COLS)}, "
         f"CASE WHEN o_orderkey % 10 = 0 THEN 't' ELSE {OP} END AS op FROM orders"),
     "cdc_parse_missing_op": (
-        f"SELECT {_nulls_when('o_orderkey % 4 = 2', ORDERS_COLS)}, '' AS op FROM orders"),
+        f"SELECT {_nulls_when(IS_DELETE, ORDERS_COLS)}, '' AS op FROM orders"),
     "cdc_typed_customer": (
         "SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS FLOAT) AS c_acctbal, c_mktsegment, "
         "c_custkey % 3 = 0 AS c_active, "
@@ -213,29 +214,29 @@ ORACLES = {
         "'orders' AS source_table, 'tpch' AS source_db FROM orders"),
     "cdc_filter_upserts": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT}, {OP} AS op "
-        "FROM orders WHERE o_orderkey % 4 IN (0, 1)"),
+        f"FROM orders WHERE {OP} IN ('c', 'u')"),
     "cdc_filter_empty_list": "SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders",
     "cdc_record_op": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, "
         f"CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {OP} END AS op FROM orders"),
     "cdc_before_image": (
         "SELECT CAST(o_orderkey AS VARCHAR) AS key, "
-        "CASE WHEN o_orderkey % 4 IN (1, 2) THEN o_orderkey END AS o_orderkey, "
-        "CASE o_orderkey % 4 WHEN 1 THEN o_totalprice - 1.0 WHEN 2 THEN o_totalprice END AS o_totalprice, "
-        "CASE o_orderkey % 4 WHEN 1 THEN 'O' WHEN 2 THEN o_orderstatus END AS o_orderstatus "
+        f"CASE WHEN {OP} IN ('u', 'd') THEN o_orderkey END AS o_orderkey, "
+        f"CASE {OP} WHEN 'u' THEN o_totalprice - 1.0 WHEN 'd' THEN o_totalprice END AS o_totalprice, "
+        f"CASE {OP} WHEN 'u' THEN 'O' WHEN 'd' THEN o_orderstatus END AS o_orderstatus "
         "FROM orders"),
     "cdc_after_image": (
         "SELECT CAST(o_orderkey AS VARCHAR) AS key, "
-        "CASE WHEN o_orderkey % 4 <> 2 THEN o_orderkey END AS o_orderkey, "
-        "CASE WHEN o_orderkey % 4 <> 2 THEN o_totalprice END AS o_totalprice, "
-        "CASE WHEN o_orderkey % 4 <> 2 THEN o_orderstatus END AS o_orderstatus, "
-        "o_orderkey % 4 = 2 AS no_after_text FROM orders"),
+        f"CASE WHEN {OP} <> 'd' THEN o_orderkey END AS o_orderkey, "
+        f"CASE WHEN {OP} <> 'd' THEN o_totalprice END AS o_totalprice, "
+        f"CASE WHEN {OP} <> 'd' THEN o_orderstatus END AS o_orderstatus, "
+        f"{OP} = 'd' AS no_after_text FROM orders"),
     "cdc_source_meta": (
         "SELECT CAST(o_orderkey AS VARCHAR) AS key, 'tpch' AS source_db, 'orders' AS source_table "
         "FROM orders"),
     "cdc_after_only": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT} FROM orders "
-        "WHERE o_orderkey % 4 <> 2"),
+        f"WHERE {OP} <> 'd'"),
     "conform_declared": (
         "SELECT p_partkey, CAST(trunc(p_retailprice) AS INTEGER) AS p_retailprice, p_name, "
         "CAST(p_size AS VARCHAR) AS p_size, CAST(NULL AS VARCHAR) AS p_comment, p_brand, "

@@ -144,11 +144,12 @@ _ROWS = f"SELECT {', '.join(ORDERS_COLS)}, {OP} AS op FROM orders"
 ORACLES = {
     "stream_append": _ROWS,
     "stream_sql": (f"SELECT o_orderkey, o_custkey, o_totalprice, {OP} AS op FROM orders "
-                   "WHERE o_orderkey % 4 <> 2 AND o_totalprice > 50000"),
+                   f"WHERE {OP} <> 'd' AND o_totalprice > 50000"),
     "stream_batch_counts": f"SELECT {OP} AS op, count(*) AS n FROM orders GROUP BY 1",
     "stream_restart": _ROWS,
-    "stream_overwrite": _ROWS + " WHERE o_orderkey % 4 = 3",
+    # the last file set holds the snapshot reads ('r'): the table keeps those
+    "stream_overwrite": _ROWS + f" WHERE {OP} = 'r'",
     "stream_idempotent": (f"SELECT {', '.join(ORDERS_COLS)}, {OP} AS op, "
-                          "CASE WHEN o_orderkey % 4 IN (0, 1) THEN 0 ELSE 1 END AS _batch_id FROM orders"),
+                          f"CASE WHEN {OP} IN ('c', 'u') THEN 0 ELSE 1 END AS _batch_id FROM orders"),
     "console_preview": _ROWS + " ORDER BY o_orderkey LIMIT 20",
 }

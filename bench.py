@@ -24,7 +24,9 @@ from tidemark import (  # noqa: E402
     JobSpec, OutputSpec, SourceSpec, apply_batch, filter_by_operation, lift_metadata,
     parse_changes, prepare_session, run_job, shared_dir,
 )
+from tidemark.operators.ordered import running_totals  # noqa: E402
 from tidemark.sources.feed import change_feed  # noqa: E402
+from tidemark.streaming.runner import register_lookup_tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 # set BENCH_UDF_BASELINE=1 to also time a row-at-a-time Python UDF parse
@@ -40,6 +42,11 @@ LINEITEM = [
     ("l_linestatus", "string"), ("l_shipdate", "timestamp"),
 ]
 
+JOIN_SQL = (
+    "select p.p_brand, c.op, count(*) as n, sum(c.l_extendedprice) as revenue "
+    "from lineitem_changes c join dim_part p on c.l_partkey = p.p_partkey "
+    "where c.op <> 'd' group by p.p_brand, c.op")
+
 Q1_SQL = (
     "select op, l_returnflag, l_linestatus, count(*) as n, sum(l_quantity) as sum_qty, "
     "sum(l_extendedprice * (1 - l_discount)) as revenue, avg(l_discount) as avg_disc "
@@ -132,6 +139,19 @@ def main() -> None:
         apply_batch(parse_changes(records, LINEITEM), job).collect()
     queries["sql_aggregate"] = best(sql_q1)
 
+    register_lookup_tables(spark, {"dim_part": f"{SF_DIR}/part.parquet"})
+
+    def sql_join():
+        job = JobSpec(name="lineitem_changes", output=OutputSpec(sql=JOIN_SQL))
+        apply_batch(parse_changes(records, LINEITEM), job).collect()
+    queries["sql_join_lookup"] = best(sql_join)
+
+    def running():
+        parsed = parse_changes(records, LINEITEM)
+        noop(running_totals(parsed, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber"],
+                            "l_quantity"))
+    queries["running_totals"] = best(running)
+
     def stream():
         run_dir = shared_dir(spark, "tidemark", "bench", "stream", unique=True)
         spec = JobSpec(

@@ -14,9 +14,9 @@ task a third of the job.  Here the work is split by position instead:
 2. a window over (range partition, key) numbers and sums each piece; every
    such group is at most one range partition, so the tasks stay balanced;
 3. a per-partition summary (at most one row per range partition: its first
-   key, its last key and the last key's local count and sum) gives, by a
-   window over that small frame, the carry a piece inherits from the pieces of
-   the same key in earlier partitions;
+   key, its last key and the last key's count and sum, from hash aggregates
+   with map-side combine) gives, by a window over that small frame, the carry
+   a piece inherits from the pieces of the same key in earlier partitions;
 4. the carry is broadcast (its size is bounded by the number of range
    partitions, not by the data) and added to the rows of each partition's
    first key.
@@ -31,6 +31,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..plans.batch import materialize
 from ..session import shared_dir
 
 _PID, _LRN, _LSUM, _KEY = "__tm_pid", "__tm_lrn", "__tm_lsum", "__tm_key"
@@ -52,8 +53,11 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     order_cols = [_c(o) for o in order]
     val = _c(value).cast("double") if value else F.lit(0.0)
 
+    # range partitioning samples its input in a separate pass: a lazily parsed
+    # input is written once first, so the parse is not run twice
+    src = materialize(df)
     path = shared_dir(spark, "tidemark", "ordered", unique=True)
-    (df.repartitionByRange(n, *key_cols, *order_cols)
+    (src.repartitionByRange(n, *key_cols, *order_cols)
        .withColumn(_PID, F.spark_partition_id())
        .write.mode("overwrite").parquet(path))
     ranged = spark.read.parquet(path).withColumn(_KEY, F.struct(*key_cols))
@@ -62,12 +66,14 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
                    .withColumn(_LSUM, F.sum(val).over(
                        piece.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
-    # one row per range partition
-    summary = local.groupBy(_PID).agg(
+    # one row per range partition, from hash aggregates of the written rows
+    # (no sort): count and sum per (partition, key), then per partition its
+    # first and last key and the last key's count and sum
+    per_key = ranged.groupBy(_PID, _KEY).agg(F.count(F.lit(1)).alias("n"), F.sum(val).alias("s"))
+    summary = per_key.groupBy(_PID).agg(
         F.min(_KEY).alias("first_key"),
         F.max(_KEY).alias("last_key"),
-        F.max_by(F.struct(F.col(_LRN).alias("n"), F.col(_LSUM).alias("s")),
-                 F.struct(F.col(_KEY), F.col(_LRN))).alias("tail"))
+        F.max_by(F.struct("n", "s"), F.col(_KEY)).alias("tail"))
     by_pid = Window.orderBy(_PID)
     runs = (summary
             .withColumn("run", F.sum(F.when(

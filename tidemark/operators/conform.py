@@ -10,10 +10,29 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from ..functions.changes import safe_cast
-from ..spec import DeclaredSchema
+from ..functions.changes import TRUTHY_WORDS, safe_cast
+from ..spec import DeclaredField, DeclaredSchema
+
+
+def _conformed(col: Column, source: T.DataType, field: DeclaredField) -> Column:
+    """The declared-type rules, with the exact shortcuts a known source type
+    allows: same type passes through, text reads directly as text, boolean,
+    date or timestamp; everything else goes through the shared rules."""
+    target = field.spark_type
+    if source == target:
+        return col
+    if isinstance(source, T.StringType):
+        t = field.sql_type
+        if t == "string":
+            return col
+        if t == "boolean":
+            return F.lower(col).isin(*TRUTHY_WORDS)
+        if t in ("date", "timestamp"):
+            return col.try_cast(t)
+    return safe_cast(col, field.type)
 
 
 def conform(df: DataFrame, schema: Any, *, case_sensitive: bool = True) -> DataFrame:
@@ -25,5 +44,5 @@ def conform(df: DataFrame, schema: Any, *, case_sensitive: bool = True) -> DataF
         if src is None:
             out.append(F.lit(None).cast(f.spark_type).alias(f.name))
         else:
-            out.append(safe_cast(F.col(f"`{src}`"), f.type).alias(f.name))
+            out.append(_conformed(F.col(f"`{src}`"), df.schema[src].dataType, f).alias(f.name))
     return df.select(*out)

@@ -6,10 +6,12 @@ two get the catalog in front, one gets catalog and namespace.
 
 Writes are plain DataFrame writes of one bounded batch, so they scale with the
 batch: files are written by the executors in parallel, the driver only commits.
-``distribute_by`` hash-distributes the batch on the listed columns before the
-write (one set of files per key range, the same idea as a table's hash
-distribution mode); AQE then coalesces the shuffle to its advisory size, so a
-micro-batch does not spray tiny files.
+``distribute_by`` rebalances the batch on the listed columns before the write
+(the ``rebalance`` hint: clustered by those columns, the same idea as a
+table's hash distribution mode).  AQE merges small partitions to the advisory
+size, so a micro-batch does not spray tiny files, and splits a partition that
+a hot key makes too large, so one key cannot make one write task the whole
+batch.
 
 Delivery is at least once by default: a batch replayed after a crash is
 appended again.  ``idempotent=True`` tags rows with ``_batch_id`` and writes
@@ -49,7 +51,7 @@ def checkpoint_path(root: str, job_name: str, stream_name: str = "main") -> str:
 
 def _prepare(df: DataFrame, out: OutputSpec, batch_id: int | None) -> DataFrame:
     if out.distribute_by:
-        df = df.repartition(*[F.col(f"`{c}`") for c in out.distribute_by])
+        df = df.hint("rebalance", *list(out.distribute_by))
     if out.idempotent:
         if batch_id is None:
             raise ValueError("idempotent writes need the batch id")

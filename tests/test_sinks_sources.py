@@ -96,3 +96,14 @@ def test_write_batch_catalog_table(spark):
 def test_console_rows(spark):
     assert console_rows(spark.range(100)).count() == 20
     assert console_rows(spark.range(100), 5).count() == 5
+
+
+def test_kafka_source_goes_to_the_kafka_reader(spark):
+    """The connector jar is not in this image: reaching Spark's Kafka reader
+    shows up as a missing data source named kafka."""
+    from tidemark import read_change_stream
+    src = SourceSpec(kind="kafka", bootstrap_servers="localhost:1", topics="t")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_change_stream(spark, src)
+    with pytest.raises(ValueError):
+        read_change_stream(spark, SourceSpec(kind="socket"))

@@ -227,3 +227,20 @@ def test_backfill_matches_stream(spark, tmp_path):
     streamed = sorted(map(tuple, spark.read.parquet(f"{tmp}/out").collect()))
     assert streamed == sorted(map(tuple, backfill_frame(spark, spec).collect()))
     assert len(streamed) == 50
+
+
+def test_record_operators_on_a_streaming_frame(spark, tmp_path):
+    from tidemark import conform, filter_by_operation, lift_metadata
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 2)
+    raw = spark.readStream.format("text").load(f"{tmp}/in")
+    out = conform(parse_changes(filter_by_operation(lift_metadata(raw), ["c", "u"]).drop("op", "ts_ms"),
+                                SCHEMA, keep=["source_table"]),
+                  [("id", "long"), ("source_table", "string"), ("op", "string")])
+    assert out.isStreaming
+    q = (out.writeStream.format("memory").queryName("ops_stream")
+            .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.sql("select * from ops_stream").collect()
+    assert len(rows) == 34  # the creates and updates among the 50 records
+    assert {r.op for r in rows} == {"c", "u"} and {r.source_table for r in rows} == {"t"}

@@ -91,3 +91,9 @@ def test_odd_field_and_column_names(spark):
     out = parse_changes(df, schema, value_col="the value", keep=["kafka.key"])
     assert out.columns == ["kafka.key", "a.b", "with space", "it`s", "op"]
     assert tuple(out.first()) == ("k1", 1, "x", True, "c")
+
+
+def test_keys_are_case_sensitive(spark):
+    df = spark.createDataFrame([('{"after":{"A":1,"a":2},"op":"c"}',), ('{"after":{"A":1},"op":"c"}',)],
+                               "value string")
+    assert [r.a for r in parse_changes(df, [("a", "int")]).collect()] == [2, None]

@@ -100,6 +100,12 @@ def cdc_filter_upserts(spark, sf):
                                 ORDERS_SCHEMA, keep=["key"]))
 
 
+def cdc_parse_upserts(spark, sf):
+    """The operation filter decided on the parsed op, before any image is cast."""
+    return as_ntz(parse_changes(orders_feed(spark, sf, malformed_every=50), ORDERS_SCHEMA,
+                                keep=["key"], operations=["c", "u"]))
+
+
 def cdc_filter_empty_list(spark, sf):
     return filter_by_operation(orders_feed(spark, sf), []).select("key")
 
@@ -167,6 +173,7 @@ QUERIES = {
     "cdc_struct_text": cdc_struct_text,
     "cdc_metadata": cdc_metadata,
     "cdc_filter_upserts": cdc_filter_upserts,
+    "cdc_parse_upserts": cdc_parse_upserts,
     "cdc_filter_empty_list": cdc_filter_empty_list,
     "cdc_record_op": cdc_record_op,
     "cdc_before_image": cdc_before_image,
@@ -215,6 +222,9 @@ ORACLES = {
     "cdc_filter_upserts": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT}, {OP} AS op "
         f"FROM orders WHERE {OP} IN ('c', 'u')"),
+    "cdc_parse_upserts": (
+        f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT}, {OP} AS op "
+        f"FROM orders WHERE {OP} IN ('c', 'u') AND o_orderkey % 50 <> 0"),
     "cdc_filter_empty_list": "SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders",
     "cdc_record_op": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, "

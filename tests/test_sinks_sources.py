@@ -107,3 +107,18 @@ def test_kafka_source_goes_to_the_kafka_reader(spark):
         read_change_stream(spark, src)
     with pytest.raises(ValueError):
         read_change_stream(spark, SourceSpec(kind="socket"))
+
+
+def test_idempotent_replay_into_a_catalog_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze_t")
+    name = "spark_catalog.bronze_t.idem_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spec = OutputSpec(idempotent=True)
+    a = spark.range(3).withColumnRenamed("id", "k")
+    b = spark.range(10, 15).withColumnRenamed("id", "k")
+    for batch_id, df in ((0, a), (1, b), (1, b), (0, a), (1, b)):
+        write_batch(df, spec, table=name, batch_id=batch_id)
+    spark.catalog.refreshTable(name)
+    got = spark.table(name)
+    assert got.count() == 8
+    assert sorted(r.k for r in got.collect()) == [0, 1, 2, 10, 11, 12, 13, 14]

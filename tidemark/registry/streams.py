@@ -37,11 +37,14 @@ def write_feed_files(spark: SparkSession, sf: str, folder: str, groups=range(GRO
 
 def _job(work: str, *, sql: str | None = None, mode: str = "append",
          max_files: int | None = 4, idempotent: bool = False) -> JobSpec:
+    # the job (and its query) is named after its folder, so two runs never
+    # share a query name; the SQL sees the batch under the fixed view name
     return JobSpec(
-        name=ORDERS_VIEW,
+        name=f"{ORDERS_VIEW}_{work.rstrip('/').rsplit('/', 1)[-1]}",
         schema=ORDERS_SCHEMA,
         source=SourceSpec(kind="files", path=f"{work}/in", max_files_per_trigger=max_files),
-        output=OutputSpec(sql=sql, path=f"{work}/out", write_mode=mode, idempotent=idempotent),
+        output=OutputSpec(sql=sql, temp_view=ORDERS_VIEW, path=f"{work}/out", write_mode=mode,
+                          idempotent=idempotent),
         checkpoint_location=f"{work}/checkpoint",
     )
 

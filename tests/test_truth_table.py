@@ -97,3 +97,9 @@ def test_keys_are_case_sensitive(spark):
     df = spark.createDataFrame([('{"after":{"A":1,"a":2},"op":"c"}',), ('{"after":{"A":1},"op":"c"}',)],
                                "value string")
     assert [r.a for r in parse_changes(df, [("a", "int")]).collect()] == [2, None]
+
+
+def test_kept_columns_may_not_clash(spark):
+    df = spark.createDataFrame([("k", "{}")], "op string, value string")
+    with pytest.raises(ValueError):
+        parse_changes(df, SCHEMA, keep=["op"])

@@ -85,6 +85,9 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     declared.check_parse_target()
     if image not in ("auto", "before", "after"):
         raise ValueError(f"image must be auto, before or after: {image!r}")
+    clash = set(keep or ()) & (set(declared.names) | {OP_COLUMN})
+    if clash:
+        raise ValueError(f"kept columns would clash with parsed ones: {sorted(clash)}")
     names = _keep(df, keep)
     st = image_struct_type(declared)
 

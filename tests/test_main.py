@@ -66,3 +66,13 @@ def test_main_runs_a_job_over_files(spark, tmp_path):
 def test_main_reports_failure(tmp_path):
     (tmp_path / "job.yaml").write_text("kafka:\n  data_format: avro\n")
     assert main(["--job", str(tmp_path / "job.yaml")]) == 1
+
+
+def test_properties_win_over_environment(tmp_path, monkeypatch):
+    monkeypatch.setenv("BROKERS", "from-env:9092")
+    (tmp_path / "job.yaml").write_text(JOB)
+    (tmp_path / "common.yaml").write_text(COMMON)
+    (tmp_path / "app.properties").write_text("# comment\nBROKERS=from-props:9092\nEMPTY=\n")
+    args = parser().parse_args(["--job", str(tmp_path / "job.yaml"), "--common", str(tmp_path / "common.yaml"),
+                                "--properties", str(tmp_path / "app.properties")])
+    assert build_spec(args).source.bootstrap_servers == "from-props:9092"

@@ -2,8 +2,9 @@
 
 Meant for ``spark-submit`` (or any launcher that provides the cluster
 configuration): the session is taken with ``getOrCreate``.  ``${VAR}`` and
-``${VAR:-default}`` in the files are filled from the environment before they
-are read; values are never printed.  ``--files PATH`` reads change records
+``${VAR:-default}`` in the files are filled before they are read, from a
+``key=value`` properties file (``--properties``; it wins) and the
+environment; values are never printed.  ``--files PATH`` reads change records
 from JSON text files instead of Kafka (replays, tests); ``--available-now``
 processes what is there and stops.  A failure ends the process with status 1.
 """
@@ -25,15 +26,32 @@ def expand(text: str, env: Mapping[str, str] | None = None) -> str:
     return _VAR.sub(lambda m: env.get(m.group(1), m.group(2) if m.group(2) is not None else ""), text)
 
 
+def read_properties(path: str | None) -> dict[str, str]:
+    """``key=value`` lines; blank lines, ``#`` comments and empty values are skipped."""
+    props: dict[str, str] = {}
+    if not path:
+        return props
+    with open(path, encoding="utf-8") as fh:
+        for line in fh:
+            line = line.strip()
+            if not line or line.startswith("#") or "=" not in line:
+                continue
+            key, value = (part.strip() for part in line.split("=", 1))
+            if key and value:
+                props[key] = value
+    return props
+
+
 def build_spec(args: argparse.Namespace):
     from tidemark.job_config import load_job_yaml
 
+    env = {**os.environ, **read_properties(args.properties)}
     with open(args.job) as fh:
-        job_text = expand(fh.read())
+        job_text = expand(fh.read(), env)
     common_text = None
     if args.common:
         with open(args.common) as fh:
-            common_text = expand(fh.read())
+            common_text = expand(fh.read(), env)
     spec = load_job_yaml(job_text, common_text, table_format=args.table_format,
                          checkpoint_root=args.checkpoint_root)
     if args.files:
@@ -49,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m tidemark", description=__doc__.splitlines()[0])
     p.add_argument("--job", required=True, help="job file (job / spark / kafka / output)")
     p.add_argument("--common", help="common file (kafka connection, table properties)")
+    p.add_argument("--properties", help="key=value file filling ${VAR} placeholders (wins over the environment)")
     p.add_argument("--table-format", default="iceberg", help="format of the target table")
     p.add_argument("--catalog", help="catalog of one- and two-part table names")
     p.add_argument("--checkpoint-root", help="root of the job's checkpoints (default: spark.checkpoint.dir)")

@@ -8,18 +8,22 @@ micro-batch and writes the result to a table.
 from .functions import (
     after_image, before_image, envelope, record_op, safe_cast, source_metadata,
 )
-from .operators import conform, filter_by_operation, lift_metadata, parse_after_only, parse_changes
+from .job_config import load_job_yaml, spec_from_job_config
+from .operators import (
+    conform, filter_by_operation, lift_metadata, parse_after_only, parse_changes, running_totals,
+)
 from .plans.batch import apply_batch, run_sql, select_columns
 from .session import prepare_session, shared_dir, shared_root
 from .sinks.table import checkpoint_path, console_rows, resolve_table_name, write_batch
 from .sources.change_stream import kafka_options, read_change_batch, read_change_stream
 from .sources.feed import change_feed
 from .spec import DeclaredSchema, JobSpec, OutputSpec, SourceSpec, SparkSettings
-from .streaming.runner import BatchHandler, run_job, start_job
+from .streaming.runner import BatchHandler, ProgressLog, run_job, start_job
 
 __all__ = [
     "after_image", "before_image", "envelope", "record_op", "safe_cast", "source_metadata",
     "conform", "filter_by_operation", "lift_metadata", "parse_after_only", "parse_changes",
+    "running_totals", "load_job_yaml", "spec_from_job_config", "ProgressLog",
     "apply_batch", "run_sql", "select_columns",
     "prepare_session", "shared_dir", "shared_root",
     "checkpoint_path", "console_rows", "resolve_table_name", "write_batch",

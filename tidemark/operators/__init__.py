@@ -1,5 +1,7 @@
 from .conform import conform
 from .envelope_ops import filter_by_operation, lift_metadata
+from .ordered import running_totals
 from .parse import parse_after_only, parse_changes
 
-__all__ = ["conform", "filter_by_operation", "lift_metadata", "parse_after_only", "parse_changes"]
+__all__ = ["conform", "filter_by_operation", "lift_metadata", "parse_after_only", "parse_changes",
+           "running_totals"]

@@ -95,6 +95,17 @@ def cdc_metadata(spark, sf):
     return lifted.select("key", "op", "ts_ms", "source_table", "source_db")
 
 
+def cdc_metadata_malformed(spark, sf):
+    """Metadata of a feed where every 50th record is not JSON: nulls there."""
+    lifted = lift_metadata(orders_feed(spark, sf, malformed_every=50))
+    return lifted.select("key", "op", "ts_ms", "source_table", "source_db")
+
+
+def cdc_parse_before(spark, sf):
+    """The parse reading the before image whatever the op."""
+    return as_ntz(parse_changes(orders_feed(spark, sf), ORDERS_SCHEMA, keep=["key"], image="before"))
+
+
 def cdc_filter_upserts(spark, sf):
     return as_ntz(parse_changes(filter_by_operation(orders_feed(spark, sf), ["c", "u"]),
                                 ORDERS_SCHEMA, keep=["key"]))
@@ -172,6 +183,8 @@ QUERIES = {
     "cdc_cast_failures": cdc_cast_failures,
     "cdc_struct_text": cdc_struct_text,
     "cdc_metadata": cdc_metadata,
+    "cdc_metadata_malformed": cdc_metadata_malformed,
+    "cdc_parse_before": cdc_parse_before,
     "cdc_filter_upserts": cdc_filter_upserts,
     "cdc_parse_upserts": cdc_parse_upserts,
     "cdc_filter_empty_list": cdc_filter_empty_list,
@@ -219,6 +232,21 @@ ORACLES = {
     "cdc_metadata": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {OP} AS op, epoch_ms(o_orderdate) AS ts_ms, "
         "'orders' AS source_table, 'tpch' AS source_db FROM orders"),
+    "cdc_metadata_malformed": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS key, "
+        f"CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {OP} END AS op, "
+        "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE epoch_ms(o_orderdate) END AS ts_ms, "
+        "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE 'orders' END AS source_table, "
+        "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE 'tpch' END AS source_db FROM orders"),
+    "cdc_parse_before": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS key, "
+        f"CASE WHEN {OP} IN ('u', 'd') THEN o_orderkey END AS o_orderkey, "
+        f"CASE WHEN {OP} IN ('u', 'd') THEN o_custkey END AS o_custkey, "
+        f"CASE {OP} WHEN 'u' THEN 'O' WHEN 'd' THEN o_orderstatus END AS o_orderstatus, "
+        f"CASE {OP} WHEN 'u' THEN o_totalprice - 1.0 WHEN 'd' THEN o_totalprice END AS o_totalprice, "
+        f"CASE WHEN {OP} IN ('u', 'd') THEN o_orderdate END AS o_orderdate, "
+        f"CASE WHEN {OP} IN ('u', 'd') THEN o_orderpriority END AS o_orderpriority, "
+        f"{OP} AS op FROM orders"),
     "cdc_filter_upserts": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT}, {OP} AS op "
         f"FROM orders WHERE {OP} IN ('c', 'u')"),

@@ -43,6 +43,27 @@ def cdc_parse_missing_op(spark, sf):
     return as_ntz(parse_changes(orders_feed(spark, sf, with_op=False), ORDERS_SCHEMA))
 
 
+LINEITEM_SCHEMA = [
+    {"name": "l_orderkey", "type": "long"}, {"name": "l_partkey", "type": "long"},
+    {"name": "l_suppkey", "type": "long"}, {"name": "l_linenumber", "type": "int"},
+    {"name": "l_quantity", "type": "double"}, {"name": "l_extendedprice", "type": "double"},
+    {"name": "l_discount", "type": "double"}, {"name": "l_tax", "type": "double"},
+    {"name": "l_returnflag", "type": "string"}, {"name": "l_linestatus", "type": "string"},
+    {"name": "l_shipdate", "type": "timestamp"},
+]
+LINEITEM_COLS = [f["name"] for f in LINEITEM_SCHEMA]
+
+
+def cdc_parse_lineitem(spark, sf):
+    """The largest table: (order, line number) as the change key."""
+    ready(spark)
+    li = table(spark, sf, "lineitem")
+    keyed = li.withColumn("change_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    feed = change_feed(keyed, key="change_id", table="lineitem", ts_col="l_shipdate",
+                       before_changes={"l_quantity": F.col("l_quantity") + F.lit(1.0)})
+    return as_ntz(parse_changes(feed, LINEITEM_SCHEMA))
+
+
 def cdc_typed_customer(spark, sf):
     return as_ntz(parse_changes(customer_feed(spark, sf), CUSTOMER_TYPED_SCHEMA))
 
@@ -179,6 +200,7 @@ QUERIES = {
     "cdc_parse_malformed": cdc_parse_malformed,
     "cdc_parse_truncate": cdc_parse_truncate,
     "cdc_parse_missing_op": cdc_parse_missing_op,
+    "cdc_parse_lineitem": cdc_parse_lineitem,
     "cdc_typed_customer": cdc_typed_customer,
     "cdc_cast_failures": cdc_cast_failures,
     "cdc_struct_text": cdc_struct_text,
@@ -208,6 +230,9 @@ ORACLES = {
         f"CASE WHEN o_orderkey % 10 = 0 THEN 't' ELSE {OP} END AS op FROM orders"),
     "cdc_parse_missing_op": (
         f"SELECT {_nulls_when(IS_DELETE, ORDERS_COLS)}, '' AS op FROM orders"),
+    "cdc_parse_lineitem": (
+        f"SELECT {', '.join(LINEITEM_COLS)}, {op_sql('(l_orderkey * 8 + l_linenumber)')} AS op "
+        "FROM lineitem"),
     "cdc_typed_customer": (
         "SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS FLOAT) AS c_acctbal, c_mktsegment, "
         "c_custkey % 3 = 0 AS c_active, "

@@ -121,6 +121,22 @@ def _sql_query(sql: str, columns=None):
     return run
 
 
+LINEITEM_VIEW = "lineitem_changes"
+PRICING_SQL = (
+    "select op, l_returnflag, l_linestatus, count(*) as n, sum(l_quantity) as sum_qty, "
+    "round(sum(l_extendedprice), 2) as sum_base_price, min(l_discount) as min_disc, "
+    "max(l_discount) as max_disc, count(distinct l_orderkey) as orders "
+    f"from {LINEITEM_VIEW} where l_shipdate < timestamp '2000-01-01 00:00:00' "
+    "group by op, l_returnflag, l_linestatus")
+
+
+def sql_pricing_summary(spark, sf):
+    """A pricing summary over the lineitem change batch (filter, group, distinct)."""
+    from .cdc import cdc_parse_lineitem
+    batch = cdc_parse_lineitem(spark, sf)
+    return apply_batch(batch, JobSpec(name=LINEITEM_VIEW, output=OutputSpec(sql=PRICING_SQL)))
+
+
 def select_columns_partial(spark, sf):
     job = JobSpec(name=ORDERS_VIEW,
                   output=OutputSpec(columns=["o_totalprice", "no_such_column", "o_orderkey", "op"]))
@@ -138,6 +154,7 @@ QUERIES = {name: _sql_query(sql) for name, sql in SQL.items()}
 QUERIES["sql_filter_project"] = _sql_query(
     SQL["sql_filter_project"], columns=["o_totalprice", "no_such_column", "o_orderkey", "op"])
 QUERIES["sql_latest_per_key"] = _sql_query(LATEST_SQL)
+QUERIES["sql_pricing_summary"] = sql_pricing_summary
 QUERIES["select_columns_partial"] = select_columns_partial
 QUERIES["phone_normalize"] = phone_normalize
 
@@ -155,3 +172,6 @@ ORACLES["sql_latest_per_key"] = LATEST_ORACLE
 ORACLES["select_columns_partial"] = (
     _ORACLE_VIEWS + f"select o_totalprice, o_orderkey, op from {ORDERS_VIEW}")
 ORACLES["phone_normalize"] = PHONE_ORACLE
+ORACLES["sql_pricing_summary"] = (
+    f"WITH {LINEITEM_VIEW} AS (SELECT *, {op_sql('(l_orderkey * 8 + l_linenumber)')} AS op "
+    "FROM lineitem) " + PRICING_SQL)

@@ -17,8 +17,10 @@ from __future__ import annotations
 from typing import Any, Mapping
 
 from .spec import (
-    DEFAULT_MAX_OFFSETS_PER_TRIGGER, DEFAULT_STARTING_OFFSETS, DEFAULT_WRITE_MODE, DeclaredSchema,
-    JobSpec, OutputSpec, SourceSpec, SparkSettings,
+    DEFAULT_MAX_OFFSETS_PER_TRIGGER, DEFAULT_MIN_BATCHES_TO_RETAIN,
+    DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS, DEFAULT_SASL_MECHANISM, DEFAULT_SECURITY_PROTOCOL,
+    DEFAULT_STARTING_OFFSETS, DEFAULT_TRIGGER, DEFAULT_WRITE_MODE, DeclaredSchema, JobSpec,
+    OutputSpec, SourceSpec, SparkSettings,
 )
 
 
@@ -48,9 +50,10 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
 
     spark = SparkSettings(
         shuffle_partitions=int(sp["shuffle_partitions"]) if sp.get("shuffle_partitions") else None,
-        trigger_interval=str(sp.get("trigger_interval", "1 seconds")),
-        min_batches_to_retain=int(sp.get("min_batches_to_retain", 5)),
-        no_data_progress_event_interval=int(sp.get("no_data_progress_event_interval", 100000)),
+        trigger_interval=str(sp.get("trigger_interval", DEFAULT_TRIGGER)),
+        min_batches_to_retain=int(sp.get("min_batches_to_retain", DEFAULT_MIN_BATCHES_TO_RETAIN)),
+        no_data_progress_event_interval=int(sp.get("no_data_progress_event_interval",
+                                                   DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS)),
         no_data_micro_batches_enabled=_bool(sp.get("no_data_micro_batches_enabled", True)),
     )
     source = SourceSpec(
@@ -60,8 +63,8 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
         starting_offsets=str(kj.get("auto_offset_reset", DEFAULT_STARTING_OFFSETS)),
         max_offsets_per_trigger=int(kj.get("max_offsets_per_trigger", DEFAULT_MAX_OFFSETS_PER_TRIGGER)),
         secure=_bool(kc.get("secure", False)),
-        security_protocol=str(kc.get("security_protocol", "SASL_PLAINTEXT")),
-        sasl_mechanism=str(kc.get("sasl_mechanism", "SCRAM-SHA-256")),
+        security_protocol=str(kc.get("security_protocol", DEFAULT_SECURITY_PROTOCOL)),
+        sasl_mechanism=str(kc.get("sasl_mechanism", DEFAULT_SASL_MECHANISM)),
         user=str(kc.get("user", "")),
         password=str(kc.get("password", "")),
     )

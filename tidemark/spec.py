@@ -144,8 +144,9 @@ def _from_mapping(cls, data: Mapping[str, Any] | None):
     return cls(**dict(data))
 
 
-# Defaults of a job (trigger, retention, intake limit, write
-# mode, catalog and namespace of the target table, console preview rows).
+# Defaults of a job (trigger, retention, idle progress interval,
+# intake limit, starting offsets, write mode, catalog and namespace of the
+# target table, console preview rows, Kafka security protocol and mechanism).
 DEFAULT_TRIGGER = "1 seconds"
 DEFAULT_MIN_BATCHES_TO_RETAIN = 5
 DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS = 100000
@@ -155,6 +156,8 @@ DEFAULT_WRITE_MODE = "append"
 DEFAULT_CATALOG = "bronze"
 DEFAULT_NAMESPACE = "bronze"
 DEFAULT_CONSOLE_ROWS = 20
+DEFAULT_SECURITY_PROTOCOL = "SASL_PLAINTEXT"
+DEFAULT_SASL_MECHANISM = "SCRAM-SHA-256"
 
 
 @dataclass
@@ -189,8 +192,8 @@ class SourceSpec:
     max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER
     min_partitions: int | None = None
     secure: bool = False
-    security_protocol: str = "SASL_PLAINTEXT"
-    sasl_mechanism: str = "SCRAM-SHA-256"
+    security_protocol: str = DEFAULT_SECURITY_PROTOCOL
+    sasl_mechanism: str = DEFAULT_SASL_MECHANISM
     user: str = ""
     password: str = ""
     path: str = ""

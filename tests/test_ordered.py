@@ -59,3 +59,20 @@ def test_correct_without_exchange_reuse(spark, hot):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_nulls_in_keys_order_and_values(spark):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 5)).alias("k"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 300).alias("o"),
+        F.col("id"),
+        F.when((F.col("id") % 3 == 0) | (F.col("id") > 3000), F.lit(None)).otherwise(F.col("id") * 0.5).alias("v"))
+    for n in (3, 9):
+        got = running_totals(df, ["k"], ["o", "id"], "v", num_partitions=n)
+        w = Window.partitionBy("k").orderBy("o", "id")
+        want = (df.withColumn("position", F.row_number().over(w))
+                  .withColumn("running_total", F.sum("v").over(
+                      w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+        a = got.select("id", "position", F.round("running_total", 6).alias("rt"))
+        b = want.select("id", "position", F.round("running_total", 6).alias("rt"))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, n

@@ -97,5 +97,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     inherits = F.col(_KEY).eqNullSafe(F.col("carry_key"))
     out = joined.withColumn(position_col, F.col(_LRN) + F.when(inherits, F.col("carry_n")).otherwise(0))
     if value:
-        out = out.withColumn(total_col, F.col(_LSUM) + F.when(inherits, F.col("carry_s")).otherwise(0.0))
+        # like a window sum: null until the key has seen a non-null value
+        carried = F.when(inherits, F.col("carry_s"))
+        out = out.withColumn(total_col, F.when(
+            F.col(_LSUM).isNull() & carried.isNull(), F.lit(None).cast("double"))
+            .otherwise(F.coalesce(F.col(_LSUM), F.lit(0.0)) + F.coalesce(carried, F.lit(0.0))))
     return out.drop(_PID, _LRN, _LSUM, _KEY, "carry_key", "carry_n", "carry_s")

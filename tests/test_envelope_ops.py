@@ -78,3 +78,11 @@ def test_typed_image_with_post_processed_fields(spark):
     assert tuple(rows[1]) == (None, None, None) and tuple(rows[2]) == (None, None, None)
     p = plan_text(df.select(before_image("value", schema).alias("b")).select("b.*"))
     assert "BatchEvalPython" not in p
+
+
+def test_lift_metadata_replaces_existing_columns_in_place(spark):
+    df = spark.createDataFrame([("old", '{"op":"u","ts_ms":5,"source":{"db":"d","table":"t"}}')],
+                               "op string, value string")
+    out = lift_metadata(df)
+    assert out.columns == ["op", "value", "ts_ms", "source_table", "source_db"]
+    assert tuple(out.first()) == ("u", '{"op":"u","ts_ms":5,"source":{"db":"d","table":"t"}}', 5, "t", "d")

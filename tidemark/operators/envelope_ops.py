@@ -22,21 +22,24 @@ _V = "__tm_v"
 def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
     """Add ``op STRING, ts_ms BIGINT, source_table STRING, source_db STRING``.
 
-    A record that is not a JSON object, or lacks a part, gives nulls for the
-    parts it lacks; a ``source`` that is not an object gives null table and db.
-    A quoted ``ts_ms`` holding digits still reads as a number.
+    Input columns are kept; one that already has one of these names is
+    replaced in place (as ``withColumn`` would).  A record that is not a JSON
+    object, or lacks a part, gives nulls for the parts it lacks; a ``source``
+    that is not an object gives null table and db.  A quoted ``ts_ms`` holding
+    digits still reads as a number.
     """
-    existing = [c for c in ("op", "ts_ms", "source_table", "source_db") if c in df.columns]
-    if existing:
-        raise ValueError(f"input already has columns {existing}")
-    cols = [F.col(f"`{c}`") for c in df.columns]
     v = F.col(_V)
+    meta = {
+        "op": F.try_variant_get(v, "$['op']", "string"),
+        "ts_ms": F.try_variant_get(v, "$['ts_ms']", "bigint"),
+        "source_table": F.try_variant_get(v, "$['source']['table']", "string"),
+        "source_db": F.try_variant_get(v, "$['source']['db']", "string"),
+    }
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    out = [meta[c].alias(c) if c in meta else F.col(f"`{c}`") for c in df.columns]
+    out += [expr.alias(name) for name, expr in meta.items() if name not in df.columns]
     return (df.select(*cols, parse_record(F.col("`" + value_col.replace("`", "``") + "`")).alias(_V))
-              .select(*cols,
-                      F.try_variant_get(v, "$['op']", "string").alias("op"),
-                      F.try_variant_get(v, "$['ts_ms']", "bigint").alias("ts_ms"),
-                      F.try_variant_get(v, "$['source']['table']", "string").alias("source_table"),
-                      F.try_variant_get(v, "$['source']['db']", "string").alias("source_db")))
+              .select(*out))
 
 
 def filter_by_operation(df: DataFrame, operations: Iterable[str] | None, *,

@@ -244,3 +244,13 @@ def test_record_operators_on_a_streaming_frame(spark, tmp_path):
     rows = spark.sql("select * from ops_stream").collect()
     assert len(rows) == 34  # the creates and updates among the 50 records
     assert {r.op for r in rows} == {"c", "u"} and {r.source_table for r in rows} == {"t"}
+
+
+def test_source_columns_carried_for_per_batch_sql(spark, tmp_path):
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 1)
+    spec = job(tmp, sql="select id, op, length(value) > 0 as has_raw from changes")
+    spec.source.keep_columns = ["value"]
+    run_job(spark, spec, available_now=True)
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(rows) == 25 and all(r.has_raw for r in rows)

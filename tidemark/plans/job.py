@@ -19,7 +19,7 @@ METRICS_NAME = "cdc_rows"
 
 
 def parsed(raw: DataFrame, spec: JobSpec) -> DataFrame:
-    return parse_changes(raw, spec.schema)
+    return parse_changes(raw, spec.schema, keep=spec.source.keep_columns)
 
 
 def with_metrics(df: DataFrame, name: str = METRICS_NAME) -> DataFrame:

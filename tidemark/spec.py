@@ -199,6 +199,9 @@ class SourceSpec:
     path: str = ""
     max_files_per_trigger: int | None = None
     options: dict[str, str] = field(default_factory=dict)
+    # source columns carried in front of the parsed ones, e.g. Kafka's
+    # ["key", "partition", "offset", "timestamp"] for per-batch dedup by offset
+    keep_columns: list[str] = field(default_factory=list)
 
     @classmethod
     def from_dict(cls, d):

@@ -14,9 +14,10 @@ from ..operators import parse_changes
 from ..plans.batch import apply_batch
 from ..spec import JobSpec, OutputSpec
 from ..streaming.runner import register_lookup_tables
+from ..sources.feed import change_feed
 from .common import (
     CUSTOMER_TYPED_SCHEMA, ORDERS_COLS, ORDERS_SCHEMA, ORDERS_VIEW, as_ntz, customer_feed, op_sql,
-    orders_feed, ready,
+    orders_feed, ready, table,
 )
 
 CUSTOMERS_VIEW = "customers_changes"
@@ -137,6 +138,24 @@ def sql_pricing_summary(spark, sf):
     return apply_batch(batch, JobSpec(name=LINEITEM_VIEW, output=OutputSpec(sql=PRICING_SQL)))
 
 
+EVENTS_VIEW = "events_changes"
+EVENTS_SCHEMA = [("event_id", "long"), ("ts", "timestamp"), ("user_id", "long"),
+                 ("event_type", "string"), ("value", "double")]
+HOURLY_SQL = (
+    "select date_trunc('HOUR', ts) as hour, event_type, count(*) as n, "
+    "count(distinct user_id) as users, round(sum(value), 2) as total "
+    f"from {EVENTS_VIEW} where op <> 'd' group by 1, 2")
+
+
+def sql_hourly_events(spark, sf):
+    """Hourly activity per event type over the events change batch."""
+    ready(spark)
+    ev = table(spark, sf, "events")
+    feed = change_feed(ev, key="event_id", table="events", db="app", ts_col="ts")
+    batch = parse_changes(feed, EVENTS_SCHEMA)
+    return as_ntz(apply_batch(batch, JobSpec(name=EVENTS_VIEW, output=OutputSpec(sql=HOURLY_SQL))))
+
+
 def select_columns_partial(spark, sf):
     job = JobSpec(name=ORDERS_VIEW,
                   output=OutputSpec(columns=["o_totalprice", "no_such_column", "o_orderkey", "op"]))
@@ -155,6 +174,7 @@ QUERIES["sql_filter_project"] = _sql_query(
     SQL["sql_filter_project"], columns=["o_totalprice", "no_such_column", "o_orderkey", "op"])
 QUERIES["sql_latest_per_key"] = _sql_query(LATEST_SQL)
 QUERIES["sql_pricing_summary"] = sql_pricing_summary
+QUERIES["sql_hourly_events"] = sql_hourly_events
 QUERIES["select_columns_partial"] = select_columns_partial
 QUERIES["phone_normalize"] = phone_normalize
 
@@ -172,6 +192,9 @@ ORACLES["sql_latest_per_key"] = LATEST_ORACLE
 ORACLES["select_columns_partial"] = (
     _ORACLE_VIEWS + f"select o_totalprice, o_orderkey, op from {ORDERS_VIEW}")
 ORACLES["phone_normalize"] = PHONE_ORACLE
+ORACLES["sql_hourly_events"] = (
+    f"WITH {EVENTS_VIEW} AS (SELECT event_id, ts, user_id, event_type, value, "
+    f"{op_sql('event_id')} AS op FROM events) " + HOURLY_SQL)
 ORACLES["sql_pricing_summary"] = (
     f"WITH {LINEITEM_VIEW} AS (SELECT *, {op_sql('(l_orderkey * 8 + l_linenumber)')} AS op "
     "FROM lineitem) " + PRICING_SQL)

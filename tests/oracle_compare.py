@@ -55,6 +55,8 @@ def compare(spark, con, fn, sql, sf_dir, digits=None):
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()
     problems = []
+    if len(set(s_cols)) != len(s_cols):
+        problems.append(f"duplicate column names: {s_cols}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={s_cols} oracle={d_cols}")
         return problems

@@ -24,6 +24,7 @@ no rows.  A queue that runs out leaves its share to the others.
 from __future__ import annotations
 
 import json
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +37,7 @@ from .common import ship, slices, text_of, written
 
 WINDOW = 4096
 MAX_SOURCES = 100_000     # rows of the per-source table a task may hold
-CACHED_PIECES = 400_000   # bound of each worker's cache of encoded words
+CACHED_PIECES = 700_000   # bound of each worker's cache of encoded words
 
 # What the fast path below is exact for: texts of these characters only.
 _PLAIN = r"[^\n\x20-\x7e\xa1-\xac\xae-\xff]"
@@ -86,7 +87,7 @@ class WordEncoder:
 
     @staticmethod
     def _raw(ids) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)

@@ -52,12 +52,12 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage,
     survives lost executors, and fixes what later steps see."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidemark/llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, simhash, winnow
+from . import article, bpe, packing, simhash, toxicity, warc, winnow
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,24 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).select("doc_id", "score")
+    return scored.select("doc_id", (toxicity.remainder("doc_id") == 1).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bundles = warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_archive(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_article(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return article.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return winnow.compare_with_next(docs).select(
@@ -49,6 +67,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
+    "op6_article": op6_article,
     "op9_winnowing": op9_winnowing,
     "op10_simhash": op10_simhash,
 }

@@ -18,6 +18,7 @@ an empty table gives no rows.  Added columns replace columns of the same name.
 from __future__ import annotations
 
 import base64
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -27,73 +28,52 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 
 from .common import text_of, with_columns_from
 
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 750_000
 LONGEST_CACHED = 48
 
 
-class RankQueue:
-    """Positions waiting by rank; ``first()`` is the least rank in use."""
+WORD = 8                                   # bits of a rank that its word of marks covers
+_MARK = [1 << i for i in range(1 << WORD)]
 
-    def __init__(self, ranks: int):
-        words = -(-max(ranks, 1) // 64)
-        self.low = [0] * words
-        self.mid = [0] * -(-words // 64)
-        self.top = 0                       # one bit per word of ``mid``
-        self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.low[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << ((rank >> 6) & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
-            bucket.append(position)
-
-    def first(self) -> int:
-        """Least rank in use, by find-first-set on each level; -1 if empty."""
-        if not self.top:
-            return -1
-        a = (self.top & -self.top).bit_length() - 1
-        m = self.mid[a]
-        b = (a << 6) | ((m & -m).bit_length() - 1)
-        w = self.low[b]
-        return (b << 6) | ((w & -w).bit_length() - 1)
-
-    def take(self, rank: int) -> list[int]:
-        """The bucket of ``rank``, left to right; its marks go."""
-        bucket = self.buckets.pop(rank)
-        b = rank >> 6
-        self.low[b] &= ~(1 << (rank & 63))
-        if not self.low[b]:
-            a = b >> 6
-            self.mid[a] &= ~(1 << (b & 63))
-            if not self.mid[a]:
-                self.top &= ~(1 << a)
-        if len(bucket) > 1:
-            bucket.sort()
-        return bucket
+def rank_words(ranks: int) -> list[int]:
+    """Empty marks for ranks below ``ranks``: words of 256 bits; a further word
+    (``top`` in :func:`merge`) marks those of them that are not zero."""
+    return [0] * ((max(ranks, 1) >> WORD) + 1)
 
 
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token: always the least rank, leftmost first."""
+def merge(piece: bytes, ranks: dict[bytes, int], marks: list[int]) -> list[int]:
+    """Ids of one pre-token: always the least rank, leftmost first.  ``marks`` comes
+    and goes with no bit set.  (The queue's steps stand in line: a call for each
+    would cost more than the step.)"""
     n = len(piece)
-    get = ranks.get
+    get, mark, mask = ranks.get, _MARK, (1 << WORD) - 1
     after = list(range(1, n + 1))          # where the part that starts here ends
-    prior = list(range(-1, n - 1))         # where the part to the left starts
+    prior = list(range(-1, n))             # where the part to the left starts
     waits = [-1] * (n + 1)                 # rank of the pair that starts here
-    push = queue.push
+    buckets: dict[int, list[int]] = {}     # positions by rank
+    top = 0                                # first level: words of marks in use
     for i in range(n - 1):
         r = get(piece[i:i + 2])
         if r is not None:
             waits[i] = r
-            push(r, i)
-    while True:
-        rank = queue.first()
-        if rank < 0:
-            break
-        bucket = queue.take(rank)
+            if r in buckets:
+                buckets[r].append(i)
+            else:
+                buckets[r] = [i]
+                marks[r >> WORD] |= mark[r & mask]
+                top |= 1 << (r >> WORD)
+    while top:
+        a = (top & -top).bit_length() - 1  # find first set: the word, then the rank in it
+        word = marks[a]
+        rank = (a << WORD) + (word & -word).bit_length() - 1
+        word &= word - 1
+        marks[a] = word
+        if not word:
+            top &= top - 1
+        bucket = buckets.pop(rank)
+        if len(bucket) > 1:
+            bucket.sort()
         for at, i in enumerate(bucket):
             if waits[i] != rank:
                 continue                   # stale
@@ -101,18 +81,20 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             k = after[j]
             waits[j] = -1
             after[i] = k
-            lower = False
-            if k < n:
-                prior[k] = i
-                r = get(piece[i:after[k]])
-                if r is None:
-                    waits[i] = -1
-                else:
-                    waits[i] = r
-                    push(r, i)
-                    lower = r < rank
-            else:
+            prior[k] = i
+            sooner = False
+            r = get(piece[i:after[k]]) if k < n else None
+            if r is None:
                 waits[i] = -1
+            else:
+                waits[i] = r
+                sooner = r < rank
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    marks[r >> WORD] |= mark[r & mask]
+                    top |= 1 << (r >> WORD)
             h = prior[i]
             if h >= 0:
                 r = get(piece[h:k])
@@ -120,16 +102,23 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
                     waits[h] = -1
                 else:
                     waits[h] = r
-                    push(r, h)
-                    lower = lower or r < rank
-            if lower:                      # what is now due sooner goes first
-                for rest in bucket[at + 1:]:
-                    push(rank, rest)
+                    sooner = sooner or r < rank
+                    if r in buckets:
+                        buckets[r].append(h)
+                    else:
+                        buckets[r] = [h]
+                        marks[r >> WORD] |= mark[r & mask]
+                        top |= 1 << (r >> WORD)
+            if sooner and at + 1 < len(bucket):   # what is now due sooner goes first
+                buckets[rank] = bucket[at + 1:]
+                marks[rank >> WORD] |= mark[rank & mask]
+                top |= 1 << (rank >> WORD)
                 break
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i:after[i]]])
-        i = after[i]
+        j = after[i]
+        ids.append(ranks[piece[i:j]])
+        i = j
     return ids
 
 
@@ -139,26 +128,37 @@ class ByteEncoder:
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.queue = RankQueue(max(self.ranks.values()) + 1)
+        self.marks = rank_words(max(self.ranks.values()) + 1)
         self.split = regex.compile(pattern).findall
         # White space other than single spaces and line ends between words: no shortcut.
         self.odd = regex.compile(r"\s\s|^\s|\s\Z|[^\S \n]").search
         self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}   # by what follows a space; "\n..." stands for itself
         self.tokens = {i: b for b, i in self.ranks.items()}
 
+    def _ids(self, piece: str) -> bytes:
+        raw = piece.encode()
+        one = self.ranks.get(raw)
+        ids = [one] if one is not None else merge(raw, self.ranks, self.marks)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _piece(self, piece: str) -> bytes:
+        word = piece[1:]
+        if piece[0] == " " and word.isascii() and word.isalpha():
+            got = self.chunks.get(word)
+            return self._chunk(word) if got is None else got
         got = self.pieces.get(piece)
         if got is None:
-            raw = piece.encode()
-            one = self.ranks.get(raw)
-            got = np.array([one] if one is not None else merge(raw, self.ranks, self.queue), "<u4").tobytes()
+            got = self._ids(piece)
             if len(piece) <= LONGEST_CACHED:
                 self.pieces[piece] = got
         return got
 
-    def _chunk(self, key: str, chunk: str) -> bytes:
-        got = b"".join(map(self._piece, self.split(chunk)))
+    def _chunk(self, key: str) -> bytes:
+        if key.isascii() and key.isalpha():       # one match of the pattern
+            got = self._ids(" " + key)
+        else:
+            got = b"".join(map(self._piece, self.split(key if key[0] == "\n" else " " + key)))
         if len(key) <= LONGEST_CACHED:
             self.chunks[key] = got
         return got
@@ -167,9 +167,10 @@ class ByteEncoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        for cache in (self.pieces, self.chunks):
-            if len(cache) > CACHED_CHUNKS:
-                cache.clear()
+        if len(self.chunks) > CACHED_CHUNKS:
+            self.chunks.clear()
+        if len(self.pieces) > CACHED_CHUNKS // 2:
+            self.pieces.clear()
         if self.odd(text):
             return b"".join(map(self._piece, self.split(text)))
         # The pattern never joins a word to what stands before its space or line end.
@@ -178,7 +179,7 @@ class ByteEncoder:
         out.append(b"".join(map(self._piece, self.split(first))))
         for key in rest:
             got = get(key)
-            out.append(self._chunk(key, key if key[0] == "\n" else " " + key) if got is None else got)
+            out.append(self._chunk(key) if got is None else got)
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import article, bpe, packing, simhash, toxicity, warc, winnow
+from . import article, bpe, licences, packing, pii, quality, simhash, toxicity, warc, winnow
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,11 +46,31 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, keep_text=False)
+    of = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.listed(F.col("base_spans")), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return article.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs, keep_text=False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "quality")
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return winnow.compare_with_next(docs).select(
@@ -69,7 +89,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
+    "op5_pii": op5_pii,
     "op6_article": op6_article,
+    "op7_quality": op7_quality,
+    "op8_licences": op8_licences,
     "op9_winnowing": op9_winnowing,
     "op10_simhash": op10_simhash,
 }

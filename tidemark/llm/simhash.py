@@ -301,8 +301,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     marked = written(fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), text_col,
                                  "tidemark_fp", size), "simhash-docs")
     rows = marked.select(F.col(f"`{id_col}`").alias("id"), F.col("tidemark_fp").alias("fp"), F.col(row).alias("row"))
-    named = components(rows.select("id", "fp"), radius)
+    named = components(rows.select(F.col("row").alias("id"), "fp"), radius)
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
-    kept = rows.join(named, "fp").groupBy("fp", "component").agg(F.min(first).alias("first")) \
-        .groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    kept = (rows.groupBy("fp").agg(F.min(first).alias("first")).join(named, "fp")     # copies go before the join
+            .groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)))
     return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in names])

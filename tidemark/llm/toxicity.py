@@ -5,9 +5,9 @@ Features: presence of each word, each pair of neighbours and each pair with one
 word between, hashed to ``2 ** bits`` coordinates.  Training: FTRL-proximal with
 per-coordinate learning rates; L1 keeps almost every weight at exactly zero, so
 the model is a short list of (coordinate, weight) that is broadcast (at most
-``2 ** bits`` weights, whatever the corpus).  It is fitted on at most
-``max_labels`` labelled rows of each class (a documented parameter; the rows come
-in hash order of their ids, so the choice is stable).  Scoring covers every whole
+``2 ** bits`` weights, whatever the corpus).  It is fitted on about
+``max_labels`` labelled rows of each class (a documented parameter; give or take the
+chance of a hash: beyond it, a share of the ids by hash, so the choice is stable).  Scoring covers every whole
 text in one pass without a shuffle.
 
 Rows: a null or empty text has no features and scores by the bias; a null label
@@ -121,10 +121,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usable = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
               .filter("label in (0, 1) and id is not null").groupBy("id").agg(F.max("label").alias("label"))
               .filter(remainder("id") != 1))
-    chosen = None
-    for c in (0, 1):          # at most 2 * max_labels rows of 12 bytes: broadcast
-        part = usable.filter(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(max_labels)
-        chosen = part if chosen is None else chosen.unionAll(part)
+    sizes = {r.label: r.n for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wide = 1 << 20            # a share of each class by hash: about max_labels rows of 12 bytes, broadcast
+    share = F.create_map(*[F.lit(x) for c, n in {0: 1, 1: 1, **sizes}.items()
+                           for x in (c, min(wide, wide * max_labels // n))])
+    chosen = usable.filter(F.pmod(F.xxhash64("id"), F.lit(wide)) < share[F.col("label")])
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
             .join(F.broadcast(chosen), "id"))
     rows = with_columns_from(rows, "text", lambda: _featurise(bits),

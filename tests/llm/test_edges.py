@@ -1,0 +1,146 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing
+columns: each operator's stated result; and the pipeline as a whole."""
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_mod
+import corpus_pipeline
+import public_tokenizers as P
+from tidemark.llm import article, bpe, licences, packing, pii, quality, queries, simhash, toxicity, warc, winnow
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, ids string, spans string, "
+          "kept string, fingerprint string, component_id string, n_words string, start string, tidemark string")
+LONG = "word another " * 60_000
+PROSE = "These are plain words of a short text, and they say nothing at all. It ends here."
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    texts = [(1, PROSE), (1, PROSE), (2, PROSE), (None, PROSE), (3, None), (4, ""), (5, " \n\t "), (6, LONG),
+             (7, "x" * 200_000), (8, "a@b.co 10.0.0.1 +1 (555) 010-1234"), (9, "émigré 😀 naïve"), (None, None)]
+    rows = [(i, t, None, None if k % 2 else "s", None, 0.5, "a", "b", "c", "d", "e", "f", "g", "h") for k, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, None, 0), (2, 1, 1), (2, 1, 1), (None, 1, 1), (4, 0, None)],
+                                 "doc_id long, quality int, toxic int")
+
+
+def run(name, df, labels):
+    return {
+        "packing": lambda: packing.pack(df, queries.WORD_BPE),
+        "bpe": lambda: bpe.decode(bpe.encode(df, queries.BYTE_BPE, P.PATTERN), queries.BYTE_BPE, P.PATTERN),
+        "toxicity": lambda: toxicity.score(df, toxicity.fit(df, labels)),
+        "warc": lambda: warc.read_archive(warc.write_archive(df, "doc_id", "source", "text")),
+        "pii": lambda: pii.find(df),
+        "article": lambda: article.extract(df, "text", "main"),
+        "quality": lambda: quality.judge(df),
+        "licences": lambda: licences.scan(df),
+        "winnow": lambda: winnow.compare_with_next(df),
+        "fingerprint": lambda: winnow.fingerprint(df),
+        "simhash": lambda: simhash.near_duplicates(df),
+    }[name]()
+
+
+ALL = ["packing", "bpe", "toxicity", "warc", "pii", "article", "quality", "licences", "winnow", "fingerprint", "simhash"]
+
+
+@pytest.mark.parametrize("name", ALL)
+def test_empty_table(spark, odd, labels, name):
+    assert run(name, odd.filter("false"), labels.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", ALL)
+def test_odd_rows(spark, odd, labels, name):
+    out = run(name, odd, labels)
+    assert len({c.lower() for c in out.columns}) == len(out.columns)
+    rows = out.collect()
+    if name not in ("packing", "licences"):
+        assert len(rows) == odd.count()
+    if name == "packing":
+        whole = {(r.doc_id, r.doc_tokens) for r in rows}
+        assert (3, 1) in whole and (4, 1) in whole and (5, 1) in whole      # only the end token
+        assert sum(r.length for r in rows if r.doc_id == 6) == 120_001
+    if name == "bpe":
+        by = {r.doc_id: r for r in rows}
+        assert by[3].n_tokens == 0 and bytes(by[6].decoded).decode() == LONG and by[9].decoded.decode() == "émigré 😀 naïve"
+    if name == "toxicity":
+        assert all(0 <= r.score <= 1 for r in rows)
+    if name == "pii":
+        by = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in rows}
+        assert by[8] == [("email", 0, 6), ("ip", 7, 15), ("phone", 16, 33)] and by[3] == [] == by[6]
+        assert {r.tidemark for r in rows} == {"h"}
+    if name == "quality":
+        by = {r.doc_id: r for r in rows}
+        assert by[3].n_words == 0 and not by[3].kept and by[6].n_words == 120_000 and by[6].n_repeat_words == 120_000
+    if name == "winnow":
+        by = {r.doc_id: r for r in rows}
+        assert by[4].fingerprint == "" and by[3].n_chars == 0
+    if name == "simhash":
+        by = {r.doc_id: r for r in rows}
+        assert by[3].fingerprint == 0 and by[3].component_id == by[4].component_id == by[5].component_id == 3
+        assert by[1].component_id == by[2].component_id == 1
+
+
+def test_one_document_of_each_group_stays(spark, odd):
+    kept = simhash.keep_one(odd).select("doc_id", "text").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 6, 7, 8, 9]
+    nulls = odd.filter("doc_id is null")
+    assert simhash.keep_one(nulls).count() == 2
+    assert simhash.keep_one(odd).columns == odd.columns
+
+
+def test_no_labels_scores_a_half(spark, odd, labels):
+    got = toxicity.score(odd, toxicity.fit(odd, labels.filter("false"))).select("score").distinct().collect()
+    assert [r.score for r in got] == [0.5]
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "quality rules", "SimHash near-dedup", "PII", "packing"]
+    sizes = []
+    for n, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.written(stage(spark, docs, SF_SMALL), "test")
+        assert out.columns == docs.columns
+        before = {r.doc_id: r.text for r in docs.collect()}
+        after = {r.doc_id: r.text for r in out.collect()}
+        assert set(after) <= set(before)
+        if n == "toxicity":
+            scores = {r.doc_id: r.predicted for r in queries.op3_toxicity(spark, SF_SMALL).collect()}
+            assert set(after) == {i for i in before if not scores[i]}
+        elif n == "quality rules":
+            verdict = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+            assert set(after) == {i for i in before if verdict[i]}
+        elif n == "SimHash near-dedup":
+            group = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+            assert set(after) == set(group.values())
+        else:
+            spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+            assert after == {i: pii.hidden(t, spans[i]) for i, t in before.items()}
+            assert all(r.n_chars == len(r.text) for r in out.collect())
+        sizes.append(len(after))
+        docs = out
+    packed = corpus_pipeline.pack_windows(spark, docs, SF_SMALL)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(after)
+    whole = corpus_pipeline.run(spark, SF_SMALL)
+    assert sorted(whole.collect()) == sorted(packed.collect())
+
+
+def test_stages_stand_odd_documents(spark, odd, labels, tmp_path):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for rows in (docs, docs.filter("false")):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, rows, str(tmp_path)).count()
+
+
+def test_every_operator_is_registered():
+    q = entry_mod.queries()
+    for n in range(1, 11):
+        assert len([k for k in q if k.startswith(f"op{n}_")]) == 1
+    assert q["pipeline"] is corpus_pipeline.run

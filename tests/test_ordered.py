@@ -76,3 +76,14 @@ def test_nulls_in_keys_order_and_values(spark):
         a = got.select("id", "position", F.round("running_total", 6).alias("rt"))
         b = want.select("id", "position", F.round("running_total", 6).alias("rt"))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, n
+
+
+def test_integral_and_decimal_totals_stay_exact(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([("k", i, big if i == 0 else 0) for i in range(4)], "k string, o int, v long")
+    out = running_totals(df, ["k"], ["o"], "v")
+    assert out.schema["running_total"].dataType.simpleString() == "bigint"
+    assert {r.running_total for r in out.collect()} == {big}
+    cents = df.selectExpr("k", "o", "cast(0.10 as decimal(10,2)) as v")
+    assert sorted(str(r.running_total) for r in running_totals(cents, ["k"], ["o"], "v").collect()) == [
+        "0.10", "0.20", "0.30", "0.40"]

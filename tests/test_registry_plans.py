@@ -2,17 +2,17 @@
 
 import pytest
 
-import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 from helpers import plan_text
 
-NAMES = sorted(n for n in entry_mod.queries() if not n.startswith("stream_"))
+from tidemark.registry import QUERIES
+
+NAMES = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    q = entry_mod.queries()
-    return {n: plan_text(q[n](spark, SF_SMALL), "simple") for n in NAMES}
+    return {n: plan_text(QUERIES[n](spark, SF_SMALL), "simple") for n in NAMES}
 
 
 def test_no_python_and_no_cross_product(plans):

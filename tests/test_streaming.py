@@ -125,11 +125,59 @@ def test_console_sink_shows_first_rows(spark, tmp_path, capsys):
     assert job_checkpoint(spark, spec) == f"{tmp}/cp"
 
 
-def test_checkpoint_defaults_to_shared_folder(spark, tmp_path):
+def test_checkpoint_defaults_to_shared_folder(spark, tmp_path, monkeypatch):
+    import pytest
+    from tidemark.streaming import runner
     spec = JobSpec(name="j", output=OutputSpec(path=str(tmp_path)))
-    cp = job_checkpoint(spark, spec)
-    root = spark.sparkContext.getCheckpointDir()
-    assert cp.startswith(root) and cp.endswith("/checkpoints/j/main")
+    monkeypatch.setattr(runner, "checkpoint_setting", lambda s: "/state")     # the same in every application
+    assert job_checkpoint(spark, spec) == "/state/checkpoints/j/main"
+    monkeypatch.setattr(runner, "checkpoint_setting", lambda s: None)
+    with pytest.raises(ValueError, match="no checkpoint folder"):      # not a per-application one
+        job_checkpoint(spark, spec)
+    spec.checkpoint_root = "s3a://state"
+    assert job_checkpoint(spark, spec) == "s3a://state/checkpoints/j/main"
+
+
+RESTARTED = """
+import sys
+from pyspark.sql import SparkSession
+from tidemark import JobSpec, OutputSpec, SourceSpec, run_job
+root, idempotent = sys.argv[1], sys.argv[2] == "yes"
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", root + "/state").getOrCreate())
+run_job(spark, JobSpec(name="again", schema=[("id", "long"), ("amt", "double")],
+                       source=SourceSpec(kind="files", path=root + "/in", max_files_per_trigger=1),
+                       output=OutputSpec(path=root + "/out", idempotent=idempotent)), available_now=True)
+spark.stop()
+"""
+
+
+def test_second_application_resumes_at_the_default_place(spark, tmp_path):
+    """Two processes, nothing said about checkpoints but spark.checkpoint.dir."""
+    import subprocess
+    import sys
+    from conftest import ROOT
+    for mode in ("no", "yes"):
+        tmp = str(tmp_path / mode)
+        for start, n in ((0, 2), (2, 1)):
+            write_files(f"{tmp}/in", start, n)
+            done = subprocess.run([sys.executable, "-c", RESTARTED, tmp, mode], cwd=ROOT, timeout=180,
+                                  capture_output=True, text=True)
+            assert done.returncode == 0, done.stderr[-2000:]
+        out = spark.read.parquet(f"{tmp}/out")
+        assert sorted(r.id for r in out.select("id").collect()) == list(range(75))
+
+
+def test_fresh_checkpoint_keeps_rows_of_an_idempotent_table(spark, tmp_path):
+    tmp = str(tmp_path)
+    write_files(f"{tmp}/in", 0, 1)
+    first = job(tmp, idempotent=True)
+    run_job(spark, first, available_now=True)
+    write_files(f"{tmp}/other", 1, 1)
+    second = job(tmp, idempotent=True)
+    second.source.path, second.checkpoint_location = f"{tmp}/other", f"{tmp}/cp2"
+    run_job(spark, second, available_now=True)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/out").collect()) == list(range(50))
 
 
 def test_processing_time_trigger_runs_until_stopped(spark, tmp_path):

@@ -6,7 +6,7 @@ micro-batch and writes the result to a table.
 """
 
 from .functions import (
-    after_image, before_image, envelope, record_op, safe_cast, source_metadata,
+    after_image, before_image, record_op, safe_cast, source_metadata,
 )
 from .job_config import load_job_yaml, spec_from_job_config
 from .operators import (
@@ -21,7 +21,7 @@ from .spec import DeclaredSchema, JobSpec, OutputSpec, SourceSpec, SparkSettings
 from .streaming.runner import BatchHandler, ProgressLog, run_job, start_job
 
 __all__ = [
-    "after_image", "before_image", "envelope", "record_op", "safe_cast", "source_metadata",
+    "after_image", "before_image", "record_op", "safe_cast", "source_metadata",
     "conform", "filter_by_operation", "lift_metadata", "parse_after_only", "parse_changes",
     "running_totals", "load_job_yaml", "spec_from_job_config", "ProgressLog",
     "apply_batch", "run_sql", "select_columns",

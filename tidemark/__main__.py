@@ -82,12 +82,12 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     from pyspark.sql import SparkSession
 
-    from tidemark.streaming.runner import run_job
+    from tidemark.streaming.runner import ProgressLog, run_job
 
     try:
         spec = build_spec(args)
         spark = SparkSession.builder.appName(f"streaming-{spec.name}").getOrCreate()
-        run_job(spark, spec, available_now=args.available_now)
+        run_job(spark, spec, available_now=args.available_now, progress=ProgressLog(keep=1))
     except Exception:
         logging.getLogger("tidemark").exception("job failed")
         return 1

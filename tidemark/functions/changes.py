@@ -18,58 +18,44 @@ Cast rules (declared type -> how a JSON value is read):
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from ..spec import DeclaredSchema, spark_type_name
 
 # The texts a boolean field reads as true (case-insensitive).
 TRUTHY_WORDS = ("true", "1", "yes")
 
-# Operation codes of a change record.
-OP_CREATE = "c"
-OP_UPDATE = "u"
+# Fixed value: the operation code whose row is the image before the change.
 OP_DELETE = "d"
-OP_TRUNCATE = "t"
 
-_ENVELOPE = "struct<op:variant,before:variant,after:variant,source:variant,ts_ms:variant>"
-_EMPTY_STRUCT = "struct<>"
+# Session setting of the variant parser: of an object's equal keys the last wins.
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+# Texts of any length (the reader's own limit is 20 million characters).
+_TEXT_OPTIONS = {"maxStringLen": "2147483647"}
+_NUMERIC = ("int", "bigint", "double", "float")
 
 
 def _col(c: Any) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def json_path(name: str) -> str:
-    """Variant path for one object key, bracket-quoted so dots etc. are literal."""
-    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-
-
 def parse_record(value: Any) -> Column:
-    """Record text (string or binary) -> VARIANT; null when it is not valid JSON."""
+    """Record text (string or binary) -> VARIANT; null when it is not valid JSON.
+    The setting for equal keys is made here, so no caller has to know of it."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(DUPLICATE_KEYS, "false") != "true":
+        spark.conf.set(DUPLICATE_KEYS, "true")
     return F.try_parse_json(_col(value).cast("string"))
 
 
-def envelope(value: Any) -> Column:
-    """Record -> ``struct<op, before, after, source, ts_ms>`` of variants.
-
-    Null when the record is not a JSON object.  An absent key gives a SQL
-    null part; a JSON ``null`` gives a variant null (see ``is_json_null``).
-    """
-    return F.try_variant_get(parse_record(value), "$", _ENVELOPE)
-
-
 def is_json_null(v: Column) -> Column:
     return F.is_variant_null(v)
 
 
-def is_json_object(v: Column) -> Column:
-    """True when the variant holds a JSON object (a cast to an empty struct: a
-    type check, not a walk over the object)."""
-    return F.try_variant_get(v, "$", _EMPTY_STRUCT).isNotNull()
-
-
 def is_json_text(v: Column) -> Column:
     """True when the variant holds a JSON string."""
     return F.schema_of_variant(v) == F.lit("STRING")
@@ -99,6 +85,10 @@ def to_variant(c: Any) -> Column:
 
 def safe_cast(c: Any, declared_type: Any) -> Column:
     """Cast a typed column by the declared-type rules; failures become null."""
+    t = spark_type_name(declared_type)
+    if t not in _NUMERIC + ("date", "timestamp"):     # text as it is written, numbers unchanged
+        text = F.from_json(F.to_json(F.struct(_col(c).alias("v"))), "struct<v:string>", _TEXT_OPTIONS).getField("v")
+        return F.lower(text).isin(*TRUTHY_WORDS) if t == "boolean" else text
     return typed_value(to_variant(c), declared_type, "$.v")
 
 
@@ -116,10 +106,36 @@ def image_struct_type(schema: Any) -> str:
     return "struct<" + ",".join(parts) + ">"
 
 
-def typed_from_struct(row: Column, field: Any) -> Column:
-    """One declared field out of an image cast with ``image_struct_type``."""
+def text_fields(schema: Any) -> list[Any]:
+    """Declared fields that are read as text."""
+    return [f for f in DeclaredSchema.coerce(schema).fields if _struct_field_type(f.type) == "string"]
+
+
+def raw_texts(value: Any, schema: Any, parts: tuple[str, ...] = ("before", "after")) -> Column | None:
+    """``struct<before, after>`` of the text fields as the record writes them, read
+    only where that may differ from the variant's text: a number (``73.0``, a long
+    integer), an object or an array under a text field's name, or a key written
+    with escapes.  Null elsewhere; None when the schema has no text field."""
+    fields = text_fields(schema)
+    if not fields:
+        return None
+    text = _col(value).cast("string")
+    names = "|".join(re.escape(f.name) for f in fields)
+    odd = rf'"(?:{names})"\s*:\s*[-0-9\[{{]|\\u[0-9a-fA-F]{{4}}[^"]*"\s*:'
+    row = "struct<" + ",".join("`" + f.name.replace("`", "``") + "`:string" for f in fields) + ">"
+    kind = "struct<" + ",".join(f"{p}:{row}" for p in parts) + ">"
+    return F.when(text.rlike(odd), F.from_json(text, kind, _TEXT_OPTIONS))
+
+
+def typed_from_struct(row: Column, field: Any, raw: Column | None = None) -> Column:
+    """One declared field out of an image cast with ``image_struct_type``; ``raw`` is
+    the image's part of ``raw_texts``."""
     value = row.getField(field.name)
     t = field.sql_type
+    if t in _NUMERIC:
+        return value
+    if raw is not None:
+        value = F.coalesce(raw.getField(field.name), value)
     if t == "boolean":
         return F.lower(value).isin(*TRUTHY_WORDS)
     if t in ("date", "timestamp"):
@@ -140,15 +156,16 @@ def _image(value: Any, part: str, schema: Any = None) -> Column:
         return F.when(~is_json_null(img), F.to_json(img))
     declared = DeclaredSchema.coerce(schema)
     row = F.try_variant_get(v, path, image_struct_type(declared))
-    if all(f.sql_type in ("int", "bigint", "double", "float", "string") for f in declared.fields):
+    raw = raw_texts(value, declared, (part,))
+    if raw is None:
         return row  # the struct cast already is the typed image (null if not an object)
 
-    # post-processed fields: bind the cast once (a lambda variable), so the
-    # record is not parsed again for every field that reads it
+    # bind both reads once (a lambda variable), so the record is not parsed again
+    # for every field
     def typed(r: Column) -> Column:
-        return F.when(r.isNotNull(),
-                      F.struct(*[typed_from_struct(r, f).alias(f.name) for f in declared.fields]))
-    return F.transform(F.array(row), typed).getItem(0)
+        return F.when(r.getField("row").isNotNull(), F.struct(*[
+            typed_from_struct(r.getField("row"), f, r.getField("raw")).alias(f.name) for f in declared.fields]))
+    return F.transform(F.array(F.struct(row.alias("row"), raw.getField(part).alias("raw"))), typed).getItem(0)
 
 
 def before_image(value: Any, schema: Any = None) -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from typing import Any, Mapping
 
 from .spec import (
-    DEFAULT_MAX_OFFSETS_PER_TRIGGER, DEFAULT_MIN_BATCHES_TO_RETAIN,
+    DEFAULT_MIN_BATCHES_TO_RETAIN,
     DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS, DEFAULT_SASL_MECHANISM, DEFAULT_SECURITY_PROTOCOL,
     DEFAULT_STARTING_OFFSETS, DEFAULT_TRIGGER, DEFAULT_WRITE_MODE, DeclaredSchema, JobSpec,
     OutputSpec, SourceSpec, SparkSettings,
@@ -43,6 +43,10 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
     out = _section(job, "output")
     kc = _section(common, "kafka")
     props = _section(_section(common, "lakehouse"), "iceberg")
+    if checkpoint_root is None:
+        bucket = str(_section(_section(common, "lakehouse"), "ceph").get("bucket_checkpoints") or "").strip(" ,/")
+        if bucket:
+            checkpoint_root = bucket if "://" in bucket or bucket.startswith("/") else f"s3a://{bucket}"
 
     data_format = str(kj.get("data_format", "json")).strip().lower()
     if data_format != "json":
@@ -61,7 +65,7 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
         topics=str(kj.get("topics_in", "")),
         bootstrap_servers=str(kc.get("bootstrap_servers", "")),
         starting_offsets=str(kj.get("auto_offset_reset", DEFAULT_STARTING_OFFSETS)),
-        max_offsets_per_trigger=int(kj.get("max_offsets_per_trigger", DEFAULT_MAX_OFFSETS_PER_TRIGGER)),
+        max_offsets_per_trigger=int(kj["max_offsets_per_trigger"]) if kj.get("max_offsets_per_trigger") else None,
         secure=_bool(kc.get("secure", False)),
         security_protocol=str(kc.get("security_protocol", DEFAULT_SECURITY_PROTOCOL)),
         sasl_mechanism=str(kc.get("sasl_mechanism", DEFAULT_SASL_MECHANISM)),

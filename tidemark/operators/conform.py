@@ -32,6 +32,10 @@ def _conformed(col: Column, source: T.DataType, field: DeclaredField) -> Column:
             return F.lower(col).isin(*TRUTHY_WORDS)
         if t in ("date", "timestamp"):
             return col.try_cast(t)
+    if field.sql_type in ("string", "boolean") and not isinstance(
+            source, (T.StructType, T.ArrayType, T.MapType, T.VariantType, T.BinaryType)):
+        text = col.cast("string")
+        return F.lower(text).isin(*TRUTHY_WORDS) if field.sql_type == "boolean" else text
     return safe_cast(col, field.type)
 
 

@@ -30,6 +30,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from ..plans.batch import materialize
 from ..session import shared_dir
@@ -51,12 +52,14 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_cols = [_c(k) for k in keys]
     order_cols = [_c(o) for o in order]
-    val = _c(value).cast("double") if value else F.lit(0.0)
+    # integral and decimal values are added up as they are, other numbers as doubles
+    exact = value is not None and isinstance(df.select(_c(value)).schema[0].dataType, (IntegralType, DecimalType))
+    val = (_c(value) if exact else _c(value).cast("double")) if value else F.lit(0)
 
     # range partitioning samples its input in a separate pass: a lazily parsed
     # input is written once first, so the parse is not run twice
     src = materialize(df)
-    path = shared_dir(spark, "tidemark", "ordered", unique=True)
+    path = shared_dir(spark, "tidemark", "ordered", unique=True, temporary=True)
     (src.repartitionByRange(n, *key_cols, *order_cols)
        .withColumn(_PID, F.spark_partition_id())
        .write.mode("overwrite").parquet(path))
@@ -100,6 +103,6 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
         # like a window sum: null until the key has seen a non-null value
         carried = F.when(inherits, F.col("carry_s"))
         out = out.withColumn(total_col, F.when(
-            F.col(_LSUM).isNull() & carried.isNull(), F.lit(None).cast("double"))
-            .otherwise(F.coalesce(F.col(_LSUM), F.lit(0.0)) + F.coalesce(carried, F.lit(0.0))))
+            F.col(_LSUM).isNull() & carried.isNull(), F.lit(None))
+            .otherwise(F.coalesce(F.col(_LSUM), F.lit(0)) + F.coalesce(carried, F.lit(0))))
     return out.drop(_PID, _LRN, _LSUM, _KEY, "carry_key", "carry_n", "carry_s")

@@ -30,11 +30,11 @@ from typing import Any, Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.changes import (
-    OP_DELETE, image_struct_type, is_json_text, parse_record, typed_from_struct,
+    OP_DELETE, image_struct_type, is_json_text, parse_record, raw_texts, typed_from_struct,
 )
 from ..spec import OP_COLUMN, DeclaredSchema
 
-_V, _OPV, _OK, _OP, _ROW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row"
+_V, _OPV, _OK, _OP, _ROW, _RAW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row", "__tm_raw"
 
 _EMPTY_STRUCT = "struct<>"
 
@@ -77,7 +77,7 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     ``keep`` carries input columns (e.g. a Kafka ``key``, ``partition``,
     ``offset``) in front of the declared fields.  ``image`` is ``auto``
     (delete -> before, else after), ``before`` or ``after``.  ``operations``,
-    when given, keeps only records whose op is in the list (decided on the
+    when not empty, keeps only records whose op is in the list (decided on the
     parsed op, before any image is cast; malformed records never match).
     Works on batch and streaming frames alike.
     """
@@ -91,12 +91,15 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     names = _keep(df, keep)
     st = image_struct_type(declared)
 
-    step1 = df.select(*names, parse_record(_quoted(value_col)).alias(_V))
+    raw = raw_texts(_quoted(value_col), declared)
+    raws = [raw.alias(_RAW)] if raw is not None else []
+    step1 = df.select(*names, parse_record(_quoted(value_col)).alias(_V), *raws)
+    raws = [F.col(_RAW)] if raws else []
     v = F.col(_V)
     opv = F.try_variant_get(v, "$['op']", "variant")
     op_is_text = is_json_text(opv)
     op_text = F.when(op_is_text, F.try_variant_get(opv, "$", "string"))
-    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP))
+    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP), *raws)
 
     v, opv, op = F.col(_V), F.col(_OPV), F.col(_OP)
     before, after = "$['before']", "$['after']"
@@ -108,7 +111,7 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
         row = F.try_variant_get(v, before if image == "before" else after, st)
     # the image cast gets a Project of its own, so it is evaluated once per
     # record (not again inside the short-circuit of the well-formed check)
-    step3 = step2.select(*names, v, opv, op, row.alias(_ROW))
+    step3 = step2.select(*names, v, opv, op, row.alias(_ROW), *raws)
 
     v, opv, op, rowc = F.col(_V), F.col(_OPV), F.col(_OP), F.col(_ROW)
     if image == "auto":
@@ -119,15 +122,19 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     ok = (_is_object(v, "$")
           & (opv.isNull() | op.isNotNull())
           & (rowc.isNotNull() | img_absent))
-    step3 = step3.select(*names, ok.alias(_OK), op, rowc)
+    if raws:
+        part = F.col(_RAW).getField("before" if image == "before" else "after")
+        if image == "auto":
+            part = F.when(is_delete, F.col(_RAW).getField("before")).otherwise(part)
+        raws = [part.alias(_RAW)]
+    step3 = step3.select(*names, ok.alias(_OK), op, rowc, *raws)
 
     okc, rowc = F.col(_OK), F.col(_ROW)
-    out = [F.when(okc, typed_from_struct(rowc, f)).alias(f.name) for f in declared.fields]
+    rawc = F.col(_RAW) if raws else None
+    out = [F.when(okc, typed_from_struct(rowc, f, rawc)).alias(f.name) for f in declared.fields]
     op_out = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
     ops = [str(o) for o in (operations or [])]
-    wanted = None
-    if operations is not None:
-        wanted = okc & F.coalesce(F.col(_OP), F.lit("")).isin(*ops) if ops else F.lit(False)
+    wanted = okc & F.coalesce(F.col(_OP), F.lit("")).isin(*ops) if ops else None
     return step3.select(*names, _emit(F.struct(*out, op_out), wanted))
 
 
@@ -138,8 +145,10 @@ def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
     declared = DeclaredSchema.coerce(schema)
     names = _keep(df, keep)
     st = image_struct_type(declared)
+    raw = raw_texts(_quoted(value_col), declared, ("after",))
+    raws = [raw.getField("after").alias(_RAW)] if raw is not None else []
     step1 = df.select(*names, F.try_variant_get(parse_record(_quoted(value_col)), "$['after']", st)
-                      .alias(_ROW))
-    rowc = F.col(_ROW)
-    typed = F.struct(*[typed_from_struct(rowc, f).alias(f.name) for f in declared.fields])
+                      .alias(_ROW), *raws)
+    rowc, rawc = F.col(_ROW), F.col(_RAW) if raws else None
+    typed = F.struct(*[typed_from_struct(rowc, f, rawc).alias(f.name) for f in declared.fields])
     return step1.select(*names, _emit(typed, rowc.isNotNull()))

@@ -13,39 +13,62 @@ all come from the SQL; Catalyst and AQE pick the physical strategy.
 
 from __future__ import annotations
 
+import re
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
 from ..spec import JobSpec
 
 
-def materialize(batch: DataFrame) -> DataFrame:
-    """Cut the lineage of a lazily parsed bounded frame before SQL runs on it.
-
-    Catalyst treats projections as cheap: a join key, an inferred not-null
-    filter or a semi join on a parsed field is pushed *below* the parse by
-    inlining the field's whole expression, so each record would be parsed
-    again for every such use.  A persisted micro-batch (the streaming path)
-    already holds parsed rows; any other bounded frame is written once as a
-    parquet table in the shared checkpoint folder and the SQL reads it back:
-    one parse per record, columnar storage, and the scan gets column pruning
-    and filter pushdown on the parsed fields.  Lost executors only retry
-    their write tasks; the written files survive them.
+def materialize(batch: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Write a lazily parsed bounded frame once (only ``columns`` of it) to the
+    shared folder and read it back, so that several readers share one parse.  A
+    persisted micro-batch already holds parsed rows and is returned as it is.
+    The files go when the application ends; lost executors only retry their
+    write tasks.
     """
     if batch.isStreaming or batch.storageLevel.useMemory or batch.storageLevel.useDisk:
         return batch
-    path = shared_dir(batch.sparkSession, "tidemark", "staged", unique=True)
-    batch.write.mode("overwrite").parquet(path)
-    return batch.sparkSession.read.parquet(path)
+    path = shared_dir(batch.sparkSession, "tidemark", "staged", unique=True, temporary=True)
+    kept = [f"`{c}`" for c in columns] if columns else ["*"]
+    rows = batch.select(*kept)
+    rows.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def view_reads(spark: SparkSession, sql: str, view: str) -> int:
+    """How often the SQL reads the view, from its analysed plan (a common table
+    expression that is used again counts again)."""
+    plan = spark.sql(f"EXPLAIN EXTENDED {sql}").first()[0]
+    analysed = plan.split("== Analyzed Logical Plan ==")[-1].split("== Optimized Logical Plan ==")[0]
+    reads = len(re.findall(rf"SubqueryAlias `?{re.escape(view)}`?(?![\w`])", analysed, re.I))
+    uses, made = analysed.count("CTERelationRef"), analysed.count("CTERelationDef")
+    return reads + max(0, uses - made)
+
+
+def columns_named(sql: str, columns: Iterable[str]) -> list[str]:
+    """The columns the SQL may read: those it names; all if it holds a star that is
+    not ``count(*)`` or a natural join."""
+    text = re.sub(r"count\s*\(\s*\*\s*\)", "", sql, flags=re.I)
+    # a multiplication has an operand on its left, "select *" and "t.*" do not
+    if re.search(r"(?:select|distinct|all|,|\.|\()\s*\*|\*/\s*\*|\bnatural\b", text, re.I):
+        return list(columns)
+    return [c for c in columns if c.lower() in text.lower()] or list(columns)[:1]
 
 
-def run_sql(batch: DataFrame, sql: str | None, view: str) -> DataFrame:
+def run_sql(batch: DataFrame, sql: str | None, view: str, *, stage: bool = False) -> DataFrame:
+    """Run the SQL over the batch.  ``stage``: when the SQL reads the view more than
+    once, the columns it needs are written first; read once, nothing is written
+    (later filters stay above the parse in any case)."""
     if not sql or not sql.strip():
         return batch
+    spark = batch.sparkSession
     batch.createOrReplaceTempView(view)
-    return batch.sparkSession.sql(sql)
+    if stage and view_reads(spark, sql, view) > 1:
+        materialize(batch, columns_named(sql, batch.columns)).createOrReplaceTempView(view)
+    return spark.sql(sql)
 
 
 def select_columns(df: DataFrame, columns: Iterable[str] | None) -> DataFrame:
@@ -60,7 +83,6 @@ def select_columns(df: DataFrame, columns: Iterable[str] | None) -> DataFrame:
 def apply_batch(batch: DataFrame, spec: JobSpec, batch_id: int | None = None, *,
                 materialize_input: bool = True) -> DataFrame:
     view = spec.output.temp_view or spec.name or f"_tmp_batch_{batch_id}"
-    sql = spec.output.sql
-    if materialize_input and sql and sql.strip():
-        batch = materialize(batch)
-    return select_columns(run_sql(batch, sql, view), spec.output.columns)
+    held = batch.isStreaming or batch.storageLevel.useMemory or batch.storageLevel.useDisk
+    out = run_sql(batch, spec.output.sql, view, stage=materialize_input and not held)
+    return select_columns(out, spec.output.columns)

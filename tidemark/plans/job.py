@@ -19,7 +19,8 @@ METRICS_NAME = "cdc_rows"
 
 
 def parsed(raw: DataFrame, spec: JobSpec) -> DataFrame:
-    return parse_changes(raw, spec.schema, keep=spec.source.keep_columns)
+    return parse_changes(raw, spec.schema, keep=spec.source.keep_columns,
+                         operations=spec.operations)
 
 
 def with_metrics(df: DataFrame, name: str = METRICS_NAME) -> DataFrame:

@@ -56,6 +56,12 @@ SQL = {
     "sql_rollup": (
         "select op, o_orderpriority, count(*) as n, round(sum(o_totalprice), 2) as total "
         f"from {ORDERS_VIEW} group by rollup (op, o_orderpriority)"),
+    "sql_cube": (
+        "select op, o_orderstatus, count(*) as n, max(o_orderkey) as last_key "
+        f"from {ORDERS_VIEW} group by cube (op, o_orderstatus)"),
+    "sql_grouping_sets": (
+        "select op, o_orderpriority, o_orderstatus, count(*) as n, min(o_custkey) as first_customer "
+        f"from {ORDERS_VIEW} group by grouping sets ((op, o_orderpriority), (o_orderstatus), ())"),
     "sql_distinct": f"select distinct o_custkey, op from {ORDERS_VIEW}",
     "sql_topk": (
         f"select o_orderkey, o_totalprice, op from {ORDERS_VIEW} "
@@ -138,6 +144,31 @@ def sql_pricing_summary(spark, sf):
     return apply_batch(batch, JobSpec(name=LINEITEM_VIEW, output=OutputSpec(sql=PRICING_SQL)))
 
 
+# An order has few lines (17 at most at sf0.1), so no window holds many rows; the
+# order is total over every column that the result depends on.
+_LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice"
+WINDOW_SQL = {
+    "sql_window_rank": (
+        "select l_orderkey, l_partkey, l_quantity, "
+        f"row_number() over (partition by l_orderkey order by {_LINE_ORDER}) as line_rank, "
+        "dense_rank() over (partition by l_orderkey order by l_quantity desc) as quantity_rank "
+        f"from {LINEITEM_VIEW} where op <> 'd'"),
+    "sql_window_frame": (
+        "select l_orderkey, l_partkey, l_quantity, "
+        f"sum(l_quantity) over (partition by l_orderkey order by {_LINE_ORDER} "
+        "rows between 2 preceding and current row) as recent_quantity, "
+        f"lag(l_quantity, 1, 0.0) over (partition by l_orderkey order by {_LINE_ORDER}) as prior_quantity "
+        f"from {LINEITEM_VIEW}"),
+}
+
+
+def _lineitem_query(sql: str):
+    def run(spark, sf):
+        batch = cdc_parse_lineitem(spark, sf)
+        return apply_batch(batch, JobSpec(name=LINEITEM_VIEW, output=OutputSpec(sql=sql)))
+    return run
+
+
 EVENTS_VIEW = "events_changes"
 EVENTS_SCHEMA = [("event_id", "long"), ("ts", "timestamp"), ("user_id", "long"),
                  ("event_type", "string"), ("value", "double")]
@@ -175,6 +206,7 @@ QUERIES["sql_filter_project"] = _sql_query(
 QUERIES["sql_latest_per_key"] = _sql_query(LATEST_SQL)
 QUERIES["sql_pricing_summary"] = sql_pricing_summary
 QUERIES["sql_hourly_events"] = sql_hourly_events
+QUERIES.update({name: _lineitem_query(sql) for name, sql in WINDOW_SQL.items()})
 QUERIES["select_columns_partial"] = select_columns_partial
 QUERIES["phone_normalize"] = phone_normalize
 
@@ -195,6 +227,7 @@ ORACLES["phone_normalize"] = PHONE_ORACLE
 ORACLES["sql_hourly_events"] = (
     f"WITH {EVENTS_VIEW} AS (SELECT event_id, ts, user_id, event_type, value, "
     f"{op_sql('event_id')} AS op FROM events) " + HOURLY_SQL)
-ORACLES["sql_pricing_summary"] = (
-    f"WITH {LINEITEM_VIEW} AS (SELECT *, {op_sql('(l_orderkey * 8 + l_linenumber)')} AS op "
-    "FROM lineitem) " + PRICING_SQL)
+_LINEITEM_VIEW_SQL = (
+    f"WITH {LINEITEM_VIEW} AS (SELECT *, {op_sql('(l_orderkey * 8 + l_linenumber)')} AS op FROM lineitem) ")
+ORACLES["sql_pricing_summary"] = _LINEITEM_VIEW_SQL + PRICING_SQL
+ORACLES.update({name: _LINEITEM_VIEW_SQL + sql for name, sql in WINDOW_SQL.items()})

@@ -139,7 +139,31 @@ def cdc_parse_upserts(spark, sf):
 
 
 def cdc_filter_empty_list(spark, sf):
-    return filter_by_operation(orders_feed(spark, sf), []).select("key")
+    feed = filter_by_operation(orders_feed(spark, sf, malformed_every=50), [])
+    return as_ntz(parse_changes(feed, ORDERS_SCHEMA, keep=["key"], operations=[]))
+
+
+NUMBER_TEXT_SCHEMA = [("whole", "string"), ("flag", "boolean"), ("detail", "struct")]
+
+
+def cdc_number_text(spark, sf):
+    """Numbers and objects under text, boolean and struct fields keep their writing."""
+    ready(spark)
+    part = table(spark, sf, "part").select(
+        "p_partkey", F.floor("p_retailprice").cast("double").alias("whole"),
+        F.pmod("p_partkey", F.lit(2)).cast("double").alias("flag"),
+        F.struct(F.col("p_retailprice").alias("z"), F.col("p_size").alias("a")).alias("detail"))
+    feed = change_feed(part, key="p_partkey", table="part")
+    return parse_changes(feed, NUMBER_TEXT_SCHEMA, keep=["key"])
+
+
+def cdc_parse_duplicate_keys(spark, sf):
+    """Of equal keys the last one counts, in the record and in its image."""
+    ready(spark)
+    k = F.col("o_orderkey").cast("string")
+    value = F.concat(F.lit('{"op":"d","after":{"k":-1},"after":{"k":0,"s":"first","k":'), k,
+                     F.lit(',"s":"last"},"op":"u"}'))
+    return parse_changes(table(spark, sf, "orders").select(value.alias("value")), [("k", "long"), ("s", "string")])
 
 
 def cdc_record_op(spark, sf):
@@ -210,6 +234,8 @@ QUERIES = {
     "cdc_filter_upserts": cdc_filter_upserts,
     "cdc_parse_upserts": cdc_parse_upserts,
     "cdc_filter_empty_list": cdc_filter_empty_list,
+    "cdc_number_text": cdc_number_text,
+    "cdc_parse_duplicate_keys": cdc_parse_duplicate_keys,
     "cdc_record_op": cdc_record_op,
     "cdc_before_image": cdc_before_image,
     "cdc_after_image": cdc_after_image,
@@ -278,7 +304,14 @@ ORACLES = {
     "cdc_parse_upserts": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {ORDERS_SELECT}, {OP} AS op "
         f"FROM orders WHERE {OP} IN ('c', 'u') AND o_orderkey % 50 <> 0"),
-    "cdc_filter_empty_list": "SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders",
+    "cdc_filter_empty_list": (
+        f"SELECT CAST(o_orderkey AS VARCHAR) AS key, {_nulls_when('o_orderkey % 50 = 0', ORDERS_COLS)}, "
+        f"CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {OP} END AS op FROM orders"),
+    "cdc_number_text": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS key, CAST(CAST(floor(p_retailprice) AS DOUBLE) AS VARCHAR) AS whole, "
+        "false AS flag, '{\"z\":' || CAST(p_retailprice AS VARCHAR) || ',\"a\":' || CAST(p_size AS VARCHAR) || '}' "
+        f"AS detail, {op_sql('p_partkey')} AS op FROM part"),
+    "cdc_parse_duplicate_keys": "SELECT o_orderkey AS k, 'last' AS s, 'u' AS op FROM orders",
     "cdc_record_op": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS key, "
         f"CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {OP} END AS op FROM orders"),

@@ -10,22 +10,25 @@ the job over them with ``availableNow`` and returns what the sink holds.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import parse_changes
-from ..plans.batch import apply_batch
-from ..session import shared_dir
-from ..sinks.table import console_rows
+from ..plans.batch import apply_batch, materialize
+from ..session import checkpoint_setting, shared_dir
+from ..sinks.table import BATCH_ID_COLUMN, QUERY_ID_COLUMN, console_rows, write_batch
 from ..spec import JobSpec, OutputSpec, SourceSpec
 from ..streaming.runner import BatchHandler, run_job
 from .common import ORDERS_COLS, ORDERS_SCHEMA, ORDERS_VIEW, as_ntz, op_sql, orders_feed, ready
 
 OP = op_sql("o_orderkey")
 GROUPS = 4
+STREAM_DATABASE = "tidemark_streams"
 
 
 def _workdir(spark: SparkSession, name: str) -> str:
-    return shared_dir(spark, "tidemark", "streams", name, unique=True)
+    return shared_dir(spark, "tidemark", "streams", name, unique=True, temporary=True)
 
 
 def write_feed_files(spark: SparkSession, sf: str, folder: str, groups=None) -> None:
@@ -42,16 +45,20 @@ def write_feed_files(spark: SparkSession, sf: str, folder: str, groups=None) ->
 
 
 def _job(work: str, *, sql: str | None = None, mode: str = "append",
-         max_files: int | None = 4, idempotent: bool = False) -> JobSpec:
+         max_files: int | None = 4, idempotent: bool = False, table: str = "",
+         default_checkpoint: bool = False) -> JobSpec:
     # the job (and its query) is named after its folder, so two runs never
     # share a query name; the SQL sees the batch under the fixed view name
     return JobSpec(
         name=f"{ORDERS_VIEW}_{work.rstrip('/').rsplit('/', 1)[-1]}",
         schema=ORDERS_SCHEMA,
         source=SourceSpec(kind="files", path=f"{work}/in", max_files_per_trigger=max_files),
-        output=OutputSpec(sql=sql, temp_view=ORDERS_VIEW, path=f"{work}/out", write_mode=mode,
-                          idempotent=idempotent),
-        checkpoint_location=f"{work}/checkpoint",
+        output=OutputSpec(sql=sql, temp_view=ORDERS_VIEW, path=None if table else f"{work}/out",
+                          target_table=table, write_mode=mode, idempotent=idempotent,
+                          table_properties={"feed": "orders"} if table else {}),
+        # by default under spark.checkpoint.dir; that may be unset where queries are only tried out
+        checkpoint_root=None if default_checkpoint and checkpoint_setting(SparkSession.getActiveSession()) else work,
+        catalog="spark_catalog",
     )
 
 
@@ -92,16 +99,46 @@ def stream_batch_counts(spark, sf):
 
 
 def stream_restart(spark, sf):
-    """Two runs on one checkpoint, files added in between: every row once."""
+    """Two runs at the job's default checkpoint place, files added in between:
+    every row once."""
     ready(spark)
     work = _workdir(spark, "restart")
     write_feed_files(spark, sf, f"{work}/in", groups=[0, 1])
-    run_job(spark, _job(work), available_now=True)
+    run_job(spark, _job(work, default_checkpoint=True), available_now=True)
     write_feed_files(spark, sf, f"{work}/in", groups=[2, 3])
-    run_job(spark, _job(work), available_now=True)
+    run_job(spark, _job(work, default_checkpoint=True), available_now=True)
     return as_ntz(_result(spark, work))
 
 
+def _new_table(spark: SparkSession, name: str) -> str:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS spark_catalog.{STREAM_DATABASE}")
+    return f"{STREAM_DATABASE}.{name}_{uuid.uuid4().hex}"
+
+
+def stream_table_append(spark, sf):
+    """A catalog table by a two-part name: made with its properties, then appended to."""
+    ready(spark)
+    work, table = _workdir(spark, "table"), _new_table(spark, "orders")
+    write_feed_files(spark, sf, f"{work}/in")
+    run_job(spark, _job(work, table=table), available_now=True)
+    return as_ntz(spark.table(f"spark_catalog.{table}"))
+
+
+EMPTY_SQL = f"select count(*) as n from {ORDERS_VIEW}"
+
+
+def stream_empty_batch(spark, sf):
+    """A batch without rows never reaches the SQL, which would give a row for it."""
+    ready(spark)
+    work = _workdir(spark, "empty")
+    spec = _job(work, sql=EMPTY_SQL)
+    parsed = parse_changes(orders_feed(spark, sf), ORDERS_SCHEMA)
+    handler = BatchHandler(spec)
+    for batch_id, batch in enumerate((parsed.filter("op is null"), parsed, parsed.filter("op = 'none'"))):
+        handler(batch, batch_id)
+    return _result(spark, work).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("batches"))
+
+
 def stream_overwrite(spark, sf):
     """Overwrite mode replaces the table on every batch: after one run per file
     set (one batch each), the table holds the last set's rows."""
@@ -114,17 +151,20 @@ def stream_overwrite(spark, sf):
 
 
 def stream_idempotent(spark, sf):
-    """Each batch handed to the sink twice (a replay after a crash) is kept once."""
+    """A job into a catalog table whose batches are handed to the sink a second time
+    under the same query and batch ids (a replay after a crash): kept once."""
     ready(spark)
-    work = _workdir(spark, "idempotent")
-    spec = _job(work, idempotent=True)
-    handler = BatchHandler(spec)
-    parsed = parse_changes(orders_feed(spark, sf), ORDERS_SCHEMA)
-    first = parsed.filter(F.col("op").isin("c", "u"))
-    second = parsed.filter(~F.col("op").isin("c", "u"))
-    for batch_id, batch in ((0, first), (0, first), (1, second), (1, second)):
-        handler(batch, batch_id)
-    return as_ntz(_result(spark, work))
+    work, table = _workdir(spark, "idempotent"), _new_table(spark, "orders")
+    spec = _job(work, idempotent=True, table=table)
+    write_feed_files(spark, sf, f"{work}/in")
+    run_job(spark, spec, available_now=True)
+    full = f"spark_catalog.{table}"
+    done = spark.table(full)
+    batch_id, query_id = done.agg(F.max(BATCH_ID_COLUMN)).first()[0], done.first()[QUERY_ID_COLUMN]
+    last = materialize(done.filter(F.col(BATCH_ID_COLUMN) == batch_id).drop(BATCH_ID_COLUMN, QUERY_ID_COLUMN))
+    write_batch(last, spec.output, table=full, batch_id=batch_id, query_id=query_id)
+    spark.catalog.refreshTable(full)
+    return as_ntz(spark.table(full).drop(BATCH_ID_COLUMN, QUERY_ID_COLUMN))
 
 
 PREVIEW_SQL = f"select * from {ORDERS_VIEW} order by o_orderkey"
@@ -143,6 +183,8 @@ QUERIES = {
     "stream_sql": stream_sql,
     "stream_batch_counts": stream_batch_counts,
     "stream_restart": stream_restart,
+    "stream_table_append": stream_table_append,
+    "stream_empty_batch": stream_empty_batch,
     "stream_overwrite": stream_overwrite,
     "stream_idempotent": stream_idempotent,
     "console_preview": console_preview,
@@ -158,7 +200,8 @@ ORACLES = {
     "stream_restart": _ROWS,
     # the last file set holds the snapshot reads ('r'): the table keeps those
     "stream_overwrite": _ROWS + f" WHERE {OP} = 'r'",
-    "stream_idempotent": (f"SELECT {', '.join(ORDERS_COLS)}, {OP} AS op, "
-                          f"CASE WHEN {OP} IN ('c', 'u') THEN 0 ELSE 1 END AS _batch_id FROM orders"),
+    "stream_idempotent": _ROWS,
+    "stream_table_append": _ROWS,
+    "stream_empty_batch": "SELECT count(*) AS n, 1 AS batches FROM orders",
     "console_preview": _ROWS + " ORDER BY o_orderkey LIMIT 20",
 }

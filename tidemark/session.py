@@ -7,17 +7,17 @@ launches Spark).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from .functions.changes import DUPLICATE_KEYS
 from .spec import JobSpec
 
 # Duplicate keys in a record: the last one wins (as in Python's json module),
 # instead of the whole record being treated as invalid.
-VARIANT_DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+VARIANT_DUPLICATE_KEYS = DUPLICATE_KEYS
 
 
 def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
@@ -37,37 +37,42 @@ def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
         spark.conf.set(k, str(v))
 
 
+def checkpoint_setting(spark: SparkSession) -> str | None:
+    """The folder named by the ``spark.checkpoint.dir`` setting: the same in every
+    application, unlike ``getCheckpointDir()``, which ends in a fresh id."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root.rstrip("/") if root else None
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder for job state (``spark.checkpoint.dir``).
+    """The cluster's shared folder for scratch tables.
 
-    Read from the session; only when it is unset (local tests) is a folder of
-    our own made and set, so lineage cuts and stream state never land on a
-    machine-local path on a cluster.
+    The ``spark.checkpoint.dir`` setting, else the application's checkpoint
+    folder; only when both are unset (local tests) is a folder of our own made
+    and set.  Stream checkpoints never use the last two: see ``job_checkpoint``.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote session has no SparkContext handle
-        sc = None
-    root = (sc.getCheckpointDir() if sc is not None else None) \
-        or spark.conf.get("spark.checkpoint.dir", None)
+    root = checkpoint_setting(spark)
     if root:
-        return root.rstrip("/")
-    root = tempfile.mkdtemp(prefix="tidemark-state-")
-    if sc is not None:
-        sc.setCheckpointDir(root)
-        return (sc.getCheckpointDir() or root).rstrip("/")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A folder under the shared root; ``unique`` appends a fresh id."""
-    base = shared_root(spark)
+        return root
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-scratch-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def shared_dir(spark: SparkSession, *parts: str, unique: bool = False, temporary: bool = False) -> str:
+    """A folder under the shared root (made by whoever writes to it); ``unique``
+    appends a fresh id, ``temporary`` has it removed when the application ends."""
     segs = [p.strip("/") for p in parts if p]
     if unique:
         segs.append(uuid.uuid4().hex)
-    path = "/".join([base, *segs])
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path,
-                    exist_ok=True)
+    path = "/".join([shared_root(spark), *segs])
+    if temporary:
+        remove_at_end(spark, path)
     return path
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have the path's own file system delete it when the driver ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)

@@ -14,18 +14,25 @@ a hot key makes too large, so one key cannot make one write task the whole
 batch.
 
 Delivery is at least once by default: a batch replayed after a crash is
-appended again.  ``idempotent=True`` tags rows with ``_batch_id`` and writes
-with dynamic partition overwrite, so replaying a batch replaces that batch's
-rows instead of adding them a second time.
+appended again.  ``idempotent=True`` tags rows with ``_query_id`` (kept in the
+checkpoint, so another checkpoint never meets these rows) and ``_batch_id``, and
+a replay replaces the rows with both tags.  In a catalog plugin's table that is
+an overwrite by predicate; in Spark's own catalog it replaces the partition with
+both tags stated, and at a path it is a dynamic overwrite of that partition, the
+least that plain files can replace.  No session setting decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..spec import DEFAULT_CATALOG, DEFAULT_NAMESPACE, JobSpec, OutputSpec
 
+QUERY_ID_COLUMN = "_query_id"
 BATCH_ID_COLUMN = "_batch_id"
+NO_QUERY = "none"      # a batch written outside a stream
 
 
 def resolve_table_name(target: str = "", *, job_name: str = "", table: str = "",
@@ -49,41 +56,93 @@ def checkpoint_path(root: str, job_name: str, stream_name: str = "main") -> str:
     return f"{root.rstrip('/')}/checkpoints/{job_name}/{stream_name}"
 
 
-def _prepare(df: DataFrame, out: OutputSpec, batch_id: int | None) -> DataFrame:
+def _prepare(df: DataFrame, out: OutputSpec, batch_id: int | None, query_id: str) -> DataFrame:
     if out.distribute_by:
         df = df.hint("rebalance", *list(out.distribute_by))
     if out.idempotent:
         if batch_id is None:
             raise ValueError("idempotent writes need the batch id")
-        df = df.withColumn(BATCH_ID_COLUMN, F.lit(int(batch_id)).cast("bigint"))
+        df = (df.withColumn(QUERY_ID_COLUMN, F.lit(query_id or NO_QUERY))
+                .withColumn(BATCH_ID_COLUMN, F.lit(int(batch_id)).cast("bigint")))
     return df
 
 
+def is_v2(spark: SparkSession, table: str) -> bool:
+    """True when the table lives in a catalog plugin (Iceberg and the like), not in
+    Spark's own session catalog."""
+    catalog = table.split(".")[0] if table.count(".") >= 2 else "spark_catalog"
+    return spark.conf.get(f"spark.sql.catalog.{catalog}", None) is not None
+
+
+def create_table(df: DataFrame, out: OutputSpec, table: str) -> None:
+    """An empty table with the frame's columns; its properties hold from the first
+    file on.  An idempotent table outside a catalog plugin is partitioned by the
+    batch, since only whole partitions can be replaced there."""
+    spark = df.sparkSession
+    new = spark.createDataFrame([], df.schema).writeTo(table).using(out.format)
+    for k, v in (out.options or {}).items():
+        new = new.option(k, v)
+    for k, v in (out.table_properties or {}).items():
+        new = new.tableProperty(k, v)
+    if out.idempotent and not is_v2(spark, table):
+        new = new.partitionedBy(F.col(QUERY_ID_COLUMN), F.col(BATCH_ID_COLUMN))
+    new.create()
+
+
 def write_batch(df: DataFrame, out: OutputSpec, *, table: str | None = None,
-                batch_id: int | None = None) -> None:
+                batch_id: int | None = None, query_id: str = "") -> None:
     """Write one bounded frame to ``out.path`` (when set) or to ``table``."""
-    df = _prepare(df, out, batch_id)
-    writer = df.write.format(out.format).options(**(out.options or {}))
-    if out.idempotent:
-        writer = (writer.mode("overwrite").partitionBy(BATCH_ID_COLUMN)
-                        .option("partitionOverwriteMode", "dynamic"))
-    else:
-        writer = writer.mode(out.write_mode)
+    df = _prepare(df, out, batch_id, query_id)
+    options = dict(out.options or {})
     if out.path:
+        writer = df.write.format(out.format).options(**options)
+        if out.idempotent:
+            writer = (writer.mode("overwrite").partitionBy(QUERY_ID_COLUMN, BATCH_ID_COLUMN)
+                            .option("partitionOverwriteMode", "dynamic"))
+        else:
+            writer = writer.mode(out.write_mode)
         writer.save(out.path)
         return
     if not table:
         raise ValueError("table sink without a table name")
     spark = df.sparkSession
-    existed = spark.catalog.tableExists(table)
-    if out.idempotent and existed:
-        (df.write.option("partitionOverwriteMode", "dynamic")
-           .insertInto(table, overwrite=True))  # replaces only this batch's partition
+    mode = "overwrite" if out.idempotent else out.write_mode.lower()
+    if mode not in ("append", "overwrite"):
+        df.write.format(out.format).options(**options).mode(mode).saveAsTable(table)
+        return
+    if not spark.catalog.tableExists(table):
+        create_table(df, out, table)
+    if is_v2(spark, table):
+        to = df.writeTo(table)
+        for k, v in options.items():
+            to = to.option(k, v)
+        if out.idempotent:      # by predicate and by name: nothing but this batch's rows can go
+            to.overwrite((F.col(QUERY_ID_COLUMN) == F.lit(query_id or NO_QUERY))
+                         & (F.col(BATCH_ID_COLUMN) == F.lit(int(batch_id))))
+        elif mode == "overwrite":
+            to.overwrite(F.lit(True))
+        else:
+            to.append()
+        return
+    columns = [f"`{c.name}`" for c in spark.catalog.listColumns(table)]     # both inserts go by position
+    if out.idempotent:          # both tags stated: exactly that partition is replaced
+        _replace_partition(df, table, columns, query_id or NO_QUERY, int(batch_id))
         return
-    writer.saveAsTable(table)
-    if out.table_properties and not existed:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in out.table_properties.items())
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({props})")
+    (df.select(*columns).write.options(**options).option("partitionOverwriteMode", "static")
+       .insertInto(table, overwrite=mode == "overwrite"))
+
+
+def _replace_partition(df: DataFrame, table: str, columns: list[str], query_id: str, batch_id: int) -> None:
+    spark = df.sparkSession
+    own = [c for c in columns if c.strip("`") not in (QUERY_ID_COLUMN, BATCH_ID_COLUMN)]
+    view = f"tidemark_batch_{uuid.uuid4().hex}"
+    df.select(*own).createOrReplaceTempView(view)
+    name = query_id.replace("\\", "\\\\").replace("'", "\\'")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{QUERY_ID_COLUMN}` = '{name}', "
+                  f"`{BATCH_ID_COLUMN}` = {batch_id}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def console_rows(df: DataFrame, n: int | None = None) -> DataFrame:

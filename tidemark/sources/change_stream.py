@@ -80,7 +80,8 @@ def read_change_batch(spark: SparkSession, source: SourceSpec) -> DataFrame:
     if source.kind == "kafka":
         opts = kafka_options(source)
         opts.pop("maxOffsetsPerTrigger", None)
-        opts["startingOffsets"] = "earliest" if source.starting_offsets == "latest" else opts["startingOffsets"]
+        if source.starting_offsets == "latest":
+            raise ValueError("a bounded read cannot start at the latest offsets: say earliest, or give offsets")
         return spark.read.format("kafka").options(**opts).load()
     if source.kind == "files":
         opts = file_options(source)

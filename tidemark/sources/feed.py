@@ -48,18 +48,9 @@ def epoch_millis(c: Column) -> Column:
 
 
 def spread_by_key(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``key`` when the frame has fewer partitions than the
-    cluster's default parallelism (or than ``num_partitions`` when given)."""
-    spark = df.sparkSession
-    if num_partitions is None:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() >= target:
-                return df
-        except Exception:  # no RDD view of the plan (e.g. a remote session)
-            target = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    else:
-        target = num_partitions
+    """Hash-partition by ``key``: all changes of a key lie in one partition, in any
+    number of input partitions."""
+    target = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(target, F.col(f"`{key}`"))
 
 

@@ -150,7 +150,6 @@ def _from_mapping(cls, data: Mapping[str, Any] | None):
 DEFAULT_TRIGGER = "1 seconds"
 DEFAULT_MIN_BATCHES_TO_RETAIN = 5
 DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS = 100000
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 1000
 DEFAULT_STARTING_OFFSETS = "latest"
 DEFAULT_WRITE_MODE = "append"
 DEFAULT_CATALOG = "bronze"
@@ -189,7 +188,7 @@ class SourceSpec:
     topics: str = ""
     bootstrap_servers: str = ""
     starting_offsets: str = DEFAULT_STARTING_OFFSETS
-    max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER
+    max_offsets_per_trigger: int | None = None      # no limit unless the job states one
     min_partitions: int | None = None
     secure: bool = False
     security_protocol: str = DEFAULT_SECURITY_PROTOCOL
@@ -250,6 +249,8 @@ class JobSpec:
     functions: dict[str, str] = field(default_factory=dict)
     # Static tables the job's SQL may join: {view name: parquet path or table name}
     lookup_tables: dict[str, str] = field(default_factory=dict)
+    # Keep only changes with these operations (decided within the parse); empty: all.
+    operations: list[str] = field(default_factory=list)
     checkpoint_root: str | None = None
     checkpoint_location: str | None = None
     catalog: str = DEFAULT_CATALOG

@@ -17,6 +17,7 @@ micro-batch sessions are clones taken at start.
 from __future__ import annotations
 
 import logging
+from collections import deque
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..functions.phone import register_functions
 from ..plans.batch import apply_batch
 from ..plans.job import job_frame
-from ..session import prepare_session, shared_root
+from ..session import checkpoint_setting, prepare_session
 from ..sinks.table import checkpoint_path, console_rows, table_for, write_batch
 from ..spec import JobSpec
 
@@ -50,6 +51,8 @@ class BatchHandler:
         return apply_batch(batch, self.spec, batch_id)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        # the id kept in the checkpoint: a new checkpoint never meets old rows
+        query_id = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
@@ -60,18 +63,19 @@ class BatchHandler:
                 n = self.spec.output.console_rows
                 console_rows(out, n).show(n, truncate=False)
             else:
-                write_batch(out, self.spec.output, table=self.table, batch_id=batch_id)
+                write_batch(out, self.spec.output, table=self.table, batch_id=batch_id, query_id=query_id)
         finally:
             batch.unpersist()
 
 
 class ProgressLog(StreamingQueryListener):
     """Logs each micro-batch's input rows and the parse metrics (rows, rows per
-    op, malformed) from the query's progress: no extra job, no action."""
+    op, malformed) from the query's progress: no extra job, no action.  The last
+    ``keep`` entries stay in ``batches``."""
 
-    def __init__(self, names: set[str] | None = None):
+    def __init__(self, names: set[str] | None = None, keep: int = 100):
         self.names = names
-        self.batches: list[dict] = []
+        self.batches: deque[dict] = deque(maxlen=keep)
         self.registered = False
 
     def onQueryStarted(self, event):
@@ -99,9 +103,15 @@ def query_name(spec: JobSpec) -> str:
 
 
 def job_checkpoint(spark: SparkSession, spec: JobSpec) -> str:
+    """``checkpoint_location``, else under ``checkpoint_root``, else under the
+    ``spark.checkpoint.dir`` setting.  All are the same in the next application,
+    so a restarted job resumes; without any of them there is no such place."""
     if spec.checkpoint_location:
         return spec.checkpoint_location
-    root = spec.checkpoint_root or shared_root(spark)
+    root = spec.checkpoint_root or checkpoint_setting(spark)
+    if not root:
+        raise ValueError(f"job {spec.name!r} has no checkpoint folder: set checkpoint_root, "
+                         "checkpoint_location or spark.checkpoint.dir")
     return checkpoint_path(root, spec.name, "console" if spec.output.sink == "console" else "main")
 
 

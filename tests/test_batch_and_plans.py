@@ -84,3 +84,26 @@ def test_parse_plan_is_one_codegen_stage_without_python(spark):
     p = plan_text(parsed(spark))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "Exchange" not in p
+
+
+def test_unread_fields_are_not_converted(spark):
+    schema = [("ts", "timestamp"), ("a", "int"), ("s", "string")]
+    df = spark.createDataFrame([('{"after":{"ts":"2024-01-02","a":3,"s":"x"},"op":"c"}',)], "value string")
+    p = plan_text(parse_changes(df, schema).groupBy("op").count())
+    assert p.lower().count("try_parse_json") + p.count("parseJson") == 1 and "as timestamp" not in p
+    few = parse_changes(df, schema, columns=["s"])
+    assert few.columns == ["s", "op"] and tuple(few.first()) == ("x", "c")
+    assert "a:int" not in plan_text(few).replace(" ", "")
+
+
+def test_sql_that_reads_once_writes_nothing(spark, monkeypatch):
+    from tidemark.plans import batch as b
+    written = []
+    monkeypatch.setattr(b, "materialize", lambda df, columns=None: written.append(columns) or df)
+    frame = parse_changes(spark.createDataFrame(RECS, "value string"), SCHEMA)
+    b.run_sql(frame, "select op, count(*) from v group by op", "v", stage=True)
+    assert not written
+    b.run_sql(frame, "select op from v where id = 1 union all select op from v", "v", stage=True)
+    b.run_sql(frame, "with x as (select id, count(*) n from v group by id) select a.n from x a join x b on a.id = b.id", "v",
+              stage=True)
+    assert len(written) == 2 and written[0] == ["id", "op"]

@@ -12,8 +12,9 @@ image is null (e.g. a truncate) gets null fields and its ``op``.
 Plan shape: one Project parses the record (a VARIANT) and reads ``op``; the
 next casts the chosen image to the declared fields in one struct cast (the
 image is navigated in place, never copied out) and computes the well-formed
-flag; a Generate (``inline`` of a one-row array) lays the fields out.  All of
-it sits in one whole-stage-codegen span with no Python in the plan.
+flag; a Generate (``inline`` of a one-row array) emits that struct; the last
+Project lays the fields out, so a field that nobody reads is not converted.  All
+of it sits in one whole-stage-codegen span with no Python in the plan.
 
 Why the Generate: Catalyst pushes a filter (or an inferred not-null of a join
 key, or a semi join) below a Project by inlining the projected expression,
@@ -71,7 +72,8 @@ def _emit(row: Column, keep_row: Column | None = None) -> Column:
 
 def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
                   keep: Iterable[str] = (), image: str = "auto",
-                  operations: Iterable[str] | None = None) -> DataFrame:
+                  operations: Iterable[str] | None = None,
+                  columns: Iterable[str] | None = None) -> DataFrame:
     """Parse change records in ``value_col`` into the declared fields plus ``op``.
 
     ``keep`` carries input columns (e.g. a Kafka ``key``, ``partition``,
@@ -79,10 +81,17 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     (delete -> before, else after), ``before`` or ``after``.  ``operations``,
     when not empty, keeps only records whose op is in the list (decided on the
     parsed op, before any image is cast; malformed records never match).
+    ``columns``, when given, narrows the image cast to these declared fields.
     Works on batch and streaming frames alike.
     """
     declared = DeclaredSchema.coerce(schema)
     declared.check_parse_target()
+    if columns is not None:
+        wanted_names = set(columns)
+        unknown = wanted_names - set(declared.names)
+        if unknown:
+            raise ValueError(f"columns not declared: {sorted(unknown)}")
+        declared = DeclaredSchema.coerce([f for f in declared.fields if f.name in wanted_names])
     if image not in ("auto", "before", "after"):
         raise ValueError(f"image must be auto, before or after: {image!r}")
     clash = set(keep or ()) & (set(declared.names) | {OP_COLUMN})
@@ -130,12 +139,14 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     step3 = step3.select(*names, ok.alias(_OK), op, rowc, *raws)
 
     okc, rowc = F.col(_OK), F.col(_ROW)
-    rawc = F.col(_RAW) if raws else None
-    out = [F.when(okc, typed_from_struct(rowc, f, rawc)).alias(f.name) for f in declared.fields]
+    held = [F.when(okc, rowc).alias(_ROW)] + [F.when(okc, F.col(_RAW)).alias(_RAW) for _ in raws]
     op_out = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
     ops = [str(o) for o in (operations or [])]
     wanted = okc & F.coalesce(F.col(_OP), F.lit("")).isin(*ops) if ops else None
-    return step3.select(*names, _emit(F.struct(*out, op_out), wanted))
+    rows = step3.select(*names, _emit(F.struct(*held, op_out), wanted))
+    rawc = F.col(_RAW) if raws else None
+    return rows.select(*names, *[typed_from_struct(F.col(_ROW), f, rawc).alias(f.name) for f in declared.fields],
+                       F.col(OP_COLUMN))
 
 
 def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",

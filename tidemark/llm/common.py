@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import remove_at_end
+
 # Text bytes one Python step holds at a time; one longer text is a step alone.
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 1024
@@ -54,9 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage,
-    survives lost executors, and fixes what later steps see."""
+    survives lost executors, and fixes what later steps see.  The files go when the
+    application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidemark/llm/{name}-{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

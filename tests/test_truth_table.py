@@ -1,6 +1,7 @@
 """Row outcomes of the change-record parse, as literal input/expected pairs."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import parse_changes
 from tidemark.operators import parse_after_only
@@ -128,3 +129,12 @@ def test_kept_columns_may_not_clash(spark):
     df = spark.createDataFrame([("k", "{}")], "op string, value string")
     with pytest.raises(ValueError):
         parse_changes(df, SCHEMA, keep=["op"])
+
+
+def test_long_texts_are_read(spark):
+    sizes = [10, 25_000_000]
+    for n in sizes:
+        df = spark.range(1).select(F.concat(
+            F.lit('{"after":{"a":1,"a":2,"s":"'), F.repeat(F.lit("x"), n), F.lit('"},"op":"c"}')).alias("value"))
+        row = parse_changes(df, SCHEMA).select("a", F.length("s"), "op").first()
+        assert tuple(row) == (2, n, "c")

@@ -36,6 +36,8 @@ DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 # Texts of any length (the reader's own limit is 20 million characters).
 _TEXT_OPTIONS = {"maxStringLen": "2147483647"}
+# Bytes from which on a record may hold such a text.
+_LONG_RECORD = 20_000_000
 _NUMERIC = ("int", "bigint", "double", "float")
 
 
@@ -45,11 +47,15 @@ def _col(c: Any) -> Column:
 
 def parse_record(value: Any) -> Column:
     """Record text (string or binary) -> VARIANT; null when it is not valid JSON.
-    The setting for equal keys is made here, so no caller has to know of it."""
+    The setting for equal keys is made here, so no caller has to know of it.  A
+    record long enough to hold a text beyond the plain parser's limit goes through
+    the reader that has no such limit."""
     spark = SparkSession.getActiveSession()
     if spark is not None and spark.conf.get(DUPLICATE_KEYS, "false") != "true":
         spark.conf.set(DUPLICATE_KEYS, "true")
-    return F.try_parse_json(_col(value).cast("string"))
+    text = _col(value).cast("string")
+    return F.when(F.octet_length(text) >= _LONG_RECORD, F.from_json(text, "variant", _TEXT_OPTIONS)) \
+            .otherwise(F.try_parse_json(text))
 
 
 def is_json_null(v: Column) -> Column:

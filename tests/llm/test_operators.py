@@ -61,6 +61,38 @@ def test_schedule_is_the_token_by_token_round_robin(totals, shares):
     assert every[-1].tolist() == totals
 
 
+@pytest.mark.parametrize("cells", [1, 40, 1 << 20])
+def test_pieces_do_not_depend_on_the_table_of_edges(spark, cells):
+    """Sources that lie apart in the input, one very rare, with tables of few windows."""
+    sizes = {"a": [90] * 30, "b": [7, 1, 40, 3], "c": [400, 2, 300]}
+    window, totals = 16, [(q, sum(n)) for q, n in sizes.items()]
+    rows, ids = [], {}
+    for q, lengths in sizes.items():
+        at = 0
+        for n in lengths:
+            doc = len(ids)
+            ids[doc] = np.arange(doc * 1000, doc * 1000 + n, dtype="<u4")
+            rows.append((doc, q, bytearray(ids[doc].tobytes()), at))
+            at += n
+    df = spark.createDataFrame(rows, "doc_id long, queue string, ids binary, start long").coalesce(1)
+    got = packing.cut_pieces(df, totals, None, window, cells).toPandas()
+    plan = packing.Schedule([n for _, n in totals], [n for _, n in totals])
+    names = [q for q, _ in totals]
+    order = sorted(((j + 0.5) / plan.p[s], s) for s, (_, n) in enumerate(totals) for j in range(n))
+    queued = {q: iter(np.concatenate([ids[d] for d, p, _, _ in rows if p == q])) for q in names}
+    stream = np.array([next(queued[names[s]]) for _, s in order], "<u4")
+    seen = {d: 0 for d in ids}
+    for x in got.sort_values(["doc_id", "start"]).itertuples():
+        assert x.start == seen[x.doc_id] and x.doc_tokens == len(ids[x.doc_id])
+        seen[x.doc_id] += x.length
+        assert bytes(x.ids) == ids[x.doc_id][x.start:x.start + x.length].tobytes()
+    assert seen == {d: len(v) for d, v in ids.items()}
+    for w, g in got.sort_values("offset").groupby("sequence_id"):
+        assert (g.offset.values == np.cumsum(g.length.values) - g.length.values).all()
+        held = np.concatenate([np.frombuffer(bytes(x), "<u4") for x in g.ids])
+        assert sorted(held) == sorted(stream[w * window:(w + 1) * window])
+
+
 def test_packing_follows_stated_targets(spark):
     rows = [(i, "word " * 200, "a" if i % 4 else "b") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)

@@ -38,6 +38,7 @@ from .common import ship, slices, text_of, written
 WINDOW = 4096
 MAX_SOURCES = 100_000     # rows of the per-source table a task may hold
 CACHED_PIECES = 700_000   # bound of each worker's cache of encoded words
+EDGE_CELLS = 1 << 20      # window edges times queues that a task holds at a time
 
 # What the fast path below is exact for: texts of these characters only.
 _PLAIN = r"[^\n\x20-\x7e\xa1-\xac\xae-\xff]"
@@ -191,8 +192,66 @@ class Schedule:
         return q
 
 
+class Edges:
+    """The table of window edges that a task holds: what each queue has sent before
+    each of a run of windows.  At most ``cells`` numbers."""
+
+    def __init__(self, plan: Schedule, window: int, cells: int):
+        self.plan, self.window = plan, window
+        queues = max(len(plan.n), 1)
+        self.slack = queues + 1
+        self.most = max(2, cells // queues)
+        self.rows = max(1, cells // queues)
+        self.windows = -(-plan.total // window)
+        self.first = 0
+        self.edge = self.before = np.zeros((0, len(plan.n)), np.int64)
+
+    def around(self, queue: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (from, before) that tokens ``start .. stop - 1`` of a queue can lie in."""
+        def rank(at):
+            due = (at + 0.5) / self.plan.p[queue]
+            return np.concatenate([np.zeros(0)] + [
+                np.minimum(self.plan.n, np.floor(due[i:i + self.rows, None] * self.plan.p + 0.5)).sum(1)
+                for i in range(0, len(due), self.rows)])
+
+        low = np.maximum(0, (rank(start) - self.slack).astype(np.int64) // self.window)
+        high = (rank(stop) + self.slack).astype(np.int64) // self.window + 1
+        return low, np.minimum(self.windows, high)
+
+    def groups(self, queue: np.ndarray, start: np.ndarray, stop: np.ndarray):
+        """The runs of tokens as lists of (row, start, stop) that one table serves.  A
+        run whose windows are too many for a table is halved: a rare queue sends its
+        tokens over a long stretch of the stream."""
+        low, high = self.around(queue, start, stop)
+        rows = np.arange(len(queue))
+        while len(wide := np.flatnonzero((high - low > self.most) & (stop - start > 1))):
+            half = (start[wide] + stop[wide]) // 2
+            rows, queue = np.append(rows, rows[wide]), np.append(queue, queue[wide])
+            start, stop = np.append(start, half), np.append(stop, stop[wide])
+            stop[wide] = half
+            low, high = self.around(queue, start, stop)
+        held, w0, w1 = [], 0, 0
+        for x in np.lexsort((start, low)).tolist():
+            if held and max(w1, int(high[x])) - w0 > self.most:
+                self.load(w0, w1)
+                yield held
+                held = []
+            w0, w1 = (w0, max(w1, int(high[x]))) if held else (int(low[x]), int(high[x]))
+            held.append((int(rows[x]), int(start[x]), int(stop[x])))
+        if held:
+            self.load(w0, w1)
+            yield held
+
+    def load(self, w0: int, w1: int) -> None:
+        if w0 < self.first or w1 >= self.first + len(self.edge):
+            self.first = w0
+            self.edge = self.plan.sent(np.arange(w0, w1 + 1, dtype=np.int64) * self.window)
+            sizes = np.diff(self.edge, axis=0)
+            self.before = np.cumsum(sizes, axis=1) - sizes
+
+
 def cut_pieces(rows: DataFrame, totals: list[tuple[str, int]], targets: dict[str, float] | None,
-               window: int) -> DataFrame:
+               window: int, cells: int = EDGE_CELLS) -> DataFrame:
     """Cut queued documents (with ``start`` in their queue) into windows."""
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"{len(totals)} sources; a mixture may have {MAX_SOURCES}")
@@ -212,51 +271,40 @@ def cut_pieces(rows: DataFrame, totals: list[tuple[str, int]], targets: dict[str
     rows = rows.select("doc_id", "queue", "ids", "start")
 
     def run(batches):
-        plan, at = Schedule(counts, shares), {q: k for k, q in enumerate(names)}
-        edge, before, first = np.zeros((0, len(names)), np.int64), np.zeros((0, 0), np.int64), 0
+        at = {q: k for k, q in enumerate(names)}
+        table = Edges(Schedule(counts, shares), window, cells)
         for batch in batches:
             for part in slices(batch, "ids"):
-                ids = part.column("ids").to_pylist()
+                docs, ids = part.column("doc_id"), part.column("ids").to_pylist()
+                queues = part.column("queue").to_pylist()
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 a = part.column("start").to_numpy(zero_copy_only=False).astype(np.int64)
-                k = np.array([at[q] for q in part.column("queue").to_pylist()], np.int64)
-                # stream positions of first and last tokens give the windows these rows meet
-                due = np.concatenate([(a + 0.5) / plan.p[k], (a + n + 0.5) / plan.p[k]])
-                rank = np.minimum(plan.n, np.floor(
-                    np.array([due.min(), due.max()])[:, None] * plan.p + 0.5)).sum(1)
-                slack = len(names) + 1
-                w0 = max(0, int(rank[0] - slack) // window)
-                w1 = min(-(-plan.total // window), int(rank[1] + slack) // window + 1)
-                if w0 < first or w1 >= first + len(edge):
-                    first = w0
-                    edge = plan.sent(np.arange(w0, w1 + 1, dtype=np.int64) * window)
-                    sizes = np.diff(edge, axis=0)
-                    before = np.cumsum(sizes, axis=1) - sizes
-                out = {name: [] for name in schema.names}
-                docs, queues = part.column("doc_id"), part.column("queue").to_pylist()
-                take = []
-                for i, raw in enumerate(ids):
-                    col = edge[:, k[i]]
-                    s, e = int(a[i]), int(a[i] + n[i])
-                    w = int(np.searchsorted(col, s, "right")) - 1
-                    while s < e:
-                        stop = min(e, int(col[w + 1]))
-                        if stop > s:
-                            take.append(i)
-                            out["source"].append(queues[i])
-                            out["start"].append(s - int(a[i]))
-                            out["length"].append(stop - s)
-                            out["doc_tokens"].append(int(n[i]))
-                            out["sequence_id"].append(first + w)
-                            out["offset"].append(int(before[w, k[i]]) + s - int(col[w]))
-                            out["ids"].append(raw[4 * (s - int(a[i])):4 * (stop - int(a[i]))])
-                            s = stop
-                        w += 1
-                yield pa.RecordBatch.from_arrays(
-                    [docs.take(pa.array(take, pa.int64()))]
-                    + [pa.array(out[f.name], pa.string() if f.name == "source" else
-                                pa.binary() if f.name == "ids" else pa.int64())
-                       for f in schema.fields[1:]], names=schema.names)
+                k = np.array([at[q] for q in queues], np.int64)
+                for group in table.groups(k, a, a + n):
+                    out = {name: [] for name in schema.names}
+                    take = out.pop("doc_id")
+                    edge, before, first = table.edge, table.before, table.first
+                    for i, s, e in group:
+                        own, col = int(a[i]), edge[:, k[i]]
+                        w = int(np.searchsorted(col, s, "right")) - 1
+                        while s < e:
+                            stop = min(e, int(col[w + 1]))
+                            if stop > s:
+                                take.append(i)
+                                out["source"].append(queues[i])
+                                out["start"].append(s - own)
+                                out["length"].append(stop - s)
+                                out["doc_tokens"].append(int(n[i]))
+                                out["sequence_id"].append(first + w)
+                                out["offset"].append(int(before[w, k[i]]) + s - int(col[w]))
+                                out["ids"].append(ids[i][4 * (s - own):4 * (stop - own)])
+                                s = stop
+                            w += 1
+                    yield pa.RecordBatch.from_arrays(
+                        [docs.take(pa.array(take, pa.int64()))]
+                        + [pa.array(out[f.name], pa.string() if f.name == "source" else
+                                    pa.binary() if f.name == "ids" else pa.int64())
+                           for f in schema.fields[1:]], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -343,6 +343,30 @@ def test_licences_are_found(spark):
     assert all(r.line == 1 for r in got.values())
 
 
+def test_wrapped_licence_lines_without_a_cue_word_are_scored(spark):
+    """Lines of a wrapped licence text: whatever a plain comparison confirms has a row."""
+    import re
+
+    from tidemark.llm import licences
+
+    texts = ["free of charge, to any person obtaining a copy of this software and", "associated documentation files, to deal in",
+             "The cat sat on the mat, and the dog on the rug.", "Public License as published by the Free Software Foundation.",
+             "and binary forms, with or without modification, are permitted provided that", "", "of any kind"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+    def plain(t):
+        w = re.findall(r"[^\W\d_]+|0", re.sub("[0-9]+", "0", t.lower()))
+        return set(zip(w, w[1:]))
+
+    best = {i: max((len(plain(t) & plain(x)) / max(len(plain(t)), 1)) for ts in licences.TEMPLATES.values() for x in ts)
+            for i, t in enumerate(texts)}
+    got = {r.doc_id: r for r in licences.scan(df).collect()}
+    assert {i for i, b in best.items() if b >= licences.CONFIRM} <= set(got)
+    assert got[0].family == "mit" and got[4].family == "bsd"
+    assert 2 not in got and 5 not in got
+    assert all(r.similarity <= best[i] + 1e-9 for i, r in got.items())
+
+
 def plain_winnow(t, k=winnow.GRAM, w=winnow.WINDOW):
     h = winnow.gram_hashes(t, k).tolist()
     w, out = min(w, len(h)), []

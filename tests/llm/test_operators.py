@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -283,6 +284,14 @@ def test_deep_page_does_not_fail():
     assert article.main_text("<div>" * 20_000 + "<p>deep text</p>") == "deep text"
 
 
+@pytest.mark.parametrize("page", ["<span>a" * 30_000 + "</b>" * 30_000, "<b>" + "<div>a" * 30_000 + "</b>" * 30_000,
+                                  "<span>a" * 30_000 + "<li>b" * 30_000, "<div>a<article>b" * 30_000])
+def test_deep_pages_take_linear_time(page):
+    started = time.process_time()
+    assert article.main_text(page).startswith(("a", "b"))
+    assert time.process_time() - started < 20
+
+
 def plain_counts(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     seen, dup, covered = set(), 0, set()

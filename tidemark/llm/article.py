@@ -20,6 +20,7 @@ column replaces one of its name.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -90,6 +91,8 @@ class Tree:
         self.name, self.parent, self.aside = ["#root"], [0], [False]
         self.run: list[tuple[int, str | None]] = []
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}     # of the open elements, by name
+        self.walls: list[int] = []                 # of the open blocks but paragraphs
         at = 0
         while True:
             m = _TAG.search(page, at)
@@ -121,19 +124,35 @@ class Tree:
     def _pop_to(self, depth: int) -> None:
         while len(self.open) > depth:
             node = self.open.pop()
-            if self.name[node] in BLOCK:
+            name = self.name[node]
+            self.depths[name].pop()
+            if name in BLOCK:
                 self.run.append((self.open[-1], None))
+                if name != "p":
+                    self.walls.pop()
+
+    def _push(self, node: int) -> None:
+        name, depth = self.name[node], len(self.open)
+        self.open.append(node)
+        self.depths.setdefault(name, []).append(depth)
+        if name in BLOCK and name != "p":
+            self.walls.append(depth)
+
+    def _last(self, name: str) -> int:
+        """Depth of the innermost open element of this name, 0 if none is."""
+        at = self.depths.get(name)
+        return at[-1] if at else 0
 
     def _open(self, name: str, attrs: str) -> None:
-        if name in ("html", "body") and name in (self.name[n] for n in self.open):
+        if name in ("html", "body") and self._last(name):
             return
         if name == "body":
             self._pop_to(1 + ("html" in (self.name[n] for n in self.open[1:2])))
         wants, wall = ENDS.get(name, (None, None))
         if name in CLOSES_P:
-            self._end({"p"}, BLOCK - {"p"})
+            self._end({"p"}, self.walls[-1] if self.walls else 0)
         if wants:
-            self._end(wants, wall)
+            self._end(wants, max(map(self._last, wall)))
         node, up = len(self.name), self.open[-1]
         self.name.append(name)
         self.parent.append(up)
@@ -143,30 +162,24 @@ class Tree:
         elif name == "br":
             self.run.append((up, " "))
         if name not in VOID and not attrs.endswith("/"):
-            self.open.append(node)
+            self._push(node)
 
-    def _end(self, names, wall) -> None:
-        """End the open elements of these names, looking up to the wall."""
-        found = None
-        for depth in range(len(self.open) - 1, 0, -1):
-            name = self.name[self.open[depth]]
-            if name in names:
-                found = depth
-            elif name in wall:
-                break
-        if found is not None:
-            self._pop_to(found)
+    def _end(self, names, wall: int) -> None:
+        """End the open elements of these names that lie deeper than the wall."""
+        found = []
+        for name in names:
+            at = self.depths.get(name, [])
+            found += at[bisect.bisect_right(at, wall):][:1]
+        if found:
+            self._pop_to(min(found))
 
     def _close(self, name: str) -> None:
         if name in ("html", "body"):
             return
-        for depth in range(len(self.open) - 1, 0, -1):
-            open_name = self.name[self.open[depth]]
-            if open_name == name:
-                self._pop_to(depth)
-                return
-            if open_name in BLOCK and name not in BLOCK:
-                return                     # an inline end tag does not end a block
+        depth = self._last(name)
+        if not depth or name not in BLOCK and depth < max(self._last("p"), *self.walls[-1:], 0):
+            return                         # an inline end tag does not end a block
+        self._pop_to(depth)
 
 
 def densities(tree: Tree) -> tuple[list[float], list[float]]:
@@ -231,30 +244,20 @@ def main_nodes(tree: Tree) -> set[int]:
     while i != body and i:
         i = tree.parent[i]
         least = min(least, density[i])
-    chosen, covered = set(), [False] * n
-    chosen.add(top)
+    above, i = {0, top}, top
+    while i:
+        i = tree.parent[i]
+        above.add(i)
+    chosen, covered = {top}, [False] * n
     for i in live:                          # parents come before children
         covered[i] = i in chosen or (i != body and covered[tree.parent[i]])
-        if not covered[i] and density[i] >= least and best[i] not in chosen and not _holds(tree, i, top):
+        if not covered[i] and density[i] >= least and best[i] not in chosen and i not in above:
             chosen.add(best[i])
             covered[i] = best[i] == i
-    lifted = set()
-    for node in chosen:
-        up, i = node, node
-        while i:
-            if tree.name[i] == "article":
-                up = i
-            i = tree.parent[i]
-        lifted.add(up)
-    return lifted
-
-
-def _holds(tree: Tree, i: int, node: int) -> bool:
-    while node:
-        if node == i:
-            return True
-        node = tree.parent[node]
-    return i == 0
+    article = [0] * n                       # the outermost article a node stands in
+    for i in range(1, n):
+        article[i] = article[tree.parent[i]] or i * (tree.name[i] == "article")
+    return {article[node] or node for node in chosen}
 
 
 def main_text(page: str) -> str:

@@ -171,6 +171,19 @@ def test_toxicity_learns_and_holds_out(spark):
     assert (pairs > 0).mean() + (pairs == 0).mean() / 2 > 0.95
 
 
+def test_unseen_forms_of_a_word_are_known_by_its_beginning(spark):
+    ends = [a + b for a in "kmprt" for b in ("ol", "en", "ist", "ung", "ade", "ibel")]
+    rows = [(i, f"all of this is plain {'grumbl' if i % 2 else 'meadow'}{ends[i // 2 % 24]} text", i % 2) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    new = spark.createDataFrame([(i, f"all of this is plain {w}{e} text", w == "grumbl")
+                                 for i, (w, e) in enumerate((w, e) for w in ("grumbl", "meadow") for e in ends[24:])],
+                                "doc_id long, text string, toxic boolean")
+    for r in toxicity.score(new, model).collect():
+        assert (r.score >= toxicity.THRESHOLD) == r.toxic
+
+
 def test_held_out_labels_never_reach_the_model(spark):
     d = SF_SMALL
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")

@@ -1,8 +1,9 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and
 skip-grams.
 
-Features: presence of each word, each pair of neighbours and each pair with one
-word between, hashed to ``2 ** bits`` coordinates.  Training: FTRL-proximal with
+Features: presence of each word, each pair of neighbours, each pair with one word
+between and the beginnings of words (``STARTS`` letters, so that a form not seen in
+training is known by its stem), hashed to ``2 ** bits`` coordinates.  Training: FTRL-proximal with
 per-coordinate learning rates; L1 keeps almost every weight at exactly zero, so
 the model is a short list of (coordinate, weight) that is broadcast (at most
 ``2 ** bits`` weights, whatever the corpus).  It is fitted on about
@@ -18,6 +19,7 @@ any labelled row every score is 0.5; an empty table gives no rows.
 from __future__ import annotations
 
 import string
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ MAX_LABELS = 6000     # of each class
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 0.0
 THRESHOLD = 0.7
+STARTS = range(3, 9)
 CACHED_WORDS = 600_000
 
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -43,7 +46,7 @@ class Features:
     def __init__(self, bits: int = BITS):
         from xxhash import xxh64_intdigest
 
-        self.hash, self.known = xxh64_intdigest, {}
+        self.hash, self.known, self.starts = xxh64_intdigest, {}, {}
         self.shift = np.uint64(64 - bits)
 
     def _word(self, raw: str) -> int:
@@ -53,11 +56,22 @@ class Features:
             self.known[raw] = got
         return got
 
+    def _starts(self, raw: str) -> bytes:
+        """Coordinates of the beginnings of a word that are shorter than it."""
+        w, shift = raw.strip(_TRIM), int(self.shift)
+        at = [self.hash(b"\0" + w[:n].encode("utf-8", "surrogatepass")) >> shift for n in STARTS if n < len(w)]
+        got = struct.pack(f"<{len(at)}i", *at)
+        if len(raw) <= 64:
+            self.starts[raw] = got
+        return got
+
     def __call__(self, text: str) -> np.ndarray:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
+            self.starts.clear()
+        words = text.lower().split()
         get, out = self.known.get, []
-        for raw in text.lower().split():
+        for raw in words:
             got = get(raw)
             out.append(self._word(raw) if got is None else got)
         h = np.array(out, np.uint64)
@@ -69,7 +83,12 @@ class Features:
             two = (h[:-1] * _PAIR) ^ (h[1:] + _PAIR)
             skip = (h[:-2] * _SKIP) ^ (h[2:] + _SKIP)
             mixed = np.concatenate([one, two * _PAIR, skip * _SKIP])
-        return np.unique((mixed >> self.shift).astype(np.int32))
+        get, starts = self.starts.get, []
+        for raw in set(words):
+            got = get(raw)
+            starts.append(self._starts(raw) if got is None else got)
+        return np.unique(np.concatenate([(mixed >> self.shift).astype(np.int32),
+                                         np.frombuffer(b"".join(starts), "<i4")]))
 
 
 class Ftrl:

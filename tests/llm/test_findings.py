@@ -1,0 +1,31 @@
+"""Cases of the second review: each fails on the code before it."""
+
+import pytest
+
+from tidemark.llm import quality
+
+
+def odds_of(patterns):
+    start, table = quality.estimate(patterns)
+    return {v: start + sum(quality.gain(table[j], x) for j, x in enumerate(v)) for v, _ in patterns}
+
+
+@pytest.mark.parametrize("often", [200, 300, 500])
+def test_a_rule_that_fires_on_many_good_texts_is_outvoted(often):
+    good, bad = quality.GOOD, quality.BAD
+    clean, whim, defect = (0, 0, good, good, good), (bad, 0, good, good, good), (0, bad, good, good, good)
+    both = (bad, bad, 0, 0, 0)
+    odds = odds_of([(clean, 930 - often), (whim, often), (defect, 60), (both, 10)])
+    assert odds[clean] > 0 and odds[whim] > 0 and odds[defect] < 0 and odds[both] < 0
+
+
+def test_texts_with_one_frequent_defect_vote_are_kept(spark):
+    words = "the tables of this page list what each town on the coast sold in spring and in autumn".split()
+    prose = " ".join(words).capitalize() + ". They were counted by hand, Anna wrote. "
+    rows = [(i, f"{prose} Town {i} had the most of them.") for i in range(140)]
+    rows += [(1000 + i, f"{prose} " + " | ".join(words[:9]) + f" | # | {i}.") for i in range(50)]
+    rows += [(2000 + i, f"{prose} " + f"w{i} " * 11) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in quality.judge(df).filter("kept").collect()}
+    assert {i for i, _ in rows if i < 2000} <= kept
+    assert not any(i >= 2000 for i in kept)

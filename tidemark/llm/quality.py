@@ -9,6 +9,10 @@ The counts are written once.  Expectation-maximisation sees only how often each
 combination of votes occurs (at most ``3 ** rules`` rows, whatever the corpus).
 The estimates start from, and are held by, prior counts that are a fixed share of
 the corpus, so "good" and "bad" keep their meaning on a corpus without bad texts.
+A rule that is the only one against more texts than ``PRIOR_BAD`` of the corpus is
+wrong about the rest of them: that share is the least rate of its bad votes on good
+texts, and from about 15 % on the merits outvote it.  Below that a single bad vote
+rejects, since votes alone do not tell a rare defect from a rare whim of a rule.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Repeated five-word windows are found by 64-bit
 hashes of the words, per text, without a shuffle.
@@ -36,9 +40,10 @@ KEEP = 0.5           # least posterior probability of a kept text
 PRIOR_VOTE = {BAD: (0.001, 0.30), GOOD: (0.80, 0.55)}
 PRIOR_BAD = 0.10
 PRIOR_WEIGHT = 0.05
-# Bounds the estimates stay in: a rule votes bad on few good texts and on many bad
-# ones; voting good is no more than so much likelier on a good text.
-MOST_FALSE, LEAST_CAUGHT, MOST_GAIN, LEAST_BAD = 0.002, 0.25, 0.5, 0.05
+# Bounds the estimates stay in: a rule votes bad on few good texts (unless it is often
+# alone in it, see ``lone_excess``) and on many bad ones; voting good is no more than so
+# much likelier on a good text; the share of bad texts.
+MOST_FALSE, LEAST_CAUGHT, MOST_GAIN, LEAST_BAD, MOST_BAD = 0.002, 0.25, 0.5, 0.05, 0.2
 
 _GAP = r"[\x20\x09-\x0D]+"
 
@@ -123,6 +128,17 @@ def rules() -> dict[str, Column]:
             | {k: F.when(c, GOOD).otherwise(0) for k, c in merits.items()})
 
 
+def lone_excess(patterns: list[tuple[tuple[int, ...], int]], total: float) -> list[float]:
+    """For each rule, the least share of good texts on which it votes bad: at most
+    ``PRIOR_BAD`` of the corpus are taken for bad texts that no other rule objects to."""
+    k = len(patterns[0][0]) if patterns else 0
+    alone = [0.0] * k
+    for votes, n in patterns:
+        if votes.count(BAD) == 1:
+            alone[votes.index(BAD)] += n
+    return [max(0.0, a / total - PRIOR_BAD) / (1 - PRIOR_BAD) for a in alone]
+
+
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[dict]]:
     """Log-odds (good to bad) before any vote, and for each rule and vote the share
     of (good, bad) texts with that vote, by expectation-maximisation within the
@@ -131,6 +147,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
     total = float(sum(n for _, n in patterns)) or 1.0
     k = len(patterns[0][0]) if patterns else 0
     held = PRIOR_WEIGHT * total
+    least = lone_excess(patterns, total)
     bad, table = PRIOR_BAD, [dict(PRIOR_VOTE) for _ in range(k)]
     for _ in range(rounds):
         mass = [{BAD: [0.0, 0.0], GOOD: [0.0, 0.0]} for _ in range(k)]
@@ -143,11 +160,11 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
                 for j, v in enumerate(votes):
                     if v:
                         mass[j][v][y] += share
-        bad = max(LEAST_BAD, (weight[1] + PRIOR_BAD * held) / (total + held))
+        bad = min(MOST_BAD, max(LEAST_BAD, (weight[1] + PRIOR_BAD * held) / (total + held)))
         table = []
-        for m in mass:
+        for m, low in zip(mass, least):
             share = {v: [(m[v][y] + held * PRIOR_VOTE[v][y]) / (weight[y] + held) for y in (0, 1)] for v in m}
-            share[BAD] = [min(share[BAD][0], MOST_FALSE), max(share[BAD][1], LEAST_CAUGHT)]
+            share[BAD] = [max(low, min(share[BAD][0], max(MOST_FALSE, low))), max(share[BAD][1], LEAST_CAUGHT)]
             share[GOOD][1] = min(share[GOOD][0], max(share[GOOD][1], share[GOOD][0] * math.exp(-MOST_GAIN)))
             table.append({v: tuple(s) for v, s in share.items()})
     return math.log((1 - bad) / bad), table

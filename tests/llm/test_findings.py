@@ -2,7 +2,7 @@
 
 import pytest
 
-from tidemark.llm import quality
+from tidemark.llm import article, quality
 
 
 def odds_of(patterns):
@@ -29,3 +29,23 @@ def test_texts_with_one_frequent_defect_vote_are_kept(spark):
     kept = {r.doc_id for r in quality.judge(df).filter("kept").collect()}
     assert {i for i, _ in rows if i < 2000} <= kept
     assert not any(i >= 2000 for i in kept)
+
+
+@pytest.mark.parametrize("attrs", [
+    'style="overflow: hidden"', 'title="The hidden valley"', 'data-x="col hidden-xs"', "data-x='a class=ad b'",
+    'data-class="ad"', 'id="related-work"', 'class="ad-free"', 'id="social-impact"', 'class="no-sidebar"'])
+def test_values_and_longer_slugs_set_nothing_aside(attrs):
+    assert not article.set_aside("div", " " + attrs)
+    assert article.main_text(f"<body><div {attrs}><article><p>all of the text</p></article></div></body>") == "all of the text"
+
+
+def test_headings_are_never_set_aside_by_name():
+    page = "<article><h2 id='related'>Related</h2><p class='ad-free'>one</p><section id='related-work'>two</section></article>"
+    assert article.main_text(page) == "Related\none\ntwo"
+
+
+@pytest.mark.parametrize("attrs", [
+    "hidden", "HIDDEN", 'hidden=""', "class='x'hidden", "aria-hidden = true", 'role="navigation"', "class=ad",
+    'class="box  sidebar"', 'id="site-footer"', 'class="related_posts"', 'class="nav__item"', 'title="a>b" class="ad"'])
+def test_names_and_full_compounds_are_set_aside(attrs):
+    assert article.set_aside("div", " " + attrs)

@@ -53,21 +53,34 @@ NAMES = frozenset(
     "comments commentlist consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation "
     "newsletter notice notices pager pagination popup promo promoted promotion related replies responses share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
-LAYOUT = frozenset("has with without no".split())     # "with-sidebar" names a page, not a side bar
+# Full compounds: a slug that merely begins or ends with a name ("related-work") is none.
+COMPOUNDS = frozenset(
+    "ad-banner ad-block ad-box ad-container ad-slot ad-unit ad-wrapper ads-container banner-ad bottom-nav "
+    "breadcrumb-nav comment-form comment-list comment-section comments-area comments-list comments-section "
+    "cookie-banner cookie-bar cookie-consent cookie-notice footer-links footer-menu footer-nav footer-widgets "
+    "header-menu header-nav left-sidebar main-menu main-nav main-navigation menu-container mobile-menu mobile-nav "
+    "modal-dialog nav-bar nav-links nav-menu newsletter-form newsletter-signup page-footer page-header primary-menu "
+    "primary-nav related-articles related-content related-links related-posts related-stories right-sidebar "
+    "share-bar share-buttons share-links side-bar side-nav sidebar-left sidebar-right site-banner site-footer "
+    "site-header site-menu site-nav site-navigation social-icons social-links social-media social-share "
+    "sponsored-content sub-nav top-bar top-menu top-nav top-navigation "
+    "user-comments widget-area".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_WORDS = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
+# One attribute: its name, then its whole value.  A quote that is never closed runs to the end.
+_ATTR = re.compile(r"""([^\s"'=/>]++)(?:\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>][^\s>]*+))?|"[^"]*+"?|'[^']*+'?""")
+_PART = re.compile("__|--")     # "nav__item" is a part of "nav"
 _SPACE = re.compile(r"\s+")
 
 
 def set_aside(name: str, attrs: str) -> bool:
     if name in ASIDE:
         return True
-    if "=" not in attrs and "hidden" not in attrs:
+    if "=" not in attrs and "hidden" not in attrs.lower():
         return False
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
@@ -75,10 +88,10 @@ def set_aside(name: str, attrs: str) -> bool:
             return True
         if key == "role" and value in ROLES:
             return True
-        if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            for word in _WORDS.findall(value.replace("_", "-")):
-                parts = word.split("-")
-                if word in NAMES or parts[0] not in LAYOUT and (parts[0] in NAMES or parts[-1] in NAMES):
+        if key in ("class", "id") and name not in HEADINGS and name not in ("html", "body", "article", "main"):
+            for word in value.split():
+                word = _PART.split(word, maxsplit=1)[0].replace("_", "-")
+                if word in NAMES or word in COMPOUNDS:
                     return True
     return False
 

@@ -1,8 +1,10 @@
 """Cases of the second review: each fails on the code before it."""
 
+import random
+
 import pytest
 
-from tidemark.llm import article, quality
+from tidemark.llm import article, quality, winnow
 
 
 def odds_of(patterns):
@@ -49,3 +51,23 @@ def test_headings_are_never_set_aside_by_name():
     'class="box  sidebar"', 'id="site-footer"', 'class="related_posts"', 'class="nav__item"', 'title="a>b" class="ad"'])
 def test_names_and_full_compounds_are_set_aside(attrs):
     assert article.set_aside("div", " " + attrs)
+
+
+@pytest.mark.parametrize("n", [90, 120, 150, 180])
+def test_short_texts_are_near_their_edited_form(n):
+    rng = random.Random(n)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    near = []
+    for _ in range(300):
+        text = word(n)
+        near.append(winnow.likeness(winnow.winnowed(text), winnow.winnowed(winnow.edited(text, word(n)))))
+    assert min(near) > 0
+
+
+def test_a_shared_passage_of_48_is_found():
+    rng = random.Random(1)
+    word = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    for _ in range(200):
+        shared = word(48)
+        a, b = word(rng.randint(0, 200)) + shared + word(50), word(rng.randint(0, 50)) + shared + word(120)
+        assert winnow.likeness(winnow.winnowed(a), winnow.winnowed(b)) > 0

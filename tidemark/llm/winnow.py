@@ -28,7 +28,7 @@ from pyspark.sql.types import (BinaryType, DoubleType, IntegerType, LongType, St
 from .common import ship, slices, text_of, with_columns_from
 
 GRAM = 16
-WINDOW = 113        # with GRAM: every shared passage of 128 code points is found
+WINDOW = 33         # with GRAM: every shared passage of 48 code points is found, also in short texts
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)

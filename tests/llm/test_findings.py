@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.llm import article, quality, winnow
+from tidemark.llm import article, pii, quality, winnow
 
 
 def odds_of(patterns):
@@ -71,3 +71,18 @@ def test_a_shared_passage_of_48_is_found():
         shared = word(48)
         a, b = word(rng.randint(0, 200)) + shared + word(50), word(rng.randint(0, 50)) + shared + word(120)
         assert winnow.likeness(winnow.winnowed(a), winnow.winnowed(b)) > 0
+
+
+def test_a_pattern_does_not_vouch_for_itself(spark):
+    rows = [(i, f"We say call me +1 (017) 555-{1000 + i} today.") for i in range(10)]
+    rows += [(100 + i, f"We say call me 2024-03-{10 + i} today.") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.find(df).collect():
+        assert len(r.spans) == (r.doc_id < 100)
+
+
+def test_other_patterns_still_vouch(spark):
+    rows = [("phone", p, f"+1 {p} {i}") for p in ("call me", "ring me") for i in range(30)]
+    rows += [(None, p, f"017-555-{i}") for p in ("call me", "ring me") for i in range(5)]
+    df = spark.createDataFrame(rows, "kind string, pattern string, instance string")
+    assert {r.pattern for r in pii.accepted(df).collect()} == {"call me", "ring me"}

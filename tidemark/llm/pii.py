@@ -8,7 +8,8 @@ a lexical pattern for its kind.  The same words also stand before other strings
 that look like identifiers; patterns and instances form a bipartite graph that
 Spark scores in rounds: a pattern's confidence is the mean trust in the distinct
 instances it meets (seeds of its kind count 1, of another kind 0), an instance's
-trust is ``1 - prod(1 - confidence)`` over its patterns.  Patterns that enough
+trust is ``1 - prod(1 - confidence)`` over its other patterns, so that no pattern
+vouches for itself.  Patterns that enough
 distinct seeds support and that end with high confidence give their instances as
 further spans.  Pairs are reduced to distinct (pattern, instance) before any
 join, and patterns without support go first, so a frequent pattern is one row per
@@ -150,11 +151,13 @@ def accepted(rows: DataFrame, support: int = SUPPORT, confidence: float = CONFID
     graph = cut(pairs.join(backed.select("pattern", "kind"), "pattern"))
     seed = F.when(F.col("seed").isNull(), None).otherwise((F.col("seed") == F.col("kind")).cast("double"))
     mean = graph.groupBy("kind", "pattern").agg(F.avg(F.coalesce(seed, F.lit(0.0))).alias("conf"))
+    doubt = F.log(F.greatest(F.lit(1e-9), 1 - F.col("conf")))
     for _ in range(rounds - 1):
-        unseen = (graph.filter("seed is null").join(mean, ["kind", "pattern"]).groupBy("kind", "instance")
-                  .agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("conf")))))).alias("trust")))
-        mean = cut(graph.join(unseen, ["kind", "instance"], "left").groupBy("kind", "pattern")
-                   .agg(F.avg(F.coalesce(seed, F.col("trust"), F.lit(0.0))).alias("conf")))
+        scored = graph.join(mean.withColumn("own", doubt).drop("conf"), ["kind", "pattern"])
+        unseen = scored.filter("seed is null").groupBy("kind", "instance").agg(F.sum("own").alias("every"))
+        others = 1 - F.exp(F.least(F.lit(0.0), F.col("every") - F.col("own")))    # 0 without another pattern
+        mean = cut(scored.join(unseen, ["kind", "instance"], "left").groupBy("kind", "pattern")
+                   .agg(F.avg(F.coalesce(seed, others, F.lit(0.0))).alias("conf")))
     return mean.filter(F.col("conf") >= confidence).select("kind", "pattern")
 
 

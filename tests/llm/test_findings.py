@@ -86,3 +86,20 @@ def test_other_patterns_still_vouch(spark):
     rows += [(None, p, f"017-555-{i}") for p in ("call me", "ring me") for i in range(5)]
     df = spark.createDataFrame(rows, "kind string, pattern string, instance string")
     assert {r.pattern for r in pii.accepted(df).collect()} == {"call me", "ring me"}
+
+
+@pytest.mark.parametrize("number", ["017 555-7713", "(017) 555-7713", "017 555 7713", "4000 1234 5678 9012", "017.555 - 7713"])
+def test_spaced_numbers_behind_a_trusted_pattern_are_found_whole(spark, number):
+    rows = [(i, f"We say call me +1 (017) 555-{1000 + i} today.") for i in range(20)]
+    rows += [(100, f"We say call me {number}, thanks."), (101, f"call{' ' * 300}me{' ' * 200}{number}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(df, length_col=None).collect()}
+    assert got[100] == "We say call me <PHONE>, thanks."
+    assert got[101] == f"call{' ' * 300}me{' ' * 200}<PHONE>"
+
+
+def test_runs_of_digit_groups():
+    found = lambda t: [t[s:e] for s, e in pii.runs(t, [])]
+    assert found("in 2019. 15 of 20 and x12 345 678 or 12 345y") == ["345 678"]
+    assert found("1 2 3 4 5 6 7 8 9 " * 9) == []
+    assert [x["instance"] for x in pii.contexts("it is at 10.0.0.1 017 555-7713 now")] == ["10.0.0.1", "017 555-7713"]

@@ -5,7 +5,7 @@ their written form, leftmost and non-overlapping per kind.
 
 Bootstrapping: what the base finds are the seeds.  The two words before a seed are
 a lexical pattern for its kind.  The same words also stand before other strings
-that look like identifiers; patterns and instances form a bipartite graph that
+that look like identifiers (words, or runs of digit groups as one); patterns and instances form a bipartite graph that
 Spark scores in rounds: a pattern's confidence is the mean trust in the distinct
 instances it meets (seeds of its kind count 1, of another kind 0), an instance's
 trust is ``1 - prod(1 - confidence)`` over its other patterns, so that no pattern
@@ -40,6 +40,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"\S+")
+# Digit groups, bare or in brackets, parted by a space, hyphen or dot.
+_GROUP = r"(?:\([0-9]++\)|\[[0-9]++\]|[0-9]++)"
+_RUN = re.compile(rf"{_GROUP}(?:(?: - |[ \u00a0.-])?+{_GROUP})++")
+LONGEST = 19         # digits of a run that is one identifier; of a longer one each word is
 _TRIM = ".,;:!?\"'()[]{}<>*#$%&|=“”„’«»…"
 
 SPAN = StructType([StructField("kind", StringType()), StructField("start", IntegerType()),
@@ -94,15 +98,52 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def before(text: str, start: int) -> str:
-    """The two words before a place, trimmed and in lower case; "" if there are not two."""
+    """The two words before a place, trimmed and in lower case; "" if there are not two.
+    A word of more than 96 characters counts as pieces of 96, however wide the gaps are."""
     low = max(0, start - 96)
     words = text[low:start].split()
-    if low and len(words) < 3 or len(words) < 2:
+    if low and len(words) < 3:
+        words = _two(text, start)
+    if len(words) < 2:
         return ""
     pair = [w.strip(_TRIM).lower() for w in words[-2:]]
     return " ".join(pair) if all(pair) else ""
 
 
+def _two(text: str, at: int) -> list[str]:
+    out = []
+    while len(out) < 2:
+        while at and text[at - 1].isspace():
+            at -= 1
+        if not at:
+            break
+        end = at
+        while at and end - at < 96 and not text[at - 1].isspace():
+            at -= 1
+        out.insert(0, text[at:end])
+    return out
+
+
+def runs(text: str, taken: list[tuple[int, int]]):
+    """Digit groups of several words between the taken spans, each run one identifier."""
+    at = 0
+    for a, b in [*taken, (len(text), len(text))]:
+        for m in _RUN.finditer(text, at, max(at, a)):
+            s, e = m.span()
+            if s and not (text[s - 1].isspace() or text[s - 1] in _TRIM):
+                s = next((i + 1 for i in range(s, e) if text[i].isspace()), e)
+            if e < len(text) and not (text[e].isspace() or text[e] in _TRIM):
+                e = next((i for i in range(e - 1, s, -1) if text[i].isspace()), s)
+            while s < e and text[e - 1] in " -\u00a0":
+                e -= 1
+            while s < e and text[s] in " -\u00a0":
+                s += 1
+            if (any(c.isspace() for c in text[s:e])
+                    and 3 <= sum(c in "0123456789" for c in text[s:e]) <= LONGEST and e - s >= 5):
+                yield s, e
+        at = max(at, b)
+
+
 def contexts(text: str) -> list[dict]:
     """Seeds (with kind) and other identifier-like strings (kind null), with the
     pattern each stands behind."""
@@ -112,6 +153,10 @@ def contexts(text: str) -> list[dict]:
     if not any(c in text for c in "0123456789@"):
         return rows
     taken = sorted((s, e) for _, s, e in found)
+    whole = list(runs(text, taken))
+    rows += [{"kind": None, "start": s, "end": e, "pattern": p, "instance": text[s:e].lower()}
+             for s, e in whole if (p := before(text, s))]
+    taken = sorted(taken + whole)
     at = 0
     for m in _WORD.finditer(text):
         raw = m[0]

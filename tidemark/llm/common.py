@@ -75,6 +75,13 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def as_one(names: list[str]) -> Column:
+    """The named columns as one struct (never an empty one), under which no name of
+    theirs can meet a helper column's."""
+    mark = "_" + max(names, key=len, default="")
+    return F.struct(F.lit(1).alias(mark), *[F.col(f"`{c}`") for c in names])
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES,
            max_rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Runs of rows of a batch, of about ``max_bytes`` of ``column`` each."""

@@ -8,10 +8,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import article, bpe, licences, packing, pii, quality, simhash, toxicity, warc, winnow
+from . import (alignment, article, bpe, licences, packing, pii, prefix_trie, quality, secret_scan, simhash, toxicity, warc,
+               winnow)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL = ("byte_level", public_tokenizers.path("byte_bpe_50k.json"))
+PIECES = ("piece", public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +87,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned, _ = alignment.align_corpus(docs, BYTE_LEVEL, PIECES, with_groups=False)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+                        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.paths(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.prefix_trie(prefix_trie.share_openings(own))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        "ends_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -95,6 +120,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_winnowing": op9_winnowing,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
+    "op12_secrets": op12_secrets,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {}
+# CRC-32 of a decimal id, bit by bit; h is its remainder by 4.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+  4294967295)"""
+
+_TRIE_SQL = rf"""
+WITH t AS (SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS p
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+h AS (SELECT c, p, ({_CRC} % 4)::BIGINT AS h FROM t),
+f AS (SELECT h.c AS c, list_concat(coalesce(b.p[1:h.h], []), h.p[h.h + 1:]) AS p
+      FROM h LEFT JOIN t b ON b.c = h.c - h.c % 20),
+m AS (SELECT c, p, unnest(range(len(p) + 1)) AS d FROM f),
+n AS (SELECT CASE WHEN d = 0 THEN [] ELSE p[1:d] END AS k, d, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(p) = d), '')) AS ends
+      FROM m GROUP BY 1, 2),
+w AS (SELECT *, CASE WHEN d = 0 THEN [] ELSE k[1:d - 1] END AS up,
+             CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(k[d].x, '[^ 	-
+]+')) END AS saved
+      FROM n),
+ch AS (SELECT up, count(*) AS n_children FROM w WHERE d > 0 GROUP BY 1),
+g AS (SELECT w.*, coalesce(ch.n_children, 0) AS n_children FROM w LEFT JOIN ch ON ch.up = w.k),
+a AS (SELECT saved, n_children, k, unnest(range(d + 1)) AS e FROM g),
+s AS (SELECT CASE WHEN e = 0 THEN [] ELSE k[1:e] END AS k, sum(saved) AS saved_tokens,
+             count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM a GROUP BY 1)
+SELECT g.conv_id AS conv_id, g.d::BIGINT AS depth, CASE WHEN g.d > 0 THEN o.conv_id END AS parent_conv_id,
+       g.n_convs::BIGINT AS n_convs, g.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, g.ends AS ends_sha256
+FROM g JOIN s ON s.k = g.k JOIN g o ON o.k = g.up
+"""
+
+ORACLES: dict[str, str] = {"op13_prefix_trie": _TRIE_SQL}

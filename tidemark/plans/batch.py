@@ -22,20 +22,18 @@ from ..session import shared_dir
 from ..spec import JobSpec
 
 
-def materialize(batch: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Write a lazily parsed bounded frame once (only ``columns`` of it) to the
-    shared folder and read it back, so that several readers share one parse.  A
-    persisted micro-batch already holds parsed rows and is returned as it is.
-    The files go when the application ends; lost executors only retry their
+def materialize(batch: DataFrame) -> DataFrame:
+    """Write a lazily parsed bounded frame once to the shared folder and read it back,
+    so that several readers share one parse; each then reads only the columns it
+    needs.  A persisted micro-batch already holds parsed rows and is returned as it
+    is.  The files go when the application ends; lost executors only retry their
     write tasks.
     """
     if batch.isStreaming or batch.storageLevel.useMemory or batch.storageLevel.useDisk:
         return batch
     path = shared_dir(batch.sparkSession, "tidemark", "staged", unique=True, temporary=True)
-    kept = [f"`{c}`" for c in columns] if columns else ["*"]
-    rows = batch.select(*kept)
-    rows.write.mode("overwrite").parquet(path)
-    return batch.sparkSession.read.schema(rows.schema).parquet(path)
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
 
 
 def view_reads(spark: SparkSession, sql: str, view: str) -> int:
@@ -48,26 +46,16 @@ def view_reads(spark: SparkSession, sql: str, view: str) -> int:
     return reads + max(0, uses - made)
 
 
-def columns_named(sql: str, columns: Iterable[str]) -> list[str]:
-    """The columns the SQL may read: those it names; all if it holds a star that is
-    not ``count(*)`` or a natural join."""
-    text = re.sub(r"count\s*\(\s*\*\s*\)", "", sql, flags=re.I)
-    # a multiplication has an operand on its left, "select *" and "t.*" do not
-    if re.search(r"(?:select|distinct|all|,|\.|\()\s*\*|\*/\s*\*|\bnatural\b", text, re.I):
-        return list(columns)
-    return [c for c in columns if c.lower() in text.lower()] or list(columns)[:1]
-
-
 def run_sql(batch: DataFrame, sql: str | None, view: str, *, stage: bool = False) -> DataFrame:
     """Run the SQL over the batch.  ``stage``: when the SQL reads the view more than
-    once, the columns it needs are written first; read once, nothing is written
-    (later filters stay above the parse in any case)."""
+    once, the batch is written first, with every column; read once, nothing is
+    written (later filters stay above the parse in any case)."""
     if not sql or not sql.strip():
         return batch
     spark = batch.sparkSession
     batch.createOrReplaceTempView(view)
     if stage and view_reads(spark, sql, view) > 1:
-        materialize(batch, columns_named(sql, batch.columns)).createOrReplaceTempView(view)
+        materialize(batch).createOrReplaceTempView(view)
     return spark.sql(sql)
 
 

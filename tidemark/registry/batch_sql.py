@@ -29,6 +29,9 @@ _ORACLE_VIEWS = (
 )
 
 SQL = {
+    # the batch read twice, no column named
+    "sql_table_twice": f"TABLE {ORDERS_VIEW} UNION ALL TABLE {ORDERS_VIEW}",
+    "sql_pipe_twice": f"FROM {ORDERS_VIEW} |> UNION ALL (FROM {ORDERS_VIEW})",
     "sql_identity": f"select * from {ORDERS_VIEW} where 1=1",
     "sql_filter_project": (
         f"select o_orderkey, o_custkey, o_totalprice, o_orderdate, op from {ORDERS_VIEW} "
@@ -211,6 +214,7 @@ QUERIES["select_columns_partial"] = select_columns_partial
 QUERIES["phone_normalize"] = phone_normalize
 
 ORACLES = {name: _ORACLE_VIEWS + sql for name, sql in SQL.items()}
+ORACLES["sql_pipe_twice"] = ORACLES["sql_table_twice"]
 ORACLES["sql_filter_project"] = (
     _ORACLE_VIEWS + f"select o_totalprice, o_orderkey, op from ({SQL['sql_filter_project']})")
 ORACLES["sql_subquery_cte"] = (

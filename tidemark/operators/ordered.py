@@ -42,6 +42,18 @@ def _c(c) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+BYTES_A_PARTITION = 256 << 20
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Range partitions for a frame: the session's shuffle partitions, or more where its
+    estimated size would make them larger than ``BYTES_A_PARTITION``."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # an unknown size is reported as an absurd one (a stream's, or a product's of a join)
+    return max(least, -(-size // BYTES_A_PARTITION)) if size < 1 << 56 else least
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: str | None = None,
                    *, position_col: str = "position", total_col: str = "running_total",
                    num_partitions: int | None = None) -> DataFrame:
@@ -49,7 +61,6 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     ``value`` is given, ``running_total`` (sum of ``value`` up to and including
     the row).  ``order`` holds column names or sort expressions (``F.desc``)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_cols = [_c(k) for k in keys]
     order_cols = [_c(o) for o in order]
     # integral and decimal values are added up as they are, other numbers as doubles
@@ -59,6 +70,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     # range partitioning samples its input in a separate pass: a lazily parsed
     # input is written once first, so the parse is not run twice
     src = materialize(df)
+    n = num_partitions or partitions_for(src)
     path = shared_dir(spark, "tidemark", "ordered", unique=True, temporary=True)
     (src.repartitionByRange(n, *key_cols, *order_cols)
        .withColumn(_PID, F.spark_partition_id())

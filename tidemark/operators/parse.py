@@ -26,7 +26,7 @@ after it.  Filters on ``keep`` columns still reach the source.
 
 from __future__ import annotations
 
-from typing import Any, Iterable
+from typing import Any, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,6 +36,7 @@ from ..functions.changes import (
 from ..spec import OP_COLUMN, DeclaredSchema
 
 _V, _OPV, _OK, _OP, _ROW, _RAW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row", "__tm_raw"
+_ENV = "__tm_env"
 
 _EMPTY_STRUCT = "struct<>"
 
@@ -73,7 +74,8 @@ def _emit(row: Column, keep_row: Column | None = None) -> Column:
 def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
                   keep: Iterable[str] = (), image: str = "auto",
                   operations: Iterable[str] | None = None,
-                  columns: Iterable[str] | None = None) -> DataFrame:
+                  columns: Iterable[str] | None = None,
+                  envelope: Mapping[str, str] | None = None) -> DataFrame:
     """Parse change records in ``value_col`` into the declared fields plus ``op``.
 
     ``keep`` carries input columns (e.g. a Kafka ``key``, ``partition``,
@@ -82,6 +84,9 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     when not empty, keeps only records whose op is in the list (decided on the
     parsed op, before any image is cast; malformed records never match).
     ``columns``, when given, narrows the image cast to these declared fields.
+    ``envelope`` adds values that stand beside the images, after ``op``: a dotted
+    path to a type, e.g. ``{"ts_ms": "bigint", "source.pos": "bigint"}``, each named
+    by its last part; absent or ill-typed values and malformed records give null.
     Works on batch and streaming frames alike.
     """
     declared = DeclaredSchema.coerce(schema)
@@ -94,7 +99,11 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
         declared = DeclaredSchema.coerce([f for f in declared.fields if f.name in wanted_names])
     if image not in ("auto", "before", "after"):
         raise ValueError(f"image must be auto, before or after: {image!r}")
-    clash = set(keep or ()) & (set(declared.names) | {OP_COLUMN})
+    env = envelope_names(envelope)
+    parsed_names = [*declared.names, OP_COLUMN, *env]
+    if len(set(parsed_names)) != len(parsed_names):
+        raise ValueError(f"envelope values would clash with other columns: {sorted(env)}")
+    clash = set(keep or ()) & set(parsed_names)
     if clash:
         raise ValueError(f"kept columns would clash with parsed ones: {sorted(clash)}")
     names = _keep(df, keep)
@@ -108,7 +117,9 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     opv = F.try_variant_get(v, "$['op']", "variant")
     op_is_text = is_json_text(opv)
     op_text = F.when(op_is_text, F.try_variant_get(opv, "$", "string"))
-    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP), *raws)
+    beside = [F.struct(*[F.try_variant_get(v, _path(p), t).alias(n) for n, (p, t) in env.items()]).alias(_ENV)] if env else []
+    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP), *raws, *beside)
+    beside = [F.col(_ENV)] if env else []
 
     v, opv, op = F.col(_V), F.col(_OPV), F.col(_OP)
     before, after = "$['before']", "$['after']"
@@ -120,7 +131,7 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
         row = F.try_variant_get(v, before if image == "before" else after, st)
     # the image cast gets a Project of its own, so it is evaluated once per
     # record (not again inside the short-circuit of the well-formed check)
-    step3 = step2.select(*names, v, opv, op, row.alias(_ROW), *raws)
+    step3 = step2.select(*names, v, opv, op, row.alias(_ROW), *raws, *beside)
 
     v, opv, op, rowc = F.col(_V), F.col(_OPV), F.col(_OP), F.col(_ROW)
     if image == "auto":
@@ -136,17 +147,27 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
         if image == "auto":
             part = F.when(is_delete, F.col(_RAW).getField("before")).otherwise(part)
         raws = [part.alias(_RAW)]
-    step3 = step3.select(*names, ok.alias(_OK), op, rowc, *raws)
+    step3 = step3.select(*names, ok.alias(_OK), op, rowc, *raws, *beside)
 
     okc, rowc = F.col(_OK), F.col(_ROW)
     held = [F.when(okc, rowc).alias(_ROW)] + [F.when(okc, F.col(_RAW)).alias(_RAW) for _ in raws]
+    held += [F.when(okc, F.col(_ENV)).alias(_ENV) for _ in beside]
     op_out = F.when(okc, F.coalesce(F.col(_OP), F.lit(""))).alias(OP_COLUMN)
     ops = [str(o) for o in (operations or [])]
     wanted = okc & F.coalesce(F.col(_OP), F.lit("")).isin(*ops) if ops else None
     rows = step3.select(*names, _emit(F.struct(*held, op_out), wanted))
     rawc = F.col(_RAW) if raws else None
     return rows.select(*names, *[typed_from_struct(F.col(_ROW), f, rawc).alias(f.name) for f in declared.fields],
-                       F.col(OP_COLUMN))
+                       F.col(OP_COLUMN), *[F.col(_ENV).getField(n).alias(n) for n in env])
+
+
+def envelope_names(envelope: Mapping[str, str] | None) -> dict[str, tuple[str, str]]:
+    """Column name -> (dotted path, type) of the values that stand beside the images."""
+    return {p.rsplit(".", 1)[-1]: (p, t) for p, t in (envelope or {}).items()}
+
+
+def _path(dotted: str) -> str:
+    return "$" + "".join(f"['{part}']" for part in dotted.split("."))
 
 
 def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",

@@ -19,6 +19,10 @@ from .spec import JobSpec
 # instead of the whole record being treated as invalid.
 VARIANT_DUPLICATE_KEYS = DUPLICATE_KEYS
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+HEAP_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
     """Runtime SQL conf a job relies on; streaming conf from the job spec."""
@@ -33,10 +37,20 @@ def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
                    str(s.no_data_progress_event_interval))
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled",
                    "true" if s.no_data_micro_batches_enabled else "false")
+    if spec.event_time is not None and spec.event_time.stateful:
+        use_rocksdb(spark)
     for k, v in (s.extra_conf or {}).items():
         spark.conf.set(k, str(v))
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """State on the executors' disks instead of their heaps, unless the session already
+    names a state store: keys held between batches may outgrow memory."""
+    if spark.conf.get(STATE_STORE, None) in (None, HEAP_STATE_STORE):
+        spark.conf.set(STATE_STORE, ROCKSDB_STATE_STORE)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def checkpoint_setting(spark: SparkSession) -> str | None:
     """The folder named by the ``spark.checkpoint.dir`` setting: the same in every
     application, unlike ``getCheckpointDir()``, which ends in a fresh id."""

@@ -211,12 +211,45 @@ class SourceSpec:
                 f"secure={self.secure}, password={'***' if self.password else ''!r})")
 
 
+@dataclass
+class EventTimeSpec:
+    """Event time of a job's changes and what is done with it (``operators.event_time``).
+
+    ``column`` is a timestamp field, or epoch milliseconds (an ``envelope`` value such
+    as ``ts_ms``); ``delay`` is how far rows may be behind the greatest one seen.
+    Either ``window`` (with ``slide``) or ``session_gap`` groups by ``keys``;
+    ``aggregates`` are SQL expressions by name.  ``dedup`` names the columns of which
+    each value passes once within the delay.
+    """
+
+    column: str = "ts_ms"
+    delay: str = "0 seconds"
+    dedup: list[str] = field(default_factory=list)
+    window: str | None = None
+    slide: str | None = None
+    session_gap: str | None = None
+    keys: list[str] = field(default_factory=list)
+    aggregates: dict[str, str] = field(default_factory=dict)
+
+    @classmethod
+    def from_dict(cls, d):
+        return None if d is None else _from_mapping(cls, d)
+
+    @property
+    def stateful(self) -> bool:
+        return bool(self.dedup or self.window or self.session_gap)
+
+
 @dataclass
 class OutputSpec:
     """What to run on each micro-batch and where the result goes.
 
     ``sink`` is ``table`` (catalog table, name resolved from ``target_table``),
-    ``path`` (files under ``path``) or ``console``.
+    ``path`` (files under ``path``) or ``console``.  With ``upsert_keys`` the changes
+    are merged into the current-state table at ``path`` (``sinks.current``): per key
+    the greatest ``upsert_order`` wins, deletes remove.  ``evolve`` lets the table at
+    ``path`` gain and widen columns (``sinks.evolve``).  ``late_path`` takes the rows
+    behind the watermark of the job's ``event_time``.
     """
 
     sql: str | None = None
@@ -231,6 +264,11 @@ class OutputSpec:
     table_properties: dict[str, str] = field(default_factory=dict)
     distribute_by: list[str] | None = None
     idempotent: bool = False
+    upsert_keys: list[str] = field(default_factory=list)
+    upsert_order: list[str] = field(default_factory=lambda: ["ts_ms"])
+    buckets: int = 64
+    evolve: bool = False
+    late_path: str | None = None
     console_rows: int = DEFAULT_CONSOLE_ROWS
 
     @classmethod
@@ -251,6 +289,9 @@ class JobSpec:
     lookup_tables: dict[str, str] = field(default_factory=dict)
     # Keep only changes with these operations (decided within the parse); empty: all.
     operations: list[str] = field(default_factory=list)
+    # Values beside the images to carry on, e.g. {"ts_ms": "bigint", "source.pos": "bigint"}.
+    envelope: dict[str, str] = field(default_factory=dict)
+    event_time: EventTimeSpec | None = None
     checkpoint_root: str | None = None
     checkpoint_location: str | None = None
     catalog: str = DEFAULT_CATALOG
@@ -272,6 +313,7 @@ class JobSpec:
             schema=DeclaredSchema.coerce(d.pop("schema", [])),
             source=SourceSpec.from_dict(d.pop("source", None)),
             output=OutputSpec.from_dict(d.pop("output", None)),
+            event_time=EventTimeSpec.from_dict(d.pop("event_time", None)),
             spark=SparkSettings.from_dict(d.pop("spark", None)),
             **d,
         )

@@ -27,8 +27,11 @@ from ..functions.phone import register_functions
 from ..plans.batch import apply_batch
 from ..plans.job import job_frame
 from ..session import checkpoint_setting, prepare_session
+from ..sinks.current import merge_changes
+from ..sinks.evolve import write_evolving
 from ..sinks.table import checkpoint_path, console_rows, table_for, write_batch
-from ..spec import JobSpec
+from ..spec import JobSpec, OutputSpec
+from .late import LateRows
 
 log = logging.getLogger(__name__)
 
@@ -43,9 +46,10 @@ def register_lookup_tables(spark: SparkSession, tables: dict[str, str] | None) -
 class BatchHandler:
     """The ``foreachBatch`` callback of a job."""
 
-    def __init__(self, spec: JobSpec, table: str | None = None):
+    def __init__(self, spec: JobSpec, table: str | None = None, late: LateRows | None = None):
         self.spec = spec
         self.table = table
+        self.late = late
 
     def transform(self, batch: DataFrame, batch_id: int) -> DataFrame:
         return apply_batch(batch, self.spec, batch_id)
@@ -58,8 +62,21 @@ class BatchHandler:
             if batch.isEmpty():
                 log.info("[batch=%s] empty, skipped", batch_id)
                 return
-            out = self.transform(batch, batch_id)
-            if self.spec.output.sink == "console":
+            rows = batch
+            if self.late is not None:
+                rows, late = self.late.split(batch, batch_id)
+                # by query and batch, so that a replay replaces them
+                write_batch(late, OutputSpec(path=self.spec.output.late_path, idempotent=True),
+                            batch_id=batch_id, query_id=query_id)
+                log.info("[batch=%s] rows on time, late: %s", batch_id, self.late.counts[batch_id])
+            out = self.transform(rows, batch_id)
+            if self.spec.output.upsert_keys:
+                o = self.spec.output
+                merge_changes(out, o.path, o.upsert_keys, o.upsert_order, buckets=o.buckets,
+                              query_id=query_id, batch_id=batch_id)
+            elif self.spec.output.evolve:
+                write_evolving(out, self.spec.output, batch_id=batch_id, query_id=query_id)
+            elif self.spec.output.sink == "console":
                 n = self.spec.output.console_rows
                 console_rows(out, n).show(n, truncate=False)
             else:
@@ -115,11 +132,22 @@ def job_checkpoint(spark: SparkSession, spec: JobSpec) -> str:
     return checkpoint_path(root, spec.name, "console" if spec.output.sink == "console" else "main")
 
 
+def check_event_time(spec: JobSpec) -> None:
+    """Combinations of settings that have no meaning."""
+    out = spec.output
+    if out.late_path and (spec.event_time is None or spec.event_time.stateful):
+        raise ValueError("late_path splits a job's own rows: it needs event_time, without windows, sessions or dedup "
+                         "(a second job over its output can have those)")
+    if out.upsert_keys and not out.path:
+        raise ValueError("a current-state table is kept at a path")
+
+
 def start_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False,
               progress: ProgressLog | None = None) -> StreamingQuery:
     """Start the job's query.  ``available_now`` processes what the source holds
     now (still in rate-limited micro-batches) and stops: tests and backfills.
     ``progress`` (a ``ProgressLog``) is registered for this query's batches."""
+    check_event_time(spec)
     prepare_session(spark, spec)
     if progress is not None:
         progress.names = (progress.names or set()) | {query_name(spec)}
@@ -131,7 +159,8 @@ def start_job(spark: SparkSession, spec: JobSpec, *, available_now: bool = False
     table = None
     if spec.output.sink == "table" and not spec.output.path:
         table = table_for(spec)
-    handler = BatchHandler(spec, table)
+    late = LateRows(spec.event_time, job_checkpoint(spark, spec)) if spec.output.late_path else None
+    handler = BatchHandler(spec, table, late)
     writer = (job_frame(spark, spec).writeStream
               .foreachBatch(handler)
               .option("checkpointLocation", job_checkpoint(spark, spec))

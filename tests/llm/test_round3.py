@@ -122,7 +122,8 @@ def test_alignment_query_matches_byte_ranges(spark):
 @pytest.mark.parametrize("ends_a,ends_b", [([1, 2, 3], [3]), ([3], [1, 2, 3]), ([2, 4, 6], [3, 6]), ([1, 5, 6, 9], [2, 3, 6, 7, 9])])
 def test_slices_link_every_overlap(ends_a, ends_b):
     ids_a, ids_b = list(range(len(ends_a))), list(range(len(ends_b)))
-    _, _, links = alignment.align(ids_a, ids_b, ends_a, ends_b, list("0123"), list("01234"), 100)
+    cuts = alignment.common_cuts(ends_a, ends_b)
+    _, links = alignment.align(ids_a, ids_b, ends_a, ends_b, *cuts, 0, 0, list("0123"), list("01234"), 100)
     ra, rb = list(zip([0, *ends_a], ends_a)), list(zip([0, *ends_b], ends_b))
     assert sorted(links) == sorted(i * 100 + j for i, r in enumerate(ra) for j, s in enumerate(rb) if r[0] < s[1] and s[0] < r[1])
 

@@ -8,6 +8,12 @@ every B token whose bytes overlap its own (a slice of m and n tokens holds
 m + n - 1 links).  How often a pair of ids is linked is counted over the whole
 corpus, and a link is a best one when no pair with its B id is linked more often.
 
+Where neither tokenizer joins what lies on both sides of a space or a line end (which
+is checked on their vocabularies and layouts), a text's alignment is its words'
+alignments one after the other, since every word's end is a common end.  Words are then
+aligned once, in batches, and remembered (two bounded generations per worker); texts
+with other white space, or tokenizers of another kind, are aligned whole.
+
 Passes: (1) one pass over the texts tokenises, aligns and writes, in blocks of about
 ``BLOCK_LINKS`` links, each document's linked pairs as places in its block's list of
 distinct pairs, and that list with its totals; (2) the blocks' totals are added up by
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -40,6 +47,10 @@ from .common import as_one, ship, slices, text_of, written
 BLOCK_LINKS = 2 << 20     # links after which a block ends (one longer document is a block alone)
 BLOCK_DOCS = 20_000
 BATCH_BYTES = 1 << 20     # text that is tokenised at a time
+CACHED_WORDS = 300_000    # words of one generation of a worker's memory
+LONGEST_CACHED = 48
+WORDS_TOGETHER = 64       # fresh words that are aligned in one go
+COUNT_BITS = 40           # three counts are kept, and added up, as one number
 MOST_IDS = 1 << 24        # B vocabularies up to this size: their one row per id may be broadcast
 SPACE_MARK = "▁"
 
@@ -56,7 +67,11 @@ class ByteLevelSide:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True     # their strings in a text are plain text
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            layout = json.load(f)
+        vocabulary, pre = layout["model"]["vocab"], layout.get("pre_tokenizer") or {}
+        # the usual split: white space but one space before a word stands alone
+        self.by_word = (layout.get("normalizer") is None and pre.get("type") == "ByteLevel"
+                        and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
         byte_of = {c: b for b, c in byte_alphabet().items()}
         self.bytes = [b""] * (max([*vocabulary.values(), self.tok.get_vocab_size() - 1]) + 1)
         for entry, i in vocabulary.items():
@@ -66,6 +81,10 @@ class ByteLevelSide:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
+    def encode_lines(self, texts: list[str]) -> list[list[int]]:
+        """Texts that begin with a line end, as they stand."""
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 class PieceSide:
     """A sentence-piece model with byte pieces; it puts the space in front itself."""
@@ -79,10 +98,19 @@ class PieceSide:
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                               else piece.replace(SPACE_MARK, " ").encode())
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.mark = self.model.piece_to_id(SPACE_MARK)
+        # no piece goes on after a space, or holds a line end
+        self.by_word = (not any(SPACE_MARK in p.lstrip(SPACE_MARK) or "\n" in p for p in pieces)
+                        and not self.model.is_unknown(self.mark))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def encode_lines(self, texts: list[str]) -> list[list[int]]:
+        """Texts that begin with a line end, without the space that the model puts in front."""
+        return [ids[1:] if ids[0] == self.mark else [] for ids in self.encode(texts)]
+
 
 def byte_alphabet() -> dict[int, str]:
     """The byte-level alphabet: a printable byte stands for itself, the others follow
@@ -118,14 +146,14 @@ def slice_links(ends_a: list[int], ends_b: list[int], i: int, i1: int, j: int, j
         j += b <= a
 
 
-def align(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int],
-          shown_a: list[str], shown_b: list[str], width: int) -> tuple[str, int, list[int]]:
-    """Groups as text (``a1,a2|b1;a3|b2``), their number, and each link's pair of ids
-    as one number (A's id times ``width`` plus B's)."""
+def align(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int], cuts_a: list[int],
+          cuts_b: list[int], i: int, j: int, shown_a: list[str], shown_b: list[str], width: int) -> tuple[str, list[int]]:
+    """Groups of the slices from ``i`` and ``j`` on, up to each pair of cuts, as text
+    (``a1,a2|b1;a3|b2``), and each link's pair of ids as one number (A's id times
+    ``width`` plus B's)."""
     groups, links = [], []
     add, link = groups.append, links.append
-    i = j = 0
-    for i1, j1 in zip(*common_cuts(ends_a, ends_b)):
+    for i1, j1 in zip(cuts_a, cuts_b):
         if i1 - i == 1:
             a = ids_a[i]
             if j1 - j == 1:
@@ -145,7 +173,7 @@ def align(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[in
             else:
                 links += [ids_a[x] * width + ids_b[y] for x, y in slice_links(ends_a, ends_b, i, i1, j, j1)]
         i, j = i1, j1
-    return ";".join(groups), len(groups), links
+    return ";".join(groups), links
 
 
 class Block:
@@ -154,9 +182,9 @@ class Block:
     def __init__(self):
         self.rows, self.links, self.held, self.docs = [], [], 0, 0
 
-    def add(self, links: list[int]) -> None:
-        self.links.append(np.array(links, np.int64))
-        self.held += len(links)
+    def add(self, links: bytes) -> None:
+        self.links.append(np.frombuffer(links, "<i8"))
+        self.held += len(links) // 8
         self.docs += 1
 
     @property
@@ -183,16 +211,103 @@ _OWN = [("n_a", LongType()), ("n_b", LongType()), ("n_groups", LongType()), ("n_
         ("groups", StringType()), ("groups_sha256", StringType())]
 
 
-def tokenised(texts: list[str], a, b) -> Iterator[tuple | None]:
-    """Per text its ids and ends on both sides; None where a side does not reproduce it."""
-    full = [(" " + t).encode() for t in texts]
-    for raw, ids_a, ids_b in zip(full, a.encode(texts), b.encode(texts)):
-        if (len(raw) == 1 or b"".join(map(a.bytes.__getitem__, ids_a)) != raw
-                or b"".join(map(b.bytes.__getitem__, ids_b)) != raw):
-            yield None
-        else:
-            yield (ids_a, ids_b, list(accumulate(map(a.lengths.__getitem__, ids_a))),
-                   list(accumulate(map(b.lengths.__getitem__, ids_b))))
+class Aligner:
+    """Alignments of texts, by words where the tokenizers allow it."""
+
+    def __init__(self, a, b):
+        import re
+
+        self.a, self.b, self.width = a, b, len(b.bytes)
+        self.by_word = a.by_word and b.by_word
+        # white space other than single spaces and line ends between words
+        self.odd = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]").search
+        self.words: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+
+    def _whole(self, raw: bytes, x: list[int], y: list[int], ends: list[int]) -> list[tuple] | None:
+        """Groups, counts and links (as bytes) of each part of a text, the parts ending at
+        ``ends``.  None where a side does not reproduce the bytes or a part's end is no
+        common one."""
+        a, b, width = self.a, self.b, self.width
+        if b"".join(map(a.bytes.__getitem__, x)) != raw or b"".join(map(b.bytes.__getitem__, y)) != raw:
+            return None
+        ends_a = list(accumulate(map(a.lengths.__getitem__, x)))
+        ends_b = list(accumulate(map(b.lengths.__getitem__, y)))
+        at_a, at_b = common_cuts(ends_a, ends_b)
+        place = dict(zip(map(ends_a.__getitem__, (i - 1 for i in at_a)), range(1, len(at_a) + 1)))
+        out, k, i, j = [], 0, 0, 0
+        for end in ends:
+            to = place.get(end)
+            if to is None:
+                return None
+            i1, j1 = at_a[to - 1], at_b[to - 1]
+            groups, links = align(x, y, ends_a, ends_b, at_a[k:to], at_b[k:to], i, j, a.shown, b.shown, width)
+            out.append((groups, to - k | (i1 - i) << COUNT_BITS | (j1 - j) << 2 * COUNT_BITS,
+                        struct.pack(f"<{len(links)}q", *links)))
+            k, i, j = to, i1, j1
+        return out
+
+    def _learn(self, words: list[str], lines: bool) -> None:
+        """Align words that follow a space, or that begin with a line end, put together."""
+        encode_a, encode_b = (self.a.encode_lines, self.b.encode_lines) if lines else (self.a.encode, self.b.encode)
+        sep, space = ("", 0) if lines else (" ", 1)
+        batches = [words[i:i + WORDS_TOGETHER] for i in range(0, len(words), WORDS_TOGETHER)]
+        texts = [sep.join(batch) for batch in batches]
+        for batch, text, x, y in zip(batches, texts, encode_a(texts), encode_b(texts)):
+            raw = (" " * space + text).encode()
+            ends = list(accumulate(len(w.encode()) + space for w in batch))
+            got = self._whole(raw, x, y, ends)
+            if got is not None:
+                self.words.update(zip(batch, got))
+            elif len(batch) == 1:
+                self.words[batch[0]] = None
+            else:               # one of them is not reproduced: each by itself
+                for w in batch:
+                    self._learn([w], lines)
+
+    def align(self, texts: list[str]) -> list[tuple | None]:
+        """Per text its groups, counts (of groups, A and B tokens) and links (as bytes);
+        None for one without tokens."""
+        split = [t.replace("\n", " \n").split(" ") if self.by_word and t and not self.odd(t) else None for t in texts]
+        known = self.words
+        fresh = {w for words in split if words is not None for w in words if w not in known}
+        for w in fresh & self.older.keys():
+            known[w] = self.older[w]
+        fresh -= known.keys()
+        for lines in (False, True):
+            self._learn([w for w in fresh if (w[0] == "\n") == lines], lines)
+        out = []
+        for text, words in zip(texts, split):
+            if not text:
+                out.append(None)
+            elif words is None:
+                raw = (" " + text).encode()
+                got = self._whole(raw, self.a.encode([text])[0], self.b.encode([text])[0], [len(raw)])
+                out.append(got and unpacked(got[0]))
+            else:
+                parts = [known[w] for w in words]
+                if None in parts:
+                    out.append(None)
+                else:
+                    groups, counts, links = zip(*parts)
+                    out.append(unpacked((";".join(groups), sum(counts), b"".join(links))))
+        for w in fresh:
+            if len(w) > LONGEST_CACHED:
+                del known[w]
+        if len(known) > CACHED_WORDS:
+            self.older, self.words = known, {}
+        return out
+
+
+def unpacked(got: tuple[str, int, bytes]) -> tuple[str, int, int, int, bytes]:
+    groups, counts, links = got
+    mask = (1 << COUNT_BITS) - 1
+    return groups, counts & mask, counts >> COUNT_BITS & mask, counts >> 2 * COUNT_BITS, links
+
+
+@lru_cache(maxsize=2)
+def aligner(a: tuple[str, str], b: tuple[str, str]) -> Aligner:
+    return Aligner(side(*a), side(*b))
 
 
 def _stage(text: str, kept: list[StructField], out: StructType, a_of: tuple[str, str], b_of: tuple[str, str],
@@ -223,21 +338,16 @@ def _stage(text: str, kept: list[StructField], out: StructType, a_of: tuple[str,
     def run(batches):
         from pyspark import TaskContext
 
-        a, b = side(*a_of), side(*b_of)
-        width = len(b.bytes)
+        aligned = aligner(a_of, b_of).align
         number = TaskContext.get().partitionId() << 32
         block = Block()
         for batch in batches:
             for part in slices(batch, text, BATCH_BYTES):
                 held, made, start = part.select(names), [], 0
-                for k, got in enumerate(tokenised(part.column(text).to_pylist(), a, b)):
-                    if got is None:
-                        groups, n, links, counts = "", 0, [], (0, 0)
-                    else:
-                        groups, n, links = align(*got, a.shown, b.shown, width)
-                        counts = (len(got[0]), len(got[1]))
+                for k, got in enumerate(aligned(part.column(text).to_pylist())):
+                    groups, n, n_a, n_b, links = got or ("", 0, 0, 0, b"")
                     sha = hashlib.sha256(groups.encode()).hexdigest() if n else ""
-                    made.append((*counts, n, len(links), groups if with_groups else None, sha))
+                    made.append((n_a, n_b, n, len(links) // 8, groups if with_groups else None, sha))
                     block.add(links)
                     if block.full:
                         block.rows.append((held.slice(start, k + 1 - start), made))

@@ -18,7 +18,7 @@ Cast rules (declared type -> how a JSON value is read):
 
 from __future__ import annotations
 
-import re
+import functools
 from typing import Any
 
 from pyspark.sql import Column, SparkSession, functions as F
@@ -100,12 +100,12 @@ def safe_cast(c: Any, declared_type: Any) -> Column:
 
 def _struct_field_type(declared_type: Any) -> str:
     t = spark_type_name(declared_type)
-    return t if t in ("int", "bigint", "double", "float") else "string"
+    return t if t in _NUMERIC else "variant"
 
 
 def image_struct_type(schema: Any) -> str:
-    """DDL of the struct a row image is cast to: numeric fields as their type,
-    every other field as text (post-processed by ``typed_from_struct``)."""
+    """DDL of the struct a row image is cast to: numeric fields as their type, every
+    other field as it was parsed (its text is taken by ``typed_from_struct``)."""
     declared = DeclaredSchema.coerce(schema)
     parts = ["`" + f.name.replace("`", "``") + "`:" + _struct_field_type(f.type)
              for f in declared.fields]
@@ -114,32 +114,36 @@ def image_struct_type(schema: Any) -> str:
 
 def text_fields(schema: Any) -> list[Any]:
     """Declared fields that are read as text."""
-    return [f for f in DeclaredSchema.coerce(schema).fields if _struct_field_type(f.type) == "string"]
+    return [f for f in DeclaredSchema.coerce(schema).fields if _struct_field_type(f.type) == "variant"]
 
 
-def raw_texts(value: Any, schema: Any, parts: tuple[str, ...] = ("before", "after")) -> Column | None:
-    """``struct<before, after>`` of the text fields as the record writes them, read
-    only where that may differ from the variant's text: a number (``73.0``, a long
-    integer), an object or an array under a text field's name, or a key written
-    with escapes.  Null elsewhere; None when the schema has no text field."""
-    fields = text_fields(schema)
-    if not fields:
-        return None
-    text = _col(value).cast("string")
-    names = "|".join(re.escape(f.name) for f in fields)
-    odd = rf'"(?:{names})"\s*:\s*[-0-9\[{{]|\\u[0-9a-fA-F]{{4}}[^"]*"\s*:'
-    row = "struct<" + ",".join("`" + f.name.replace("`", "``") + "`:string" for f in fields) + ">"
-    kind = "struct<" + ",".join(f"{p}:{row}" for p in parts) + ">"
-    return F.when(text.rlike(odd), F.from_json(text, kind, _TEXT_OPTIONS))
+# Variant types whose text is the record's own: numbers lose their writing (``73.0``, a
+# long integer), objects and arrays their order and spaces.
+_AS_WRITTEN = ("STRING", "VOID", "BOOLEAN")
+
+
+def any_rewritten(row: Column, schema: Any) -> Column | None:
+    """True when a text field of the image holds a number, an object or an array, whose
+    text has to be read from the record again; None when the schema has no text field."""
+    found = [~F.coalesce(F.schema_of_variant(row.getField(f.name)), F.lit("VOID")).isin(*_AS_WRITTEN)
+             for f in text_fields(schema)]
+    return functools.reduce(lambda a, b: a | b, found) if found else None
+
+
+def texts_as_written(value: Any, schema: Any, part: str) -> Column:
+    """The image's text fields as the record writes them (a second, narrow read)."""
+    row = "struct<" + ",".join("`" + f.name.replace("`", "``") + "`:string" for f in text_fields(schema)) + ">"
+    return F.from_json(_col(value).cast("string"), f"struct<{part}:{row}>", _TEXT_OPTIONS).getField(part)
 
 
 def typed_from_struct(row: Column, field: Any, raw: Column | None = None) -> Column:
     """One declared field out of an image cast with ``image_struct_type``; ``raw`` is
-    the image's part of ``raw_texts``."""
+    ``texts_as_written`` where ``any_rewritten``, else null."""
     value = row.getField(field.name)
     t = field.sql_type
     if t in _NUMERIC:
         return value
+    value = variant_text(value)
     if raw is not None:
         value = F.coalesce(raw.getField(field.name), value)
     if t == "boolean":
@@ -162,16 +166,16 @@ def _image(value: Any, part: str, schema: Any = None) -> Column:
         return F.when(~is_json_null(img), F.to_json(img))
     declared = DeclaredSchema.coerce(schema)
     row = F.try_variant_get(v, path, image_struct_type(declared))
-    raw = raw_texts(value, declared, (part,))
-    if raw is None:
+    if not text_fields(declared):
         return row  # the struct cast already is the typed image (null if not an object)
 
-    # bind both reads once (a lambda variable), so the record is not parsed again
-    # for every field
+    # bind each read once (a lambda variable), so the record is not parsed again for every field
     def typed(r: Column) -> Column:
         return F.when(r.getField("row").isNotNull(), F.struct(*[
             typed_from_struct(r.getField("row"), f, r.getField("raw")).alias(f.name) for f in declared.fields]))
-    return F.transform(F.array(F.struct(row.alias("row"), raw.getField(part).alias("raw"))), typed).getItem(0)
+    both = F.transform(F.array(F.struct(row.alias("row"))), lambda r: F.struct(r.getField("row").alias("row"), F.when(
+        any_rewritten(r.getField("row"), declared), texts_as_written(value, declared, part)).alias("raw")))
+    return F.transform(both, typed).getItem(0)
 
 
 def before_image(value: Any, schema: Any = None) -> Column:

@@ -26,17 +26,18 @@ after it.  Filters on ``keep`` columns still reach the source.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.changes import (
-    OP_DELETE, image_struct_type, is_json_text, parse_record, raw_texts, typed_from_struct,
+    OP_DELETE, any_rewritten, image_struct_type, is_json_text, parse_record, text_fields, texts_as_written, typed_from_struct,
 )
 from ..spec import OP_COLUMN, DeclaredSchema
 
 _V, _OPV, _OK, _OP, _ROW, _RAW = "__tm_v", "__tm_opv", "__tm_ok", "__tm_op", "__tm_row", "__tm_raw"
-_ENV = "__tm_env"
+_ENV, _TEXT = "__tm_env", "__tm_text"
 
 _EMPTY_STRUCT = "struct<>"
 
@@ -109,44 +110,39 @@ def parse_changes(df: DataFrame, schema: Any, *, value_col: str = "value",
     names = _keep(df, keep)
     st = image_struct_type(declared)
 
-    raw = raw_texts(_quoted(value_col), declared)
-    raws = [raw.alias(_RAW)] if raw is not None else []
-    step1 = df.select(*names, parse_record(_quoted(value_col)).alias(_V), *raws)
-    raws = [F.col(_RAW)] if raws else []
+    texts = bool(text_fields(declared))
+    text = [_quoted(value_col).cast("string").alias(_TEXT)] if texts else []
+    step1 = df.select(*names, parse_record(_quoted(value_col)).alias(_V), *text)
+    text = [F.col(_TEXT)] if texts else []
     v = F.col(_V)
     opv = F.try_variant_get(v, "$['op']", "variant")
     op_is_text = is_json_text(opv)
     op_text = F.when(op_is_text, F.try_variant_get(opv, "$", "string"))
     beside = [F.struct(*[F.try_variant_get(v, _path(p), t).alias(n) for n, (p, t) in env.items()]).alias(_ENV)] if env else []
-    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP), *raws, *beside)
+    step2 = step1.select(*names, v, opv.alias(_OPV), op_text.alias(_OP), *text, *beside)
     beside = [F.col(_ENV)] if env else []
 
     v, opv, op = F.col(_V), F.col(_OPV), F.col(_OP)
-    before, after = "$['before']", "$['after']"
     is_delete = F.coalesce(op == F.lit(OP_DELETE), F.lit(False))
-    if image == "auto":
-        row = F.when(is_delete, F.try_variant_get(v, before, st)) \
-               .otherwise(F.try_variant_get(v, after, st))
-    else:
-        row = F.try_variant_get(v, before if image == "before" else after, st)
+
+    def chosen(of: Callable[[str], Column]) -> Column:
+        if image == "auto":
+            return F.when(is_delete, of("before")).otherwise(of("after"))
+        return of(image)
+
+    row = chosen(lambda part: F.try_variant_get(v, f"$['{part}']", st))
     # the image cast gets a Project of its own, so it is evaluated once per
     # record (not again inside the short-circuit of the well-formed check)
-    step3 = step2.select(*names, v, opv, op, row.alias(_ROW), *raws, *beside)
+    step3 = step2.select(*names, v, opv, op, row.alias(_ROW), *text, *beside)
 
     v, opv, op, rowc = F.col(_V), F.col(_OPV), F.col(_OP), F.col(_ROW)
-    if image == "auto":
-        img_absent = F.when(is_delete, _null_or_absent(v, before)) \
-                      .otherwise(_null_or_absent(v, after))
-    else:
-        img_absent = _null_or_absent(v, before if image == "before" else after)
+    img_absent = chosen(lambda part: _null_or_absent(v, f"$['{part}']"))
     ok = (_is_object(v, "$")
           & (opv.isNull() | op.isNotNull())
           & (rowc.isNotNull() | img_absent))
-    if raws:
-        part = F.col(_RAW).getField("before" if image == "before" else "after")
-        if image == "auto":
-            part = F.when(is_delete, F.col(_RAW).getField("before")).otherwise(part)
-        raws = [part.alias(_RAW)]
+    # a text field that holds a number, an object or an array: its text is read from the record
+    raws = [F.when(any_rewritten(F.col(_ROW), declared),
+                   chosen(lambda part: texts_as_written(F.col(_TEXT), declared, part))).alias(_RAW)] if texts else []
     step3 = step3.select(*names, ok.alias(_OK), op, rowc, *raws, *beside)
 
     okc, rowc = F.col(_OK), F.col(_ROW)
@@ -177,10 +173,13 @@ def parse_after_only(df: DataFrame, schema: Any, *, value_col: str = "value",
     declared = DeclaredSchema.coerce(schema)
     names = _keep(df, keep)
     st = image_struct_type(declared)
-    raw = raw_texts(_quoted(value_col), declared, ("after",))
-    raws = [raw.getField("after").alias(_RAW)] if raw is not None else []
-    step1 = df.select(*names, F.try_variant_get(parse_record(_quoted(value_col)), "$['after']", st)
-                      .alias(_ROW), *raws)
+    texts = bool(text_fields(declared))
+    v = F.col(_V)
+    step1 = (df.select(*names, _quoted(value_col).cast("string").alias(_TEXT), parse_record(_quoted(value_col)).alias(_V))
+             .select(*names, _TEXT, F.try_variant_get(v, "$['after']", st).alias(_ROW)))
+    raws = [F.when(any_rewritten(F.col(_ROW), declared),
+                   texts_as_written(F.col(_TEXT), declared, "after")).alias(_RAW)] if texts else []
+    step1 = step1.select(*names, _ROW, *raws)
     rowc, rawc = F.col(_ROW), F.col(_RAW) if raws else None
     typed = F.struct(*[typed_from_struct(rowc, f, rawc).alias(f.name) for f in declared.fields])
     return step1.select(*names, _emit(typed, rowc.isNotNull()))

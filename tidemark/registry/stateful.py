@@ -277,7 +277,7 @@ def customer_chains(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
     image = lambda balance: F.struct(k.alias("c_custkey"), F.col("c_name"), balance.alias("c_acctbal"))
     wrong = (F.pmod(k, F.lit(11)) == 0) & (F.pmod(k, F.lit(4)) == i)
-    before = F.when(i > 0, image(F.col("c_acctbal") + i - 1 + F.when(wrong, 0.5).otherwise(0.0)))
+    before = F.when(i > 0, image(F.col("c_acctbal") + (i - 1) + F.when(wrong, 0.5).otherwise(0.0)))
     ts = epoch_millis(F.lit(DAY_ZERO).cast("timestamp_ntz")) + i * 2 * DAY_MS + F.pmod(k, F.lit(1000))
     return rows.select("part", _record(image(F.col("c_acctbal") + i), before, F.when(i == 0, "c").otherwise("u"), ts, k * 10 + i))
 

@@ -45,10 +45,13 @@ def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
 
 def use_rocksdb(spark: SparkSession) -> None:
     """State on the executors' disks instead of their heaps, unless the session already
-    names a state store: keys held between batches may outgrow memory."""
+    names a state store: keys held between batches may outgrow memory.  Changes are
+    checkpointed as a log, and no disk is set aside ahead of use (a job has a store per
+    state partition and operator, most of them small)."""
     if spark.conf.get(STATE_STORE, None) in (None, HEAP_STATE_STORE):
         spark.conf.set(STATE_STORE, ROCKSDB_STATE_STORE)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
 def checkpoint_setting(spark: SparkSession) -> str | None:

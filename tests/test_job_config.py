@@ -83,3 +83,17 @@ def test_parsed_rows_of_the_job(spark):
                                "value string")
     assert [(r.o_orderkey, r.o_totalprice, r.note, r.op) for r in parse_changes(df, spec.schema).collect()] == [
         (7, 12.5, "3.0", "u")]
+
+
+def test_stateful_settings_of_a_job_file():
+    spec = spec_from_job_config({
+        "job": {"name": "keeper"},
+        "kafka": {"topics_in": "t", "schema_data": {"fields": [{"name": "id", "type": "long"}]},
+                  "envelope": {"ts_ms": "bigint", "source.lsn": "bigint"}},
+        "event_time": {"column": "ts_ms", "delay": "10 minutes", "dedup": ["id"]},
+        "output": {"path": "/t", "upsert_keys": ["id"], "upsert_order": ["ts_ms", "lsn"], "buckets": 256}})
+    assert spec.envelope == {"ts_ms": "bigint", "source.lsn": "bigint"}
+    assert spec.event_time.stateful and spec.event_time.delay == "10 minutes"
+    assert (spec.output.path, spec.output.format, spec.output.upsert_keys, spec.output.buckets) == ("/t", "parquet", ["id"], 256)
+    plain = spec_from_job_config({"job": {"name": "x"}})
+    assert plain.event_time is None and plain.envelope == {} and plain.output.format == "iceberg"

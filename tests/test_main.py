@@ -3,6 +3,8 @@
 import json
 import time
 
+import pytest
+
 from tidemark.__main__ import build_spec, expand, main, parser
 
 JOB = """
@@ -33,7 +35,9 @@ kafka:
 
 def test_expand():
     env = {"A": "1"}
-    assert expand("${A}/${B:-two}/${C}", env) == "1/two/"
+    assert expand("${A}/${B:-two}/${C:-}", env) == "1/two/"
+    with pytest.raises(ValueError, match="no value for C, D"):
+        expand("${A}/${D}/${C}", env)
     assert expand("plain $A text", env) == "plain $A text"
 
 

@@ -22,8 +22,12 @@ _VAR = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::-([^}]*))?\}")
 
 
 def expand(text: str, env: Mapping[str, str] | None = None) -> str:
+    """Fill the placeholders; one without a default must have a value."""
     env = os.environ if env is None else env
-    return _VAR.sub(lambda m: env.get(m.group(1), m.group(2) if m.group(2) is not None else ""), text)
+    missing = sorted({m[1] for m in _VAR.finditer(text) if m[2] is None and m[1] not in env})
+    if missing:
+        raise ValueError(f"no value for {', '.join(missing)}: set it in the properties file or the environment")
+    return _VAR.sub(lambda m: env.get(m[1], m[2]), text)
 
 
 def read_properties(path: str | None) -> dict[str, str]:

@@ -6,7 +6,10 @@ data format, ``schema_cdc``, ``schema_data``) and ``output`` (``sql_conditions``
 ``target_table``, ``write_mode``); a shared common file has the Kafka
 connection (``kafka``) and table properties (``lakehouse.iceberg``).
 ``spec_from_job_config`` maps both onto a ``JobSpec``; ``load_job_yaml`` does
-the same from YAML text (PyYAML, when installed).
+the same from YAML text (PyYAML, when installed).  A job may also say ``kafka.envelope``
+(values beside the images), ``event_time`` (watermark, windows, sessions, dedup) and, in
+``output``, ``path``, ``upsert_keys``, ``upsert_order``, ``buckets``, ``evolve``,
+``late_path`` and ``idempotent``.
 
 Placeholders such as ``${VAR}`` are not expanded here: secrets and endpoints
 belong to whoever launches the job, who passes finished dicts.
@@ -19,11 +22,15 @@ from typing import Any, Mapping
 from .spec import (
     DEFAULT_MIN_BATCHES_TO_RETAIN,
     DEFAULT_NO_DATA_PROGRESS_INTERVAL_MS, DEFAULT_SASL_MECHANISM, DEFAULT_SECURITY_PROTOCOL,
-    DEFAULT_STARTING_OFFSETS, DEFAULT_TRIGGER, DEFAULT_WRITE_MODE, DeclaredSchema, JobSpec,
+    DEFAULT_STARTING_OFFSETS, DEFAULT_TRIGGER, DEFAULT_WRITE_MODE, DeclaredSchema, EventTimeSpec, JobSpec,
     OutputSpec, SourceSpec, SparkSettings,
 )
 
 
+# Settings of this library that a job file's ``output`` may add under their own names.
+_OUTPUT_EXTRAS = ("upsert_keys", "upsert_order", "buckets", "evolve", "late_path", "idempotent")
+
+
 def _bool(v: Any) -> bool:
     if isinstance(v, bool):
         return v
@@ -78,11 +85,15 @@ def spec_from_job_config(job: Mapping[str, Any], common: Mapping[str, Any] | Non
         columns=list(out["columns"]) if out.get("columns") else None,
         target_table=str(out.get("target_table", "") or ""),
         write_mode=str(out.get("write_mode", DEFAULT_WRITE_MODE)),
-        format=table_format,
+        path=out.get("path"),
+        format="parquet" if out.get("path") else table_format,
         table_properties={str(k): str(v) for k, v in props.items()},
+        **{k: out[k] for k in _OUTPUT_EXTRAS if k in out},
     )
     return JobSpec(name=str(name), schema=DeclaredSchema.coerce(_section(kj, "schema_data")),
-                   source=source, output=output, spark=spark, checkpoint_root=checkpoint_root)
+                   source=source, output=output, spark=spark, checkpoint_root=checkpoint_root,
+                   envelope={str(k): str(v) for k, v in _section(kj, "envelope").items()},
+                   event_time=EventTimeSpec.from_dict(job.get("event_time")))
 
 
 def load_job_yaml(job_text: str, common_text: str | None = None, **kw) -> JobSpec:

@@ -14,9 +14,10 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.changes import parse_record, record_op
+from ..functions.changes import read_envelope, record_op
 
-_V = "__tm_v"
+_ENV = "__tm_env"
+_META = "op STRING, ts_ms STRING, source STRUCT<`table`: STRING, db: STRING>"
 
 
 def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
@@ -26,20 +27,21 @@ def lift_metadata(df: DataFrame, *, value_col: str = "value") -> DataFrame:
     replaced in place (as ``withColumn`` would).  A record that is not a JSON
     object, or lacks a part, gives nulls for the parts it lacks; a ``source``
     that is not an object gives null table and db.  A quoted ``ts_ms`` holding
-    digits still reads as a number.
+    digits still reads as a number.  Only these parts are read out of the record; the
+    images are passed over.
     """
-    v = F.col(_V)
+    e = F.col(_ENV)
     meta = {
-        "op": F.try_variant_get(v, "$['op']", "string"),
-        "ts_ms": F.try_variant_get(v, "$['ts_ms']", "bigint"),
-        "source_table": F.try_variant_get(v, "$['source']['table']", "string"),
-        "source_db": F.try_variant_get(v, "$['source']['db']", "string"),
+        "op": e.getField("op"),
+        "ts_ms": e.getField("ts_ms").try_cast("bigint"),
+        "source_table": e.getField("source").getField("table"),
+        "source_db": e.getField("source").getField("db"),
     }
     cols = [F.col(f"`{c}`") for c in df.columns]
     out = [meta[c].alias(c) if c in meta else F.col(f"`{c}`") for c in df.columns]
     out += [expr.alias(name) for name, expr in meta.items() if name not in df.columns]
-    return (df.select(*cols, parse_record(F.col("`" + value_col.replace("`", "``") + "`")).alias(_V))
-              .select(*out))
+    value = F.col("`" + value_col.replace("`", "``") + "`")
+    return df.select(*cols, read_envelope(value, _META).alias(_ENV)).select(*out)
 
 
 def filter_by_operation(df: DataFrame, operations: Iterable[str] | None, *,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.changes import after_image, before_image, record_op, source_metadata
 from ..operators import conform, filter_by_operation, lift_metadata, parse_after_only, parse_changes
 from ..sources.feed import change_feed
+from ..spec import field_map
 from .common import (
     CUSTOMER_TYPED_SCHEMA, ORDERS_COLS, ORDERS_SCHEMA, as_ntz, customer_feed, customer_rows,
     op_sql, orders_feed, ready, table,
@@ -219,6 +220,15 @@ def conform_declared(spark, sf):
     return conform(part, declared)
 
 
+def conform_field_map(spark, sf):
+    """The same from a name-to-type map: entries without a name are skipped, of two with
+    one name the last type counts."""
+    ready(spark)
+    types = field_map([{"field": "p_partkey", "type": "string"}, {"type": "int"}, {"name": "p_size", "type": "double"},
+                       {"field": "p_none"}, {"field": "p_partkey", "type": "long"}])
+    return conform(table(spark, sf, "part"), types)
+
+
 QUERIES = {
     "cdc_parse_orders": cdc_parse_orders,
     "cdc_parse_malformed": cdc_parse_malformed,
@@ -242,11 +252,13 @@ QUERIES = {
     "cdc_source_meta": cdc_source_meta,
     "cdc_after_only": cdc_after_only,
     "conform_declared": conform_declared,
+    "conform_field_map": conform_field_map,
 }
 
 _CK = "c_custkey"
 
 ORACLES = {
+    "conform_field_map": "SELECT p_partkey, p_size::DOUBLE AS p_size, NULL::VARCHAR AS p_none FROM part",
     "cdc_parse_orders": f"SELECT {ORDERS_SELECT}, {OP} AS op FROM orders",
     "cdc_parse_malformed": (
         f"SELECT {_nulls_when('o_orderkey % 50 = 0', ORDERS_COLS)}, "

@@ -10,16 +10,18 @@ the job over them with ``availableNow`` and returns what the sink holds.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import parse_changes
 from ..plans.batch import apply_batch, materialize
+from ..plans.job import METRICS_NAME
 from ..session import checkpoint_setting, shared_dir
 from ..sinks.table import BATCH_ID_COLUMN, QUERY_ID_COLUMN, console_rows, write_batch
-from ..spec import JobSpec, OutputSpec, SourceSpec
-from ..streaming.runner import BatchHandler, run_job
+from ..spec import JobSpec, OutputSpec, SourceSpec, SparkSettings
+from ..streaming.runner import BatchHandler, ProgressLog, query_name, run_job
 from .common import ORDERS_COLS, ORDERS_SCHEMA, ORDERS_VIEW, as_ntz, op_sql, orders_feed, ready
 
 OP = op_sql("o_orderkey")
@@ -178,7 +180,46 @@ def console_preview(spark, sf):
     return as_ntz(console_rows(out, 20))
 
 
+def stream_progress(spark, sf):
+    """Rows and parse metrics that the named query reports per micro-batch, added up; the
+    job states its retention and idle interval for the session."""
+    ready(spark)
+    work = _workdir(spark, "progress")
+    write_feed_files(spark, sf, f"{work}/in")
+    spec = _job(work)
+    spec.spark = SparkSettings(min_batches_to_retain=7, no_data_progress_event_interval=50_000)
+    log = ProgressLog()
+    try:
+        done = run_job(spark, spec, available_now=True, progress=log)
+        reported = {p["batchId"] for p in done.recentProgress}
+        for _ in range(300):         # events arrive a little later than the query ends
+            if reported <= {b["batch"] for b in log.batches}:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    kept = spark.conf.get("spark.sql.streaming.minBatchesToRetain")
+    rows = [(b["name"] == query_name(spec), b["rows"], *(int(b["metrics"][METRICS_NAME][k]) for k in _METRICS), int(kept))
+            for b in log.batches if METRICS_NAME in b["metrics"]]
+    batches = spark.createDataFrame(rows, f"named boolean, n long, {', '.join(f'{k} long' for k in _METRICS)}, kept int")
+    return batches.groupBy("named", "kept").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in _METRICS])
+
+
+_METRICS = ("rows", "creates", "updates", "deletes", "malformed")
+
+
+def stream_sql_twice(spark, sf):
+    """The streaming twin of a batch read twice."""
+    ready(spark)
+    work = _workdir(spark, "twice")
+    write_feed_files(spark, sf, f"{work}/in")
+    run_job(spark, _job(work, sql=f"TABLE {ORDERS_VIEW} UNION ALL TABLE {ORDERS_VIEW}"), available_now=True)
+    return as_ntz(_result(spark, work))
+
+
 QUERIES = {
+    "stream_progress": stream_progress,
+    "stream_sql_twice": stream_sql_twice,
     "stream_append": stream_append,
     "stream_sql": stream_sql,
     "stream_batch_counts": stream_batch_counts,
@@ -193,6 +234,9 @@ QUERIES = {
 _ROWS = f"SELECT {', '.join(ORDERS_COLS)}, {OP} AS op FROM orders"
 
 ORACLES = {
+    "stream_progress": (f"SELECT true AS named, 7 AS kept, count(*) AS n, count(*) AS rows, count(*) FILTER ({OP} = 'c') AS creates, "
+                        f"count(*) FILTER ({OP} = 'u') AS updates, count(*) FILTER ({OP} = 'd') AS deletes, 0 AS malformed FROM orders"),
+    "stream_sql_twice": f"{_ROWS} UNION ALL {_ROWS}",
     "stream_append": _ROWS,
     "stream_sql": (f"SELECT o_orderkey, o_custkey, o_totalprice, {OP} AS op FROM orders "
                    f"WHERE {OP} <> 'd' AND o_totalprice > 50000"),

@@ -109,11 +109,10 @@ EVENT_SCHEMA = [{"name": "event_id", "type": "long"}, {"name": "ts", "type": "ti
 
 def _sets(df: DataFrame, column: str, sets: int = SETS) -> DataFrame:
     """``df`` with ``part``: the range of ``column``, cut into equal spans."""
-    span = df.agg(F.unix_micros(F.min(column).cast("timestamp")).alias("lo"), F.unix_micros(F.max(column).cast("timestamp")).alias("hi"))
     at = F.unix_micros(F.col(column).cast("timestamp"))
-    step = F.greatest((F.col("hi") - F.col("lo")) / F.lit(sets), F.lit(1.0))
-    return (df.crossJoin(F.broadcast(span))       # one row
-            .withColumn("part", F.least(F.floor((at - F.col("lo")) / step), F.lit(sets - 1)).cast("int")).drop("lo", "hi"))
+    lo, hi = df.agg(F.min(at), F.max(at)).first()       # two numbers; none for an empty table
+    lo, step = lo or 0, max(((hi or 0) - (lo or 0)) / sets, 1.0)
+    return df.withColumn("part", F.least(F.floor((at - F.lit(lo)) / F.lit(step)), F.lit(sets - 1)).cast("int"))
 
 
 def event_feed(spark: SparkSession, sf: str, repeats: bool = False) -> DataFrame:

@@ -326,3 +326,155 @@ def test_double_array_holds_what_was_packed():
     assert len(set(state.values())) == len(prefixes) == len(trie.order)
     assert all(trie.child(state[p], 61) == -1 for p in list(prefixes)[:200])
     assert len(trie.check) < 3 * len(prefixes)
+
+
+# ---- licence scan: comparison both ways -------------------------------------------
+
+def plain_fits(line, licences):
+    """Every template's best stretch by trying all, short lines only."""
+    pairs = licences._pairs_of(line)
+    out = {}
+    for t, (_, own) in enumerate(licences._templates()):
+        shared = set(pairs) & set(own)
+        if not shared:
+            continue
+        best = len(shared) / len(set(pairs))
+        for i, p in enumerate(pairs):
+            if p in own:
+                inside = [k for k in range(i, len(pairs)) if k < i + 1.5 * len(own) + 1 and pairs[k] in own]
+                both = {pairs[k] for k in inside}
+                best = max(best, 2 * len(both) / (len(own) + inside[-1] - i + 1))
+        out[t] = best
+    return out
+
+
+def test_licence_stretches_match_a_plain_search(spark):
+    from tidemark.llm import licences
+
+    rng = random.Random(5)
+    some = [t for ts in licences.TEMPLATES.values() for t in ts]
+    lines = some + ["", "no licence here"] + [
+        " ".join(rng.sample("the of this work is a town by its river".split(), 6) + w[rng.randrange(3):len(w) - rng.randrange(3)]
+                 + ["and", "so", "on"]) for w in (t.split() for t in rng.choices(some, k=40))]
+    df = spark.createDataFrame(list(enumerate(lines)), "k int, paragraph string")
+    df = df.withColumn("words", licences.words(F.col("paragraph"))).withColumn("pairs", licences.pairs("words"))
+    for r in df.select("k", licences.fits("words", "pairs").alias("fits")).collect():
+        got = {f.t: f.sim for f in r.fits}
+        want = plain_fits(lines[r.k], licences)
+        assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in got), lines[r.k]
+
+
+def test_notices_inside_lines_and_near_relatives(spark):
+    from tidemark.llm import licences
+
+    cases = {
+        "This article by A and B, first printed in C, is licensed under CC BY 4.0.": "cc_by",
+        "The town lies by its river. Licensed under the MIT License.": "mit",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "agpl",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "cc_by_nd",
+        "Licensed under CC BY-NC-SA 4.0.": "cc_by_nc_sa", "Licensed under CC BY-NC-ND 4.0.": "cc_by_nc_nd",
+        "word " * 3000 + "Licensed under the Apache License, Version 2.0. " + "other " * 3000: "apache",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "He licensed the song to a film and the rights of the author were reserved.": "unknown",
+        "My driving license was lost in the rain.": "unknown"}
+    own = spark.createDataFrame([(-i - 1, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    base = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.family for r in licences.scan(base.unionAll(own)).collect() if r.doc_id < 0}
+    assert [got[-i - 1] for i in range(len(cases))] == list(cases.values())
+
+
+# ---- callers' columns under any name ------------------------------------------------
+
+def test_helper_names_never_meet_the_callers(spark, tmp_path):
+    import corpus_pipeline
+    from tidemark.llm import pii, quality, simhash
+
+    names = ["tidemark_row", "tidemark_fp", "tidemark_score", "tidemark_found", "tidemark_more", "tidemark_spans", "score",
+             "q_lines", "q_upper", "q_text", "q_votes", "row", "fp", "id", "spans", "component", "h", "z"]
+    prose = "These are plain words of a short text, and they say nothing at all. It ends here with {} words."
+    rows = [(i, prose.format("many" * (i % 7 + 1)) + f" Write to a{i}@b.co today.", 0, *(f"{n}{i}" for n in names)) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+
+    def held(out, less=()):
+        got = out.collect()
+        assert len(got) > 0
+        for r in got:
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names if n not in less)
+        return got
+
+    assert len(held(pii.find(df), ("spans",))) == 20
+    assert len(held(pii.find(df, spans_col="found"))) == 20
+    hidden = held(pii.redact(df))
+    assert all("<EMAIL>" in r.text and r.n_chars == len(r.text) for r in hidden)
+    assert pii.redact(df).columns == df.columns == simhash.keep_one(df).columns == quality.keep_good(df).columns
+    held(simhash.keep_one(df, size=3, radius=2))
+    assert len(held(quality.judge(df))) == 20
+    held(quality.keep_good(df))
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(20)], "doc_id long, quality int, toxic int")
+    labels.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.drop_toxic(spark, df, str(tmp_path))
+    assert out.columns == df.columns
+    for r in out.collect():
+        assert all(r[n] == f"{n}{r.doc_id}" for n in names)
+
+
+# ---- oracle SQL ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_ORACLE])
+def test_query_matches_its_sql(spark, name, sf):
+    from oracle_compare import compare, duck
+
+    problems = compare(spark, duck(sf), queries.QUERIES[name], queries.ORACLES[name], sf)
+    assert not problems, problems
+
+
+# ---- toxicity: the learner and its features against plain ones ------------------------------
+
+def test_ftrl_matches_a_plain_one():
+    import math
+
+    from tidemark.llm import toxicity as t
+
+    rng = random.Random(11)
+    rows = [(sorted(rng.sample(range(64), rng.randint(0, 12))), rng.randint(0, 1)) for _ in range(400)]
+    model = t.Ftrl(bits=6, alpha=0.5, beta=1.0, l1=0.7, l2=0.3)
+    z, n = dict.fromkeys([*range(64), "bias"], 0.0), dict.fromkeys([*range(64), "bias"], 0.0)
+
+    def weight(c):
+        l1, l2 = (0.0, 0.0) if c == "bias" else (0.7, 0.3)
+        if abs(z[c]) <= l1:
+            return 0.0
+        return -(z[c] - math.copysign(l1, z[c])) / ((1.0 + math.sqrt(n[c])) / 0.5 + l2)
+
+    import numpy as np
+    for at, label in rows:
+        model.learn(np.array(at, np.int32), label)
+        active = [*at, "bias"]
+        w = {c: weight(c) for c in active}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for c in active:
+            sigma = (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / 0.5
+            z[c] += g - sigma * w[c]
+            n[c] += g * g
+    assert np.allclose(model.z, [z[c] for c in range(64)]) and np.allclose(model.n, [n[c] for c in range(64)])
+    assert np.allclose(model.weights(np.arange(64)), [weight(c) for c in range(64)])
+    assert abs(model.bias - weight("bias")) < 1e-12
+    assert 0 < np.count_nonzero(model.weights(np.arange(64))) < 64           # L1 leaves some at zero
+
+
+@pytest.mark.parametrize("text", ["", "One", "One two, THREE four-five!", "é “quoted” … ... word word word", "a b c d " * 40])
+def test_features_are_words_pairs_skips_and_beginnings(text):
+    from xxhash import xxh64_intdigest as h
+
+    from tidemark.llm import toxicity as t
+
+    mask, shift = (1 << 64) - 1, 64 - 16
+    words = [w for w in (x.strip(t._TRIM) for x in text.lower().split()) if w]
+    code = [h(w.encode()) for w in words]
+    pair, skip = int(t._PAIR), int(t._SKIP)
+    want = {c >> shift for c in code}
+    want |= {((((a * pair) & mask) ^ ((b + pair) & mask)) * pair & mask) >> shift for a, b in zip(code, code[1:])}
+    want |= {((((a * skip) & mask) ^ ((b + skip) & mask)) * skip & mask) >> shift for a, b in zip(code, code[2:])}
+    want |= {h(b"\0" + w[:k].encode()) >> shift for w in words for k in t.STARTS if k < len(w)}
+    assert t.Features(16)(text).tolist() == sorted(want)

@@ -11,8 +11,9 @@ joined in text order.  Likeness is the share of distinct hashes two fingerprints
 have in common.
 
 Rows: a null or empty text has an empty fingerprint (alike only to another empty
-one); a text shorter than ``k`` is one gram; repeated rows and equal ids are
-ordered by text; a null id comes last; an empty table gives no rows.
+one); a text shorter than ``k`` is one gram; rows of one id follow each other in the
+order of their compressed bytes (any order will do, but the same each time); a null id
+comes last; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql.types import (BinaryType, DoubleType, IntegerType, LongType, St
 
 from .common import ship, slices, text_of, with_columns_from
 
-GRAM = 16
-WINDOW = 33         # with GRAM: every shared passage of 48 code points is found, also in short texts
+GRAM = 8
+WINDOW = 17         # with GRAM: every shared passage of 24 code points is found, at any text length
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)

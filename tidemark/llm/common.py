@@ -82,6 +82,26 @@ def as_one(names: list[str]) -> Column:
     return F.struct(F.lit(1).alias(mark), *[F.col(f"`{c}`") for c in names])
 
 
+class Renamed:
+    """A caller's frame under column names of our own, so that none of its names can meet
+    a helper column's; ``back`` gives the names back."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        self.own = [f"tidemark_own_{i}" for i in range(len(self.names))]
+        self.frame = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(self.names, self.own)])
+
+    def of(self, name: str) -> str:
+        return self.own[self.names.index(name)]
+
+    def back(self, made: DataFrame, added: tuple[str, ...] = (), without: tuple[str, ...] = ()) -> DataFrame:
+        """``made`` with the caller's columns, but those that an added one replaces (case
+        aside) or that are left out, then the added ones."""
+        new = {a.lower() for a in added}
+        return made.select(*[F.col(o).alias(c) for c, o in zip(self.names, self.own)
+                             if c.lower() not in new and c not in without], *[F.col(f"`{a}`") for a in added])
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES,
            max_rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Runs of rows of a batch, of about ``max_bytes`` of ``column`` each."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField, StructType)
 
-from .common import cut, text_of, with_columns_from, written
+from .common import Renamed, cut, text_of, with_columns_from, written
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 5          # distinct seeds a pattern needs
@@ -209,7 +209,15 @@ def accepted(rows: DataFrame, support: int = SUPPORT, confidence: float = CONFID
 def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep_text: bool = True,
          support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans`` (all: base and discovered), arrays of
-    ``kind, start, end`` ordered by kind as listed, then start."""
+    ``kind, start, end`` ordered by kind as listed, then start.  Other columns of any
+    name stay; only those two names are replaced."""
+    own = Renamed(docs)
+    found = _find(own.frame, own.of(text_col), spans_col, keep_text, support, confidence, rounds)
+    return own.back(found, ("base_spans", spans_col), () if keep_text else (text_col,))
+
+
+def _find(docs: DataFrame, text_col: str, spans_col: str, keep_text: bool, support: int, confidence: float,
+          rounds: int) -> DataFrame:
     rows = with_contexts(docs.withColumn(text_col, text_of(text_col)), text_col, keep_text)
     rows = written(rows.withColumn("tidemark_row", F.monotonically_increasing_id()), "pii")
     each = rows.select("tidemark_row", F.explode("tidemark_found").alias("f")).select("tidemark_row", "f.*")
@@ -226,8 +234,7 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep
             lambda s: F.struct(F.array_position(order, s["kind"]).alias("o"), s["start"].alias("start"),
                                s["end"].alias("end"), s["kind"].alias("kind")))),
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    names = [c for c in docs.columns if (keep_text or c != text_col)
-             and c.lower() not in ("base_spans", spans_col.lower())]
+    names = [c for c in docs.columns if keep_text or c != text_col]
     return (rows.join(more, "tidemark_row", "left")
             .select(*[F.col(f"`{c}`") for c in names], base.alias("base_spans"), every.alias(spans_col)))
 
@@ -254,21 +261,23 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     from .common import slices
 
-    found = find(docs, text_col, "tidemark_spans").drop("base_spans")
-    schema = StructType([StructField(f.name, StringType()) if f.name == text_col else f
-                         for f in found.schema.fields if f.name != "tidemark_spans"])
+    own = Renamed(docs)
+    text = own.of(text_col)
+    found = find(own.frame, text, "spans").drop("base_spans")
+    schema = StructType([StructField(f.name, StringType()) if f.name == text else f
+                         for f in found.schema.fields if f.name != "spans"])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text):
                 new = [hidden(t, s) if s else t for t, s in
-                       zip(part.column(text_col).to_pylist(), part.column("tidemark_spans").to_pylist())]
+                       zip(part.column(text).to_pylist(), part.column("spans").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(new, pa.string()) if n == text_col else part.column(n) for n in arrow.names],
+                    [pa.array(new, pa.string()) if n == text else part.column(n) for n in arrow.names],
                     names=arrow.names)
 
     out = found.mapInArrow(run, schema)
     if length_col and length_col in docs.columns:
-        out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn(own.of(length_col), F.length(text).cast(docs.schema[length_col].dataType))
+    return own.back(out)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import cut, ship, text_of, with_columns_from, written
+from .common import Renamed, cut, ship, text_of, with_columns_from, written
 
 BITS = 64
 SHINGLE = 3
@@ -296,13 +296,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
              radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (of
     repeated rows one)."""
-    names = docs.columns
-    row = "tidemark_row"
-    marked = written(fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), text_col,
-                                 "tidemark_fp", size), "simhash-docs")
-    rows = marked.select(F.col(f"`{id_col}`").alias("id"), F.col("tidemark_fp").alias("fp"), F.col(row).alias("row"))
+    own = Renamed(docs)
+    marked = written(fingerprint(own.frame.withColumn("row", F.monotonically_increasing_id()), own.of(text_col),
+                                 "fp", size), "simhash-docs")
+    rows = marked.select(F.col(own.of(id_col)).alias("id"), "fp", "row")
     named = components(rows.select(F.col("row").alias("id"), "fp"), radius)
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))
     kept = (rows.groupBy("fp").agg(F.min(first).alias("first")).join(named, "fp")     # copies go before the join
-            .groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)))
-    return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in names])
+            .groupBy("component").agg(F.min("first").alias("first")).select("first.row"))
+    return own.back(marked.join(kept, "row", "left_semi"))

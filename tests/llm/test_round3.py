@@ -478,3 +478,66 @@ def test_features_are_words_pairs_skips_and_beginnings(text):
     want |= {((((a * skip) & mask) ^ ((b + skip) & mask)) * skip & mask) >> shift for a, b in zip(code, code[2:])}
     want |= {h(b"\0" + w[:k].encode()) >> shift for w in words for k in t.STARTS if k < len(w)}
     assert t.Features(16)(text).tolist() == sorted(want)
+
+
+# ---- quality rules: the posterior decides -----------------------------------------------------
+
+def test_posterior_and_all_must_pass_differ_as_the_labels_say(spark):
+    from tidemark.llm import quality
+
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    votes = quality.counts(docs, "text").select("doc_id", F.array(*quality.rules().values()).alias("votes"))
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    rows = (quality.judge(docs, keep_text=False).join(votes, "doc_id").join(labels, "doc_id", "left")
+            .filter("not base_failed").select("kept", "votes", "label").collect())
+    against = [sum(v < 0 for v in r.votes) for r in rows]
+    differ = [r for r, n in zip(rows, against) if r.kept != (n == 0)]
+    assert len(differ) > 100 and all(r.kept for r in differ)
+    assert sum(r.label == 1 for r in differ) > 50 and not any(r.label == 0 for r in differ)
+    slight = [[v for v in r.votes if v < 0] for r in rows]
+    assert all(r.kept for r, s in zip(rows, slight) if s == [quality.SLIGHT])
+    assert not any(r.kept for r, s in zip(rows, slight) if len(s) > 1 or quality.BAD in s)
+
+
+def test_estimates_match_plain_expectation_maximisation():
+    import math
+
+    from tidemark.llm import quality as q
+
+    rng = random.Random(8)
+    texts = []
+    for _ in range(600):
+        bad = rng.random() < 0.15
+        texts.append((rng.choice([q.BAD, q.SLIGHT, 0]) if bad and rng.random() < 0.7 else 0, 0 if rng.random() < 0.9 else q.SLIGHT,
+                      q.GOOD if rng.random() < (0.5 if bad else 0.9) else 0))
+    patterns = sorted((v, texts.count(v)) for v in set(texts))
+    start, table = q.estimate(patterns, rounds=7)
+    assert start == math.log(0.9 / 0.1)
+    alone = {(j, v): sum(t[j] == v and sum(x < 0 for x in t) == 1 for t in texts) / 600 for j in range(3) for v in (q.BAD, q.SLIGHT)}
+    now = [dict(q.PRIOR_VOTE) for _ in range(3)]
+    for _ in range(7):
+        good = []
+        for t in texts:
+            odds = 0.9 / 0.1
+            for j, v in enumerate(t):
+                if v:
+                    ratio = now[j][v][0] / now[j][v][1]
+                    odds *= max(ratio, 1) if v == q.GOOD else min(ratio, 1)
+            good.append(odds / (1 + odds))
+        for j in range(3):
+            for v in q.PRIOR_VOTE:
+                got = []
+                for y in (0, 1):
+                    share = [g if y == 0 else 1 - g for g in good]
+                    n = sum(share)
+                    got.append((sum(s for s, t in zip(share, texts) if t[j] == v) + q.PRIOR_WEIGHT * n * q.PRIOR_VOTE[v][y])
+                               / (n * (1 + q.PRIOR_WEIGHT)))
+                if v == q.BAD:
+                    got = [min(got[0], q.MOST_FALSE), max(got[1], q.LEAST_CAUGHT)]
+                if v != q.GOOD:
+                    got[0] = max(got[0], (alone[j, v] - q.PRIOR_BAD) / (1 - q.PRIOR_BAD))
+                now[j][v] = tuple(got)
+    for a, b in zip(table, now):
+        for v in a:
+            assert all(abs(x - y) < 1e-6 for x, y in zip(a[v], b[v]))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import packing, pii, quality, simhash, toxicity
-from tidemark.llm.common import written
+from tidemark.llm.common import Renamed, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,8 +18,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
-    scored = toxicity.score(docs, model, score_col="tidemark_score")
-    return scored.filter(F.col("tidemark_score") < toxicity.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = Renamed(docs)
+    scored = toxicity.score(own.frame, model, text_col=own.of("text"), score_col="score")
+    return own.back(scored.filter(F.col("score") < toxicity.THRESHOLD))
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

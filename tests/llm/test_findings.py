@@ -35,12 +35,19 @@ def test_texts_with_one_frequent_defect_vote_are_kept(spark):
 
 @pytest.mark.parametrize("attrs", [
     'style="overflow: hidden"', 'title="The hidden valley"', 'data-x="col hidden-xs"', "data-x='a class=ad b'",
-    'data-class="ad"', 'id="related-work"', 'class="ad-free"', 'id="social-impact"', 'class="no-sidebar"'])
+    'data-class="ad"', 'id="related-work"', 'class="ad-free"', 'class="article-header"', 'class="commentary"',
+    'id="cookieRecipes"', 'class="menu-history"', 'id="social-impact"', 'class="no-sidebar"'])
 def test_values_and_longer_slugs_set_nothing_aside(attrs):
     assert not article.set_aside("div", " " + attrs)
     assert article.main_text(f"<body><div {attrs}><article><p>all of the text</p></article></div></body>") == "all of the text"
 
 
+def test_an_article_keeps_its_own_header():
+    page = ("<body><header>Site</header><article><header><h1>Title</h1></header><p>" + "some words of the text " * 9
+            + "</p><footer>By me</footer></article></body>")
+    assert article.main_text(page) == "Title\n" + " ".join(["some words of the text"] * 9)
+
+
 def test_headings_are_never_set_aside_by_name():
     page = "<article><h2 id='related'>Related</h2><p class='ad-free'>one</p><section id='related-work'>two</section></article>"
     assert article.main_text(page) == "Related\none\ntwo"
@@ -48,7 +55,8 @@ def test_headings_are_never_set_aside_by_name():
 
 @pytest.mark.parametrize("attrs", [
     "hidden", "HIDDEN", 'hidden=""', "class='x'hidden", "aria-hidden = true", 'role="navigation"', "class=ad",
-    'class="box  sidebar"', 'id="site-footer"', 'class="related_posts"', 'class="nav__item"', 'title="a>b" class="ad"'])
+    'class="comment-thread"', 'class="post-comments"', 'class="cookie-popup"', 'class="ad-placement"', 'id="ad_1"',
+    'class="adBox"', 'id="readerComments"', 'class="box  sidebar"', 'id="site-footer"', 'class="related_posts"', 'class="nav__item"', 'title="a>b" class="ad"'])
 def test_names_and_full_compounds_are_set_aside(attrs):
     assert article.set_aside("div", " " + attrs)
 

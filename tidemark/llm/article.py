@@ -65,6 +65,13 @@ COMPOUNDS = frozenset(
     "site-header site-menu site-nav site-navigation social-icons social-links social-media social-share "
     "sponsored-content sub-nav top-bar top-menu top-nav top-navigation "
     "user-comments widget-area".split())
+# What may stand beside a name in a slug without making it a text of its own
+# ("comment-thread", "ad_1", "adBox", but not "related-work" or "ad-free").
+HOLDERS = frozenset(
+    "area banner bar block bottom box btn button card center column container content desktop div field floating frame "
+    "group holder inner item items label layer left link links list main mobile module outer overlay page panel "
+    "placeholder placement popover popup position post posts primary reader right row section secondary site slot small "
+    "sticky sub tab tabs target text thread threads tile title top unit user users view wrap wrapper zone".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
@@ -74,25 +81,37 @@ _TAG = re.compile(
 # One attribute: its name, then its whole value.  A quote that is never closed runs to the end.
 _ATTR = re.compile(r"""([^\s"'=/>]++)(?:\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>][^\s>]*+))?|"[^"]*+"?|'[^']*+'?""")
 _PART = re.compile("__|--")     # "nav__item" is a part of "nav"
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")     # of a slug, also of camel case
 _SPACE = re.compile(r"\s+")
 
 
-def set_aside(name: str, attrs: str) -> bool:
-    if name in ASIDE:
+def _names_aside(slug: str) -> bool:
+    """Whether a class or id names boilerplate: a name, a listed compound, or a name with
+    nothing but holders and numbers beside it."""
+    whole = _PART.split(slug, maxsplit=1)[0]
+    low = whole.lower().replace("_", "-")
+    if low in NAMES or low in COMPOUNDS:
+        return True
+    words = [w.lower() for w in _WORDS.findall(whole)]
+    named = [w in NAMES for w in words]
+    return any(named) and all(n or w in HOLDERS or w.isdigit() for n, w in zip(named, words))
+
+
+def set_aside(name: str, attrs: str, in_article: bool = False) -> bool:
+    """Whether an element is no main text by itself; an article's own header is."""
+    if name in ASIDE and not (name == "header" and in_article):
         return True
     if "=" not in attrs and "hidden" not in attrs.lower():
         return False
     for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
-        if key == "role" and value in ROLES:
+        if key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id") and name not in HEADINGS and name not in ("html", "body", "article", "main"):
-            for word in value.split():
-                word = _PART.split(word, maxsplit=1)[0].replace("_", "-")
-                if word in NAMES or word in COMPOUNDS:
-                    return True
+            if any(map(_names_aside, value.split())):
+                return True
     return False
 
 
@@ -169,7 +188,7 @@ class Tree:
         node, up = len(self.name), self.open[-1]
         self.name.append(name)
         self.parent.append(up)
-        self.aside.append(self.aside[up] or set_aside(name, attrs))
+        self.aside.append(self.aside[up] or set_aside(name, attrs, bool(self._last("article"))))
         if name in BLOCK:
             self.run.append((up, None))
         elif name == "br":

@@ -6,9 +6,11 @@ them stands a seek table in a skippable frame (compressed and raw size of each
 frame, and a footer), so that a reader seeks to one frame and decompresses only
 that.  The index gives each record's bundle, frame, offset in the frame and length.
 
-A bundle is kept as table rows, one per frame, written by Spark: an archive then
-lies wherever Spark writes, no task holds more than a few frames, and a lost task
-is simply run again.  :func:`bundle_file` joins the rows of one bundle to a file.
+A bundle is a row: its name, the bytes of its file, seek table and all, and its index
+(frame, offset in the frame and length of each record).  Spark writes the rows, so an
+archive lies wherever Spark writes and a lost task is simply run again; a task holds one
+bundle of ``BUNDLE_FRAMES`` frames.  Readers find a bundle's frames by its seek table and
+cut its records at the indexed offsets; both are checked against what lies there.
 
 Equal payloads are stored once: the smallest page id is a ``response``, the others
 are ``revisit`` records that name it.
@@ -34,19 +36,17 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, Str
 from .common import ship, slices, written
 
 FRAME_BYTES = 1 << 20
-BUNDLE_FRAMES = 256
+BUNDLE_FRAMES = 16
 DATE = "1970-01-01T00:00:00Z"     # the tables hold no capture time
 
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
-RECORD = StructType([StructField("page_id", LongType()), StructField("offset", LongType()),
-                     StructField("length", LongType())])
-BUNDLES = StructType([
-    StructField("bundle", StringType()), StructField("frame", IntegerType()),
-    StructField("kind", StringType()), StructField("body", BinaryType()),
-    StructField("raw_bytes", LongType()), StructField("records", ArrayType(RECORD))])
+RECORD = StructType([StructField("frame", IntegerType()), StructField("page_id", LongType()),
+                     StructField("offset", LongType()), StructField("length", LongType())])
+BUNDLES = StructType([StructField("bundle", StringType()), StructField("file", BinaryType()),
+                      StructField("records", ArrayType(RECORD))])
 
 
 def base32(sha1_hex: str) -> str:
@@ -141,30 +141,30 @@ def bundled(rows: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_frames: int
         squeeze = zstandard.ZstdCompressor(level=3).compress
         part = TaskContext.get().partitionId()
         bundle, sizes, made = 0, [], []
-        raw, index = bytearray(), []
+        raw, body, index = bytearray(), bytearray(), []
+        entry = pa.struct([("frame", pa.int32()), ("page_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())])
 
         def name():
             return f"part-{part:06d}-{bundle:05d}"
 
         def close_frame():
-            nonlocal raw, index
-            body = squeeze(bytes(raw))
-            made.append((name(), len(sizes), "frame", body, len(raw), index))
-            sizes.append((len(body), len(raw)))
-            raw, index = bytearray(), []
+            nonlocal raw
+            packed = squeeze(bytes(raw))
+            body.extend(packed)
+            sizes.append((len(packed), len(raw)))
+            raw = bytearray()
 
         def close_bundle():
-            nonlocal bundle, sizes
-            made.append((name(), len(sizes), "seek_table", seek_table(sizes), 0, []))
-            bundle, sizes = bundle + 1, []
+            nonlocal bundle, sizes, body, index
+            made.append((name(), bytes(body) + seek_table(sizes), index))
+            bundle, sizes, body, index = bundle + 1, [], bytearray(), []
 
         def take():
             nonlocal made
             cols = list(zip(*made))
             made = []
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.int64(),
-                     pa.list_(pa.struct([("page_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())])))
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=BUNDLES.names)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(
+                cols, (pa.string(), pa.binary(), pa.list_(entry)))], names=BUNDLES.names)
 
         for batch in batches:
             for piece in slices(batch, "payload"):
@@ -174,7 +174,7 @@ def bundled(rows: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_frames: int
                     kind = "response" if x["refers_to"] is None else "revisit"
                     rec = record(kind, x["page_id"], x["url"], x["size"], base32(x["sha1"]), x["payload"] or b"",
                                  x["refers_to"])
-                    index.append({"page_id": x["page_id"], "offset": len(raw), "length": len(rec)})
+                    index.append({"frame": len(sizes), "page_id": x["page_id"], "offset": len(raw), "length": len(rec)})
                     raw += rec
                     if len(raw) >= frame_bytes:
                         close_frame()
@@ -200,8 +200,8 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 def index(bundles: DataFrame) -> DataFrame:
     """``page_id, bundle, frame, offset, length`` of each record (offset within its frame)."""
-    return bundles.filter("kind = 'frame'").select("bundle", "frame", F.explode("records").alias("r")) \
-        .select("r.page_id", "bundle", "frame", "r.offset", "r.length")
+    return bundles.select("bundle", F.explode("records").alias("r")) \
+        .select("r.page_id", "bundle", "r.frame", "r.offset", "r.length")
 
 
 READ = StructType([
@@ -234,45 +234,55 @@ def _rows(got: list[tuple]) -> pa.RecordBatch:
                                       names=READ.names)
 
 
-def read_archive(bundles: DataFrame) -> DataFrame:
-    """Every record of the bundles, frame by frame; payload digests are checked."""
-    ship(bundles.sparkSession)
+def _cut(file: bytes, entries: list[dict], plain) -> list[tuple]:
+    """The indexed records of one bundle: only their frames are decompressed, found by the
+    seek table, and each record is cut out at its offset."""
+    table = read_seek_table(file)
+    out = []
+    by_frame: dict[int, list[dict]] = {}
+    for e in entries:
+        by_frame.setdefault(e["frame"], []).append(e)
+    for frame, own in sorted(by_frame.items()):
+        at, packed, size = table[frame]
+        raw = plain(file[at:at + packed])
+        if len(raw) != size:
+            raise ValueError(f"frame {frame}: the seek table says {size} bytes, there are {len(raw)}")
+        for e in own:
+            (_, head, block), *more = split_records(raw[e["offset"]:e["offset"] + e["length"]])
+            if more or _id(head["WARC-Record-ID"]) != e["page_id"]:
+                raise ValueError(f"{head['WARC-Record-ID']}: the index says {e['page_id']}")
+            out.append(_parsed(head, block))
+    return out
+
+
+def _read(rows: DataFrame) -> DataFrame:
+    """Records of rows ``file, records``."""
+    ship(rows.sparkSession)
 
     def run(batches):
         plain = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for piece in slices(batch, "body", 1 << 20, 16):
-                for body in piece.column("body").to_pylist():
-                    got = [_parsed(head, block) for _, head, block in split_records(plain(body))
-                           if head["WARC-Type"] != "warcinfo"]
-                    if got:
-                        yield _rows(got)
+            for piece in slices(batch, "file", 1 << 20, 1):
+                for file, entries in zip(piece.column("file").to_pylist(), piece.column("records").to_pylist()):
+                    for frame in sorted({e["frame"] for e in entries}):      # a frame's payloads at a time
+                        yield _rows(_cut(file, [e for e in entries if e["frame"] == frame], plain))
 
-    return bundles.filter("kind = 'frame'").select("body").mapInArrow(run, READ)
+    return rows.select("file", "records").mapInArrow(run, READ)
 
 
-def read_records(bundles: DataFrame, ids: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """The records of some pages only: the index names their frames, only those are
-    decompressed, and each record is cut out at its offset."""
-    ship(bundles.sparkSession)
-    wanted = index(bundles).join(ids.select(F.col(id_col).alias("page_id")).distinct(), "page_id", "left_semi")
-    frames = wanted.groupBy("bundle", "frame").agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
-    hit = bundles.filter("kind = 'frame'").select("bundle", "frame", "body").join(frames, ["bundle", "frame"])
+def read_archive(bundles: DataFrame) -> DataFrame:
+    """Every indexed record of the bundles; payload digests are checked."""
+    return _read(bundles)
 
-    def run(batches):
-        plain = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for piece in slices(batch, "body", 1 << 20, 16):
-                for body, spans in zip(piece.column("body").to_pylist(), piece.column("spans").to_pylist()):
-                    raw = plain(body)
-                    got = [_parsed(head, block) for s in spans for _, head, block in
-                           split_records(raw[s["offset"]:s["offset"] + s["length"]])]
-                    yield _rows(got)
 
-    return hit.select("body", "spans").mapInArrow(run, READ)
+def read_records(bundles: DataFrame, ids: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """The records of some pages only: the index names their bundles and frames, and no
+    other frame is decompressed."""
+    wanted = index(bundles).join(ids.select(F.col(id_col).alias("page_id")).distinct(), "page_id", "left_semi")
+    spans = wanted.groupBy("bundle").agg(F.collect_list(F.struct("frame", "page_id", "offset", "length")).alias("records"))
+    return _read(bundles.select("bundle", "file").join(spans, "bundle"))
 
 
 def bundle_file(bundles: DataFrame, name: str) -> bytes:
-    """One bundle as the bytes of its file (at most ``BUNDLE_FRAMES`` frames)."""
-    rows = bundles.filter(F.col("bundle") == name).select("frame", "kind", "body").collect()
-    return b"".join(r.body for r in sorted(rows, key=lambda r: (r.kind == "seek_table", r.frame)))
+    """One bundle as the bytes of its ``.warc.zst`` file."""
+    return bytes(bundles.filter(F.col("bundle") == name).first().file)

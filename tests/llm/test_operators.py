@@ -27,7 +27,6 @@ def test_packing_matches_the_library_and_fills_windows(spark, docs):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(queries.WORD_BPE)
-    tok.encode_special_tokens = True
     ids = {k: np.array(tok.encode(t, add_special_tokens=False).ids + [2], "<u4") for k, t in docs.items()}
     got = queries.op1_packing(spark, SF_SMALL).toPandas()
     assert set(got.doc_id) == set(docs)
@@ -124,7 +123,6 @@ def test_encoders_on_odd_strings():
 
     enc, own = _library(), bpe.byte_encoder(queries.BYTE_BPE, P.PATTERN)
     tok = Tokenizer.from_file(queries.WORD_BPE)
-    tok.encode_special_tokens = True
     words = packing.word_encoder(queries.WORD_BPE)
     rng = random.Random(5)
     letters = "ab cdeÉÄ\n  \t'éß1923.,!?s' tll　中文😀\x1c\x85\xa0\xadİΣ́<|endoftext|>"
@@ -133,6 +131,9 @@ def test_encoders_on_odd_strings():
         assert np.frombuffer(own.encode(t), "<u4").tolist() == enc.encode_ordinary(t), repr(t)
         assert own.decode(own.encode(t)).decode() == t
         assert np.frombuffer(words.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    for t in ("a b <|endoftext|> c", "x<|startoftext|>y", "<|ENDOFTEXT|>", "a <|endof text|>", "<|endoftext|><|endoftext|>\n"):
+        assert np.frombuffer(words.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    assert 49407 in tok.encode("a b <|endoftext|> c", add_special_tokens=False).ids
     long = "aaaaabbbabababaab" * 2000          # one pre-token of 34,000 bytes
     assert np.frombuffer(own.encode(long), "<u4").tolist() == enc.encode_ordinary(long)
 
@@ -222,9 +223,15 @@ def test_warc_round_trip_and_seeking(spark):
             assert len(zstandard.ZstdDecompressor().decompress(whole[at:at + packed])) == size
         assert next(warc.split_records(raw))[1]["WARC-Type"] == "warcinfo"
     at = warc.index(bundles).filter("page_id = 5000").first()
-    frame = bundles.filter((F.col("bundle") == at.bundle) & (F.col("frame") == at.frame) & (F.col("kind") == "frame")).first()
-    record = zstandard.ZstdDecompressor().decompress(frame.body)[at.offset:at.offset + at.length]
+    whole = warc.bundle_file(bundles, at.bundle)
+    start, packed, _ = warc.read_seek_table(whole)[at.frame]
+    record = zstandard.ZstdDecompressor().decompress(whole[start:start + packed])[at.offset:at.offset + at.length]
     assert b"<urn:page:5000>" in record
+    assert warc.index(bundles).count() == len(rows) and warc.index(bundles).agg(F.max("frame")).first()[0] > 0
+    # a wrong index or seek table is noticed
+    moved = bundles.withColumn("records", F.transform("records", lambda r: r.withField("page_id", F.coalesce(r["page_id"], F.lit(0)) + 1)))
+    with pytest.raises(Exception, match="the index says"):
+        warc.read_archive(moved).collect()
 
 
 def plain_spans(t):

@@ -69,9 +69,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             layout = json.load(f)
+        # a text that may hold an added token's content goes through the library whole
+        self.added = [t["content"].lower() for t in layout.get("added_tokens", [])]
         norm = [n.get("type") for n in (layout.get("normalizer") or {}).get("normalizers", [])]
         pre = (layout.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         self.by_word = (norm == ["NFC", "Replace", "Lowercase"] and len(pre) == 2
@@ -113,10 +114,11 @@ class WordEncoder:
         for cache in (self.words, self.chunks):
             if len(cache) > CACHED_PIECES:
                 cache.clear()
-        if self.odd(text):
+        low = text.lower()
+        if self.odd(text) or any(a in low for a in self.added):
             return self._raw(self.tok.encode(text, add_special_tokens=False).ids)
         get, out = self.chunks.get, []
-        for chunk in text.lower().replace("\n", " ").split(" "):
+        for chunk in low.replace("\n", " ").split(" "):
             got = get(chunk)
             out.append(self._chunk(chunk) if got is None else got)
         return b"".join(out)

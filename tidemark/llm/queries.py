@@ -3,6 +3,7 @@ its whole table with production settings, returning the contract's columns."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -30,8 +31,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN).drop("text")
-    both = bpe.decode(coded, BYTE_BPE, public_tokenizers.PATTERN)
+    both = bpe.round_trip(docs, BYTE_BPE, public_tokenizers.PATTERN)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -155,4 +155,50 @@ SELECT g.conv_id AS conv_id, g.d::BIGINT AS depth, CASE WHEN g.d > 0 THEN o.conv
 FROM g JOIN s ON s.k = g.k JOIN g o ON o.k = g.up
 """
 
-ORACLES: dict[str, str] = {"op13_prefix_trie": _TRIE_SQL}
+# SHA-1 in base 32: the 160 bits of the hex digest, five at a time.
+_WARC_SQL = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+b AS (SELECT page_id, h, octet_length(encode(h))::BIGINT AS payload_bytes, array_to_string(list_transform(string_split(sha1(h), ''),
+  lambda c: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
+            [strpos('0123456789abcdef', c)]), '') AS bits FROM d),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM b)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+         + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+         + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM r
+"""
+
+
+def _rule_sql(rank: int, rule: secret_scan.Rule) -> str:
+    """One rule's matches, by the texts between them: group 1 is what stands before the
+    span (a look-behind as a character, or nothing), the last group what is measured."""
+    before, body = "()", rule.pattern
+    if body.startswith("(?<!["):
+        cut = body.index("])") + 2
+        before, body = f"(^|[^{body[5:cut - 2]}])", body[cut:]
+    if rule.flags:                       # letters in either case, in ASCII only
+        body = re.sub(r"(?<!\\)[a-z](?![^\[]*\])", lambda m: f"[{m[0]}{m[0].upper()}]", body)
+    group = rule.part + 1 if rule.part else 0
+    pattern = (before + body).replace("'", "''")
+    return (f"SELECT n, '{rule.kind}' AS kind, {rank} AS rank, {str(rule.base).lower()} AS base, {rule.least} AS least, "
+            f"regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', 1) AS g, "
+            f"regexp_extract_all(t, '{pattern}', {group}) AS p, string_split_regex(t, '{pattern}') AS gaps FROM d")
+
+
+_SECRETS_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(_rule_sql(k, r) for k, r in enumerate(secret_scan.RULES))}),
+i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f),
+s AS (SELECT n, kind, rank, base, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS pos, length(g[i]) AS skip, length(m[i]) AS size
+      FROM i WHERE length(p[i]) >= least),
+e AS (SELECT n, kind, rank, base, (pos + skip)::BIGINT AS start, kind || ':' || (pos + skip)::BIGINT || ':' || (pos + size)::BIGINT AS shown FROM s)
+SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secret_scan.KINDS)},
+       sha256(coalesce(string_agg(shown, ',' ORDER BY start, rank) FILTER (base), '')) AS base_sha256,
+       coalesce(string_agg(shown, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN e USING (n) GROUP BY n, doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_warc": _WARC_SQL, "op12_secrets": _SECRETS_SQL, "op13_prefix_trie": _TRIE_SQL}

@@ -34,7 +34,7 @@ EPOCHS = 8
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 8.0, 0.0
 THRESHOLD = 0.7
 STARTS = range(3, 9)
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _TRIM = string.punctuation + "“”„’‘«»…"

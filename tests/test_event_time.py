@@ -5,9 +5,12 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql.types import StructType
 
 from tidemark import JobSpec, OutputSpec, SourceSpec, run_job
 from tidemark.operators.event_time import interval_join, sessions, with_watermark
+from tidemark.operators.parse import parse_changes
+from tidemark.session import STATE_ROWS, STATE_STORE, uncounted_state, use_rocksdb
 from tidemark.spec import EventTimeSpec
 from tidemark.streaming.runner import start_job
 
@@ -15,6 +18,14 @@ T0 = datetime(2024, 5, 1)
 SCHEMA = [("id", "long"), ("k", "string"), ("at", "timestamp"), ("v", "double")]
 
 
+@pytest.fixture
+def rocksdb(spark):
+    before = spark.conf.get(STATE_STORE, None)
+    use_rocksdb(spark)
+    yield
+    spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
+
+
 def put(folder, number, rows):
     """One file of records (id, key, minutes, value)."""
     os.makedirs(folder, exist_ok=True)
@@ -131,6 +142,37 @@ def test_interval_join_on_bounded_frames(spark, how, salts):
     assert sorted((r.l, r.r if r.r is not None else -1) for r in got.collect()) == sorted((a, -1 if b is None else b) for a, b in want)
 
 
+@pytest.mark.parametrize("how", ["inner", "left_outer"])
+def test_a_restarted_join_fetches_its_state_as_files(spark, tmp_path, how, rocksdb):
+    """No log of changes is applied anew, and a state partition is one store."""
+    tmp = str(tmp_path)
+    line = lambda names, row: json.dumps({"before": None, "after": dict(zip(names, row)), "op": "c"}) + "\n"
+    sides = {"l": (["l", "k", "lt"], "l long, k long, lt timestamp"), "r": (["r", "rk", "rt"], "r long, rk long, rt timestamp")}
+    minute = lambda m: (T0 + timedelta(minutes=m)).isoformat()
+    sets = [([(1, 1, minute(0)), (2, 2, minute(1))], [(7, 2, minute(2))]), ([(3, 3, minute(30))], [(8, 1, minute(4)), (9, 3, minute(90))]),
+            ([(4, 4, minute(900))], [(10, 5, minute(900))])]
+    for number, rows in enumerate(sets):
+        frames = []
+        for (name, (names, ddl)), made in zip(sides.items(), rows):
+            os.makedirs(f"{tmp}/{name}", exist_ok=True)
+            with open(f"{tmp}/{name}/{number}.json", "w") as f:
+                f.writelines(line(names, row) for row in made)
+            schema = [{"name": f.name, "type": f.dataType.simpleString()} for f in StructType.fromDDL(ddl)]
+            raw = spark.readStream.format("text").load(f"{tmp}/{name}")
+            frames.append(with_watermark(parse_changes(raw, schema).drop("op"), names[2], "1 hour"))
+        with uncounted_state(spark):
+            q = (interval_join(*frames, {"k": "rk"}, "lt", "rt", "0 minutes", "10 minutes", how=how).writeStream
+                 .format("parquet").outputMode("append").option("checkpointLocation", f"{tmp}/cp")
+                 .trigger(availableNow=True).start(f"{tmp}/out"))
+        q.awaitTermination()
+    assert spark.conf.get(STATE_ROWS, "true") == "true"
+    want = [(1, 8), (2, 7)] + ([(3, -1)] if how == "left_outer" else [])
+    assert sorted((r.l, r.r if r.r is not None else -1) for r in spark.read.parquet(f"{tmp}/out").collect()) == want
+    files = [os.path.join(folder, n) for folder, _, names in os.walk(f"{tmp}/cp/state/0") for n in names]
+    assert any(n.endswith(".zip") for n in files) and not any(n.endswith(".changelog") for n in files)
+    assert not any("keyWithIndexToValue" in n or "keyToNumValues" in n for n in files)
+
+
 def test_settings_without_meaning_are_refused(spark, tmp_path):
     tmp = str(tmp_path)
     put(f"{tmp}/in", 0, [(1, "a", 0, 1.0)])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.event_time import interval_join, with_watermark
 from ..operators.parse import parse_changes
 from ..operators.sketches import KLL_K, LG_K, estimates, hll_error, kll_error, merge_sketches
-from ..session import prepare_session, use_rocksdb
+from ..session import prepare_session, uncounted_state, use_rocksdb
 from ..sinks.current import read_current
 from ..sinks.evolve import read_evolved
 from ..sources.change_stream import read_change_stream
@@ -226,8 +226,9 @@ def _join_once(spark, work: str, how: str, salts: int) -> None:
 
     joined = interval_join(side("orders", ORDER_SIDE, "o_orderdate"), side("lines", LINE_SIDE, "l_shipdate"),
                            {"o_orderkey": "l_orderkey"}, "o_orderdate", "l_shipdate", "0 days", UPPER, how=how, salts=salts)
-    q = (joined.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{work}/checkpoint")
-         .trigger(availableNow=True).start(f"{work}/out"))
+    with uncounted_state(spark):
+        q = (joined.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{work}/checkpoint")
+             .trigger(availableNow=True).start(f"{work}/out"))
     q.awaitTermination()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +23,7 @@ VARIANT_DUPLICATE_KEYS = DUPLICATE_KEYS
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 HEAP_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 
 def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
@@ -45,13 +47,28 @@ def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
 
 def use_rocksdb(spark: SparkSession) -> None:
     """State on the executors' disks instead of their heaps, unless the session already
-    names a state store: keys held between batches may outgrow memory.  Changes are
-    checkpointed as a log, and no disk is set aside ahead of use (a job has a store per
-    state partition and operator, most of them small)."""
+    names a state store: keys held between batches may outgrow memory.  A batch's state is
+    checkpointed as the store's own files, so that a restart fetches them; a log of changes
+    would be applied anew, all of it, where no maintenance ran before the job ended.  The
+    four parts of a join's state share a store, and no disk is set aside ahead of use (a
+    job has a store per state partition and operator, most of them small)."""
     if spark.conf.get(STATE_STORE, None) in (None, HEAP_STATE_STORE):
         spark.conf.set(STATE_STORE, ROCKSDB_STATE_STORE)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "false")
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+        spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
+
+
+@contextmanager
+def uncounted_state(spark: SparkSession):
+    """Queries started inside do not count their state's rows (``numRowsTotal``): the count
+    costs a lookup for every row that is put or removed."""
+    before = spark.conf.get(STATE_ROWS, None)
+    spark.conf.set(STATE_ROWS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_ROWS, before) if before is not None else spark.conf.unset(STATE_ROWS)
 
 
 def checkpoint_setting(spark: SparkSession) -> str | None:

@@ -47,6 +47,27 @@ def test_broken_chains_across_batches_and_restarts(spark, tmp_path, rocksdb):
     assert got == [("a", 40_000, 1, "u"), ("b", 2000, 5, "u"), ("c", 2000, 7, "u")]
 
 
+def test_chains_of_many_keys_are_walked_by_bucket(spark, tmp_path, rocksdb):
+    """A call and a state row a bucket, not a key; each key's chain is its own."""
+    tmp, keys = str(tmp_path), 300
+    os.makedirs(f"{tmp}/in")
+    states = []
+    for number, value in enumerate((0, 2, 1, 9)):       # the second changes come before the first
+        with open(f"{tmp}/in/{number}.json", "w") as f:
+            for k in range(keys):
+                before = value - 1 + (0.5 if k % 7 == 0 and value == 2 else 0)
+                f.write(json.dumps({"before": {"k": k, "v": before} if value else None, "after": {"k": k, "v": value},
+                                    "op": "u" if value else "c", "ts_ms": 1000 + value * 10_000 + k, "source": {"pos": value}}) + "\n")
+        raw = spark.readStream.format("text").load(f"{tmp}/in")
+        q = (broken_chains(raw, "k", "15 seconds", buckets=5).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start(f"{tmp}/out"))
+        q.awaitTermination()
+        states += [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp}/out").collect()))
+    assert got == sorted((str(k), 21_000 + k, 2, "u") for k in range(0, keys, 7))
+    assert max(states) == 5
+
+
 def schema(text):
     return StructType.fromDDL(text)
 

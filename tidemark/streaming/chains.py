@@ -1,81 +1,69 @@
 """Broken change chains: a change whose before image is not what its key's last change left.
 
-A stateful operator (``transformWithState`` on the RocksDB store).  Changes of a key may
-arrive in any order within the watermark's delay, so each waits in the key's state, and
-an event-time timer wakes the key when the watermark has passed the change: then its
-due changes are walked in order (``ts_ms``, position), each before image is compared
-with the after image that the last one left, and that image stays as the key's state.
-Batches and restarts make no difference.
+A stateful operator (``applyInPandasWithState`` on the RocksDB store).  Changes of a key
+may arrive in any order within the watermark's delay, so each waits in the state, and an
+event-time timeout wakes it when the watermark has passed the change: then the due changes
+are walked in order (``ts_ms``, position), each before image is compared with the after
+image that the last one left, and that image stays as the key's state.  Batches and
+restarts make no difference.
 
 The first change seen of a key has nothing to be compared with; a change without a
 before image (a create or a snapshot read) starts the chain anew; after a delete the key
 is empty.  Images are compared as JSON with sorted keys, by a 64-bit hash: state holds no
 image.  This operator needs Python workers (Spark's stateful processors are not
-expressions); a key's changes that wait for the watermark are in one task at a time.
+expressions).  Keys are dealt by hash into buckets that are walked together, since a call
+and its state cost far more than a change: a batch reads and writes the buckets that it
+touches whole, and a bucket's keys and waiting changes are in one task at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.changes import after_image, before_image
 from ..operators.envelope_ops import lift_metadata
 from ..operators.event_time import with_watermark
 
-# nullable 64-bit numbers travel as text: pandas would read them as floats
-_PENDING = "at long, pos long, op string, before_hash string, after_hash string"
+BUCKETS = 4096
+# JSON: the waiting changes (key, time, position, operation, hashes), and each key's last after hash
+_STATE = "pending string, known string"
 BROKEN = "key string, ts_ms bigint, pos bigint, op string"
 
 
-class ChainProcessor(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", _PENDING)
-        self.left = handle.getValueState("left", "after_hash string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        times = set()
-        for frame in rows:
-            for r in frame.itertuples(index=False):
-                at = int(r.ts_ms)
-                self.pending.appendValue((at, None if r.pos is None else int(r.pos), r.op, r.before_hash, r.after_hash))
-                times.add(at)
-        for at in times:
-            self.handle.registerTimer(at)
-        return iter(())
+def _walker():
+    """The task's function; it is made here so that workers need not import this package."""
+    def walk(_, frames, state):
+        import json
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         import pandas as pd
 
-        limit = timerValues.getCurrentWatermarkInMs()
-        due, rest = [], []
-        for p in self.pending.get():
-            (due if p[0] <= limit else rest).append(tuple(p))
-        if not due:
-            return
-        due.sort(key=lambda p: (p[0], p[1] is not None, p[1] or 0))
-        known = self.left.exists()
-        held = self.left.get()[0] if known else None
+        limit = state.getCurrentWatermarkMs()
+        pending, known_text = state.get if state.exists else ("[]", "{}")
+        changes = json.loads(pending)
+        for frame in frames:
+            columns = [frame[c].tolist() for c in ("key", "ts_ms", "pos", "op", "before_hash", "after_hash")]
+            columns[2] = [None if p is None else int(p) for p in columns[2]]
+            changes += zip(*columns)
+        due = [c for c in changes if c[1] <= limit]
+        rest = [c for c in changes if c[1] > limit]
         broken = []
-        for at, pos, op, before, after in due:
-            if known and before is not None and before != held:
-                broken.append((key[0], at, pos, op))
-            known, held = True, after
-        self.left.update((held,))
-        if rest:
-            self.pending.put(rest)
-        else:
-            self.pending.clear()
+        if due:
+            due.sort(key=lambda c: (c[1], c[2] is not None, c[2] or 0))
+            known = json.loads(known_text)
+            for key, at, pos, op, before, after in due:
+                if before is not None and key in known and before != known[key]:
+                    broken.append((key, at, pos, op))
+                known[key] = after
+            known_text = json.dumps(known, separators=(",", ":"))
+        state.update((json.dumps(rest, separators=(",", ":")), known_text))
+        if rest:    # fires when the watermark is past the timeout, so at the earliest change's own time
+            state.setTimeoutTimestamp(max(min(c[1] for c in rest) - 1, limit, 1))
         if broken:
             out = pd.DataFrame(broken, columns=["key", "ts_ms", "pos", "op"])
             out["pos"] = out["pos"].astype("Int64")
             yield out
 
-    def close(self) -> None:
-        pass
+    return walk
 
 
 def chain_input(records: DataFrame, key: str, *, value_col: str = "value", position: str = "source.pos") -> DataFrame:
@@ -95,11 +83,13 @@ def chain_input(records: DataFrame, key: str, *, value_col: str = "value", posit
 
 
 def broken_chains(records: DataFrame, key: str, delay: str, *, value_col: str = "value",
-                  position: str = "source.pos") -> DataFrame:
+                  position: str = "source.pos", buckets: int = BUCKETS) -> DataFrame:
     """Streaming rows ``key, ts_ms, pos, op`` of the changes that do not fit their key's
-    last image.  Records without a key or a time are not looked at."""
+    last image.  Records without a key or a time are not looked at.  Choose ``buckets`` so
+    that a bucket's keys fit a task; a checkpoint is bound to the number it began with."""
     rows = chain_input(records, key, value_col=value_col, position=position)
     rows = rows.filter(F.col("key").isNotNull() & F.col("ts_ms").isNotNull())
     timed = with_watermark(rows.withColumn("at", F.timestamp_millis("ts_ms")), "at", delay)
-    return timed.groupBy("key").transformWithStateInPandas(
-        ChainProcessor(), outputStructType=BROKEN, outputMode="append", timeMode="eventTime")
+    timed = timed.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return timed.groupBy("bucket").applyInPandasWithState(
+        _walker(), outputStructType=BROKEN, stateStructType=_STATE, outputMode="append", timeoutConf="EventTimeTimeout")

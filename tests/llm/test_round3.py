@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import SF_ORACLE, SF_SMALL
 from pyspark.sql import functions as F
@@ -541,3 +542,29 @@ def test_estimates_match_plain_expectation_maximisation():
     for a, b in zip(table, now):
         for v in a:
             assert all(abs(x - y) < 1e-6 for x, y in zip(a[v], b[v]))
+
+
+def test_alignment_lists_pairs_as_sorting_would():
+    from tidemark.llm.alignment import Block
+    rng, block = np.random.default_rng(5), Block()
+    docs = [rng.integers(0, 1 << 40, n).repeat(rng.integers(1, 4, n)) for n in (40, 0, 7)] + [np.arange(9)[::-1] << 33]
+    for links in docs:
+        block.add(links.astype("<i8").tobytes())
+    steps, times, pairs, totals = block.packed()
+    want, often = np.unique(np.concatenate(docs), return_counts=True)
+    assert pairs.tolist() == want.tolist() and totals.tolist() == often.tolist()
+    for links, s, t in zip(docs, steps, times):
+        seen, n = np.unique(links, return_counts=True)
+        assert pairs[np.cumsum(np.frombuffer(s, "<i4"))].tolist() == seen.tolist() and np.frombuffer(t, "<i4").tolist() == n.tolist()
+    assert [len(x) for x in Block().packed()] == [0, 0, 0, 0]
+
+
+def test_alignment_knows_white_space_that_no_word_split_covers():
+    import re
+    from tidemark.llm.alignment import by_single
+    odd = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]").search
+    signs = ["a", " ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "​"]
+    for x in signs:
+        for y in signs:
+            for text in (x, x + y, "a" + x + y, "a" + x + "b" + y + "c", x + "a" + y):
+                assert by_single(text) == (not odd(text)), repr(text)

@@ -195,8 +195,12 @@ class Block:
         """Per document its distinct pairs (places in the block's list, as steps) and
         how often it has each; the block's list and totals."""
         sizes = [len(x) for x in self.links]
-        pairs, place = np.unique(np.concatenate(self.links) if self.links else np.zeros(0, np.int64),
-                                 return_inverse=True)
+        coded = pa.array(np.concatenate(self.links) if self.links else np.zeros(0, np.int64)).dictionary_encode()
+        met = coded.dictionary.to_numpy()       # in the order they are met
+        order = np.argsort(met)
+        rank = np.empty(len(met), np.int64)
+        rank[order] = np.arange(len(met))
+        pairs, place = met[order], rank[coded.indices.to_numpy()]
         totals = np.bincount(place, minlength=len(pairs)).astype(np.int64)
         steps, times, at = [], [], 0
         for n in sizes:
@@ -215,12 +219,8 @@ class Aligner:
     """Alignments of texts, by words where the tokenizers allow it."""
 
     def __init__(self, a, b):
-        import re
-
         self.a, self.b, self.width = a, b, len(b.bytes)
         self.by_word = a.by_word and b.by_word
-        # white space other than single spaces and line ends between words
-        self.odd = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]").search
         self.words: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
@@ -268,12 +268,12 @@ class Aligner:
     def align(self, texts: list[str]) -> list[tuple | None]:
         """Per text its groups, counts (of groups, A and B tokens) and links (as bytes);
         None for one without tokens."""
-        split = [t.replace("\n", " \n").split(" ") if self.by_word and t and not self.odd(t) else None for t in texts]
-        known = self.words
-        fresh = {w for words in split if words is not None for w in words if w not in known}
-        for w in fresh & self.older.keys():
-            known[w] = self.older[w]
-        fresh -= known.keys()
+        split = [t.replace("\n", " \n").split(" ") if self.by_word and t and by_single(t) else None for t in texts]
+        known, older = self.words, self.older
+        fresh = set().union(*(words for words in split if words is not None)).difference(known)
+        held = fresh.intersection(older)
+        known.update(zip(held, map(older.__getitem__, held)))
+        fresh -= held
         for lines in (False, True):
             self._learn([w for w in fresh if (w[0] == "\n") == lines], lines)
         out = []
@@ -285,7 +285,7 @@ class Aligner:
                 got = self._whole(raw, self.a.encode([text])[0], self.b.encode([text])[0], [len(raw)])
                 out.append(got and unpacked(got[0]))
             else:
-                parts = [known[w] for w in words]
+                parts = list(map(known.__getitem__, words))
                 if None in parts:
                     out.append(None)
                 else:
@@ -299,6 +299,11 @@ class Aligner:
         return out
 
 
+def by_single(text: str) -> bool:
+    """Whether the only white space is single spaces and line ends between words."""
+    return text.replace("\n", " ").split(" ") == text.split()
+
+
 def unpacked(got: tuple[str, int, bytes]) -> tuple[str, int, int, int, bytes]:
     groups, counts, links = got
     mask = (1 << COUNT_BITS) - 1

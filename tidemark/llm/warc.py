@@ -117,7 +117,8 @@ def deduplicated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """``page_id, url, payload, size, sha1, refers_to``: of equal payloads all but the
     smallest id refer to it and drop theirs.  Only payloads seen twice or more
     are in the joined table; a payload with very many copies is one row there,
-    and Spark splits its other side."""
+    and Spark splits its other side.  That table is hashed, so that the payloads
+    need not be sorted, which would hold a task's share of them in memory."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"),
                         F.col(f"`{url_col}`").cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")), "UTF-8").alias("payload")
@@ -125,7 +126,7 @@ def deduplicated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     twice = (rows.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1 and first is not null").select("sha1", "first"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return (rows.join(twice, "sha1", "left")
+    return (rows.join(twice.hint("shuffle_hash"), "sha1", "left")
             .select("page_id", "url", F.octet_length("payload").cast("long").alias("size"), "sha1",
                     F.when(~revisit, F.col("payload")).alias("payload"),
                     F.when(revisit, F.col("first")).alias("refers_to")))

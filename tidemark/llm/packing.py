@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType)
@@ -37,11 +38,13 @@ from .common import ship, slices, text_of, written
 
 WINDOW = 4096
 MAX_SOURCES = 100_000     # rows of the per-source table a task may hold
-CACHED_PIECES = 700_000   # bound of each worker's cache of encoded words
+CACHED_PIECES = 500_000   # of one generation of each worker's encoded words; it holds two
 EDGE_CELLS = 1 << 20      # window edges times queues that a task holds at a time
 
 # What the fast path below is exact for: texts of these characters only.
 _PLAIN = r"[^\n\x20-\x7e\xa1-\xac\xae-\xff]"
+# The word pattern it is exact for: what consists of letters only is one word.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def _byte_characters() -> dict[int, str]:
@@ -58,7 +61,10 @@ class WordEncoder:
 
     A tokenizer that lower-cases, drops white space and merges within words is
     encoded word by word (a word's ids do not depend on its neighbours); any
-    other layout is encoded text by text.
+    other layout is encoded text by text.  Its word pattern looks at nothing
+    beside the word, so a word is remembered under the same name whether it stands
+    alone or in a longer run of characters.  Two generations are remembered: when the
+    younger is full the older one goes, and what is asked for again moves into the younger.
     """
 
     def __init__(self, path: str):
@@ -79,49 +85,66 @@ class WordEncoder:
                         and pre[0].get("type") == "Split" and pre[0].get("invert") is True
                         and pre[0].get("behavior") == "Removed" and pre[1].get("type") == "ByteLevel"
                         and not pre[1].get("use_regex") and not pre[1].get("add_prefix_space")
-                        and layout.get("post_processor") is None)
+                        and layout.get("post_processor") is None
+                        and (pre[0].get("pattern") or {}).get("Regex") == _WORDS)
         if self.by_word:
-            self.pieces = regex.compile(pre[0]["pattern"]["Regex"]).findall
+            self.pieces = regex.compile(_WORDS).findall
             self.odd = regex.compile(_PLAIN).search
             self.alphabet = _byte_characters()
-            self.words: dict[str, bytes] = {}
-            self.chunks: dict[str, bytes] = {}
+            self.young: dict[str, bytes] = {}
+            self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _raw(ids) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            shown = word.encode().decode("latin-1").translate(self.alphabet)
-            got = self._raw([t.id for t in self.tok.model.tokenize(shown)])
-            if len(word) <= 64:
-                self.words[word] = got
-        return got
-
     def _chunk(self, chunk: str) -> bytes:
-        got = b"".join(map(self._word, self.pieces(chunk)))
+        got = self.young.get(chunk)
+        if got is not None:
+            return got
+        got = self.older.get(chunk)
+        if got is None:
+            words = None if chunk.isalpha() else self.pieces(chunk)
+            if words is None or words == [chunk]:
+                shown = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.alphabet)
+                got = self._raw([t.id for t in self.tok.model.tokenize(shown)])
+            else:
+                got = b"".join(map(self._chunk, words))
         if len(chunk) <= 64:
-            self.chunks[chunk] = got
+            if len(self.young) >= CACHED_PIECES:
+                self.young, self.older = {}, self.young
+            self.young[chunk] = got
         return got
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word:
-            return self._raw(self.tok.encode(text, add_special_tokens=False).ids)
-        for cache in (self.words, self.chunks):
-            if len(cache) > CACHED_PIECES:
-                cache.clear()
-        low = text.lower()
-        if self.odd(text) or any(a in low for a in self.added):
-            return self._raw(self.tok.encode(text, add_special_tokens=False).ids)
-        get, out = self.chunks.get, []
-        for chunk in low.replace("\n", " ").split(" "):
-            got = get(chunk)
-            out.append(self._chunk(chunk) if got is None else got)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.  A word that the texts hold many times is looked up once."""
+        out, plain, lows = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            low = text.lower() if self.by_word else ""
+            if not self.by_word or self.odd(text) or any(a in low for a in self.added):
+                out[i] = self._raw(self.tok.encode(text, add_special_tokens=False).ids)
+            else:
+                plain.append(i)
+                lows.append(low)
+        if not plain:
+            return out
+        split = pc.ascii_split_whitespace(pa.array(lows, pa.large_string()))
+        words = split.values.dictionary_encode()
+        known = list(map(self._chunk, words.dictionary.to_pylist()))
+        size = np.array([len(x) // 4 for x in known], np.int64)
+        start = np.cumsum(size) - size
+        word = words.indices.to_numpy()
+        count = size[word]
+        stop = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(b"".join(known), "<u4")[
+            np.arange(stop[-1]) + np.repeat(start[word] - stop[:-1], count)].tobytes()
+        at = (4 * stop[split.offsets.to_numpy()]).tolist()
+        for i, a, b in zip(plain, at, at[1:]):
+            out[i] = ids[a:b]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -150,7 +173,7 @@ def tokenize_queues(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, t
         for batch in batches:
             for rows in slices(batch, "text"):
                 queues = rows.column("queue").to_pylist()
-                ids = [enc.encode(t) + end for t in rows.column("text").to_pylist()]
+                ids = [x + end for x in enc.encode_all(rows.column("text").to_pylist())]
                 sizes, starts = [len(x) // 4 for x in ids], []
                 for q, n in zip(queues, sizes):
                     starts.append(at.get(q, 0))

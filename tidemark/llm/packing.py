@@ -133,8 +133,9 @@ class WordEncoder:
             return out
         split = pc.ascii_split_whitespace(pa.array(lows, pa.large_string()))
         words = split.values.dictionary_encode()
-        known = list(map(self._chunk, words.dictionary.to_pylist()))
-        size = np.array([len(x) // 4 for x in known], np.int64)
+        shown = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [self._chunk(w) if got is None else got for w, got in zip(shown, map(self.young.get, shown))]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
         start = np.cumsum(size) - size
         word = words.indices.to_numpy()
         count = size[word]

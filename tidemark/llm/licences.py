@@ -1,12 +1,13 @@
 """Licence scan: a trained paragraph classifier, in DataFrame functions and Spark ML.
 
-A paragraph is a line with a word.  Its features are hashed words and word pairs;
-a multinomial logistic regression with L1 (sparse weights) tells licence families
-and ``unknown`` apart.  It is trained on the template sentences below, cut and
-varied by rule, against at most ``max_unknown`` corpus paragraphs that no template
-resembles (a documented bound).  ``unknown`` is calibrated on rows kept out of the
-training: the acceptance threshold is the least probability at which at most
-``FALSE_RATE`` of the unknown rows would be accepted, and never under ``LEAST``.
+A paragraph is a line with a word.  Its features are the words and word pairs that the
+training notices have, and how many other words there are; a multinomial logistic
+regression with L1 (sparse weights) tells licence families and ``unknown`` apart.  It is
+trained on the template sentences below, cut and varied by rule, against all corpus
+paragraphs that no template resembles, together as heavy as ``UNKNOWN_ROWS`` of them.
+``unknown`` is calibrated on a quarter of these paragraphs (by hash), kept out of the
+training: the acceptance threshold is the least probability, in steps of 1 / ``STEPS``, at
+which at most ``FALSE_RATE`` of them would be accepted, and never under ``LEAST``.
 A notice may stand inside a longer line.  Every template is therefore laid against the
 stretch of the line that fits it best, and both ways: twice the word pairs they share
 over the pairs of both (a line of up to ``BLOCK`` words may instead lie inside a
@@ -18,7 +19,8 @@ are not taken for their neighbours.
 
 Scored are all paragraphs with a cue word and all others that half of their word
 pairs could confirm (the templates' pairs taken together); no template could confirm
-the rest, which are unknown whatever the classifier says and give no row.
+the rest, which are unknown whatever the classifier says and give no row.  The corpus is
+read once: the paragraphs to score and the features of the others are written.
 
 Rows: null and empty texts have no paragraphs; repeated rows give repeated rows; a
 null id is kept; an empty table gives no rows (nothing to train on: the templates
@@ -28,18 +30,21 @@ alone, and every other paragraph stays unknown).
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import text_of, written
 
-FEATURES = 1 << 14
-MAX_UNKNOWN = 2000
 UNKNOWN_WEIGHT = 0.1   # of one unknown row in training, against 1 of a template's
+UNKNOWN_ROWS = 2000    # the corpus weighs as so many unknown rows at most, however many it has
+HELD = 4               # one paragraph of so many calibrates
+OTHERS = (1, 2, 4, 8, 16, 32, 64)   # features: so many words that no training notice has
 FALSE_RATE = 0.005
+STEPS = 10_000
 LEAST = 0.5
 CONFIRM = 0.5
 BLOCK, STRIDE = 128, 64   # a line's word pairs are compared in overlapping blocks
@@ -131,20 +136,38 @@ def words(text: Column) -> Column:
 
 
 def pairs(column: str) -> Column:
-    last = F.size(column) - 2
-    return F.when(last < 0, F.array().cast("array<string>")).otherwise(F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.concat_ws(" ", F.get(column, i), F.get(column, i + 1))))
+    """Each word but the last, with the next one."""
+    return F.transform(F.slice(column, F.lit(1), F.greatest(F.size(column) - 1, F.lit(0))),
+                       lambda w, i: F.concat(w, F.lit(" "), F.get(column, i + 1)))
 
 
-def featured(rows: DataFrame) -> DataFrame:
-    """Rows with a ``paragraph``: its words, pairs and hashed features."""
-    return _terms(rows.withColumn("words", words(F.col("paragraph"))))
+def terms(words_col: str) -> Column:
+    """The training notices' words and pairs that are among a line's, and marks for the
+    number of its other words.  A pair is put together only where its first word begins one."""
+    known, known_pairs = _vocabulary()
+    own = F.filter(words_col, lambda w: w.isin(known))
+    other = F.size(words_col) - F.size(own)
+    marks = F.filter(F.array(*[F.when(other >= n, F.lit(f"+{n}")) for n in OTHERS]), lambda m: m.isNotNull())
+    return F.array_distinct(F.concat(own, pairs_among(words_col, known_pairs), marks))
+
+
+def pairs_among(words_col: str, known: list[str]) -> Column:
+    """The word pairs of a line that are ``known``, in order."""
+    firsts = sorted({p.split(" ")[0] for p in known})
+    made = F.transform(words_col, lambda w, i: F.when(w.isin(firsts), F.concat(w, F.lit(" "), F.get(words_col, i + 1))))
+    return F.filter(made, lambda p: p.isin(known))
 
 
-def _terms(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("terms", F.concat("words", pairs("words")))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="features").transform(rows)
+def vectors(rows: DataFrame) -> DataFrame:
+    """Rows with ``terms``: their features."""
+    known, known_pairs = _vocabulary()
+    model = CountVectorizerModel.from_vocabulary([*known, *known_pairs, *[f"+{n}" for n in OTHERS]], "terms", "features")
+    return model.setBinary(True).transform(rows)
+
+
+def featured(rows: DataFrame) -> DataFrame:
+    """Rows with a ``paragraph``: its words, terms and features."""
+    return vectors(rows.withColumn("words", words(F.col("paragraph"))).withColumn("terms", terms("words")))
 
 
 def lines(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
@@ -156,25 +179,44 @@ def lines(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
     return made.select(*[c for c in made.columns if c != "made"], "made.*")
 
 
-def may_count() -> Column:
+def may_count(met: str) -> Column:
     """Whether a line has a cue word or could be confirmed at all: the share of its
-    word pairs that any one template has is at most the share that all have."""
-    known = sorted({p for texts in TEMPLATES.values() for t in texts for p in _pairs_of(t)})
-    own = F.array_distinct(pairs("words"))
-    met = F.size(F.filter(own, lambda p: p.isin(known)))
-    return _any(F.lower("paragraph")) | (met >= CONFIRM * F.greatest(F.size(own), F.lit(1)))
+    word pairs that any one template has is at most the share that all have.  ``met``:
+    how many distinct ones all have.  A line has at least as many distinct pairs as
+    distinct words, less one, so most lines' pairs need not be put together."""
+    def share(n: Column) -> Column:
+        return F.col(met) >= CONFIRM * F.greatest(n, F.lit(1))
+
+    confirmed = F.when(F.col(met) == 0, False).when(~share(F.size(F.array_distinct("words")) - 1), False).otherwise(
+        share(F.size(F.array_distinct(pairs("words")))))
+    return _any(F.lower("paragraph")) | confirmed
 
 
 def _pairs_of(template: str) -> list[str]:
-    got = re.findall(r"(?:[^\W\d_]|0)+", re.sub("[0-9]+", "0", template.lower()))
+    got = _words_of(template)
     return [f"{a} {b}" for a, b in zip(got, got[1:])]
 
 
+def _words_of(text: str) -> list[str]:
+    return re.findall(r"(?:[^\W\d_]|0)+", re.sub("[0-9]+", "0", text.lower()))
+
+
+def _vocabulary() -> tuple[list[str], list[str]]:
+    """Words and word pairs of the training notices."""
+    texts = [t for _, t, _ in notices()]
+    return (sorted({w for t in texts for w in _words_of(t)}), sorted({p for t in texts for p in _pairs_of(t)}))
+
+
 def _templates() -> list[tuple[str, list[str]]]:
     """Family and distinct word pairs of every template."""
     return [(f, list(dict.fromkeys(_pairs_of(t)))) for f, ts in TEMPLATES.items() for t in ts]
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is read there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fits(words_col: str, pairs_col: str) -> Column:
     """How each template that shares a pair with the line fits it: ``sim``, where its
     best stretch starts (negative, so that the greatest is the leftmost) and ends, and the
@@ -195,9 +237,10 @@ def fits(words_col: str, pairs_col: str) -> Column:
                          lambda x: x["p"].isin(list(holds)))
         hits = F.flatten(F.transform(known, lambda x: F.transform(
             F.element_at(templates_of, x["p"]), lambda t: F.struct(t.alias("t"), x["i"].alias("i"), x["p"].alias("p")))))
-        own_pairs = F.size(F.array_distinct(part))
-        return F.transform(F.array_distinct(F.transform(hits, lambda h: h["t"])),
-                           lambda t: best(t, F.filter(hits, lambda h: h["t"] == t), own_pairs))
+        own_pairs = F.when(alone, F.size(F.array_distinct(part)))
+        return _once(F.struct(hits.alias("hits"), own_pairs.alias("own_pairs")), lambda x: F.transform(
+            F.array_distinct(F.transform(x["hits"], lambda h: h["t"])),
+            lambda t: _once(F.filter(x["hits"], lambda h: h["t"] == t), lambda own: best(t, own, x["own_pairs"]))))
 
     def best(t: Column, own: Column, own_pairs: Column) -> Column:
         size = F.element_at(sizes, t + 1)
@@ -205,36 +248,54 @@ def fits(words_col: str, pairs_col: str) -> Column:
         # a whole line that lies inside the template
         whole = F.when(alone, shared / own_pairs).otherwise(0.0)
 
-        def stretch(h: Column) -> Column:
-            inside = F.filter(own, lambda x: (x["i"] >= h["i"]) & (x["i"] < h["i"] + size + size / 2 + 1))
+        def measured(h: Column, inside: Column) -> Column:
             last = F.array_max(F.transform(inside, lambda x: x["i"]))
             both = F.size(F.array_distinct(F.transform(inside, lambda x: x["p"])))
             return F.struct((F.lit(2.0) * both / (size + last - h["i"] + 1)).alias("sim"), (-h["i"]).alias("start"),
                             last.alias("last"), t.alias("t"))
 
-        got = F.array_max(F.transform(own, stretch))
-        return F.when(whole > got["sim"], F.struct(whole.alias("sim"), F.lit(0).alias("start"), (n - 1).alias("last"),
-                                                   t.alias("t"))).otherwise(got)
+        def stretch(h: Column) -> Column:
+            inside = F.filter(own, lambda x: (x["i"] >= h["i"]) & (x["i"] < h["i"] + size + size / 2 + 1))
+            return _once(inside, lambda x: measured(h, x))
+
+        return _once(F.array_max(F.transform(own, stretch)), lambda got: F.when(
+            whole > got["sim"], F.struct(whole.alias("sim"), F.lit(0).alias("start"), (n - 1).alias("last"),
+                                         t.alias("t"))).otherwise(got))
 
     blocks = F.sequence(F.lit(0), F.greatest(F.ceil((n - BLOCK) / STRIDE), F.lit(0)).cast("int"))
     return F.flatten(F.transform(blocks, block))
 
 
+def stretch(words_col: str, best: str) -> Column:
+    """The words of the stretch that fits a template best (all where nothing fits)."""
+    start = -F.col(f"{best}.start")
+    return F.when(F.col(best).isNull(), F.col(words_col)).otherwise(
+        F.slice(words_col, start + 1, F.col(f"{best}.last") - start + 2))
+
+
 def focused(rows: DataFrame) -> DataFrame:
     """Rows with a ``paragraph``: ``fits``, and the features of the stretch that fits a
     template best (of the whole paragraph where nothing fits)."""
     rows = rows.withColumn("words", words(F.col("paragraph"))).withColumn("pairs", pairs("words"))
     rows = rows.withColumn("fits", fits("words", "pairs")).withColumn("best", F.array_max("fits"))
-    start = -F.col("best.start")
-    rows = rows.withColumn("words", F.when(F.col("best").isNull(), F.col("words")).otherwise(
-        F.slice("words", start + 1, F.col("best.last") - start + 2)))
-    return _terms(rows)
+    return vectors(rows.withColumn("words", stretch("words", "best")).withColumn("terms", terms("words")))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, line, paragraph`` of the lines that may count."""
-    rows = lines(docs, text_col, F.col(f"`{id_col}`").alias("doc_id")).filter(may_count())
-    return rows.select("doc_id", "line", "paragraph")
+    """``doc_id, line, paragraph, held, features`` of all paragraphs.  Those that may count
+    have their text and are to be scored; the others have features instead, ``held`` ones
+    those of their best stretch, as a scored line has."""
+    known = sorted({p for _, own in _templates() for p in own})
+    rows = lines(docs, text_col, F.col(f"`{id_col}`").alias("doc_id")).filter(F.size("words") > 0)
+    rows = rows.withColumn("met", F.size(F.array_distinct(pairs_among("words", known))))
+    rows = rows.withColumn("counts", may_count("met"))
+    rows = rows.withColumn("held", F.pmod(F.xxhash64("paragraph"), F.lit(HELD)) == 0)
+    rows = rows.withColumn("pairs", F.when(~F.col("counts") & F.col("held") & (F.col("met") > 0), pairs("words")))
+    rows = rows.withColumn("best", F.when(F.col("pairs").isNotNull(), F.array_max(fits("words", "pairs"))))
+    rows = rows.withColumn("words", stretch("words", "best"))
+    rows = rows.withColumn("terms", F.when(F.col("counts"), F.array().cast("array<string>")).otherwise(terms("words")))
+    return vectors(rows).select("doc_id", "line", F.when(F.col("counts"), F.col("paragraph")).alias("paragraph"),
+                                "held", "features")
 
 
 def _any(low: Column) -> Column:
@@ -244,9 +305,9 @@ def _any(low: Column) -> Column:
     return found
 
 
-def training(spark: SparkSession, docs: DataFrame, text_col: str, max_unknown: int) -> DataFrame:
-    """``family, paragraph, held``: templates with their varied forms, and corpus
-    paragraphs without any cue word as ``unknown``."""
+def notices() -> list[tuple[str, str, bool]]:
+    """Family, text and whether it is held out: templates with their varied forms, and
+    ``unknown`` sentences with cue words outside a licence."""
     rows = []
     for family, texts in TEMPLATES.items():
         for t in texts:
@@ -257,37 +318,44 @@ def training(spark: SparkSession, docs: DataFrame, text_col: str, max_unknown: i
                 forms += [" ".join(w[:i] + w[i + 1:]) for i in range(0, len(w), 3)]
                 forms += [" ".join(w[:-2]), " ".join(w[1:])]
             rows += [(family, f, i % 5 == 4) for i, f in enumerate(forms)]
-    known = spark.createDataFrame(rows, "family string, paragraph string, held boolean")
-    texts = docs.select(text_of(text_col).alias("text"))      # a few documents, by hash, give the lines
-    wide = 1 << 20
-    share = min(wide, wide * max_unknown // (2 * max(docs.count(), 1)) + 1)
-    plain = (lines(texts.filter(F.pmod(F.xxhash64("text"), F.lit(wide)) < share), "text")
-             .filter(F.col("paragraph").rlike(r"\w") & ~may_count()))
-    other = (plain.select("paragraph", F.xxhash64("paragraph").alias("h")).orderBy("h", "paragraph")
-             .limit(max_unknown))
     near = [(UNKNOWN, t, i % 4 == 0) for i, t in enumerate((   # cue words outside a licence
         "The driver was fined because the licence had expired.", "No warranty claims were made last year.",
         "They asked for permission to enter the building.", "Copyright is a chapter of this book.",
         "The song is in the public domain.", "The licence fee rose again.", "A proprietary blend of herbs.",
         "The factory redistributed the work among its staff.", "Copyright 2021 by the author.",
         "The pub lost its license to sell beer."))]
-    return known.unionAll(spark.createDataFrame(near, known.schema)).unionAll(
-        other.select(F.lit(UNKNOWN).alias("family"), "paragraph", (F.pmod("h", F.lit(4)) == 0).alias("held")))
+    return rows + near
+
+
+def threshold_of(held: DataFrame) -> float:
+    """The least ``probability``, in steps, at which at most ``FALSE_RATE`` of the rows are
+    accepted; at most ``STEPS`` + 1 counts come to the driver."""
+    counts = dict(held.groupBy(F.floor(F.col("probability") * STEPS).cast("int").alias("step")).count().collect())
+    allowed, accepted = FALSE_RATE * sum(counts.values()), 0
+    for step in range(STEPS, round(LEAST * STEPS) - 1, -1):
+        accepted += counts.get(step, 0)
+        if accepted > allowed:
+            return (step + 1) / STEPS
+    return LEAST
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         max_unknown: int = MAX_UNKNOWN) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph with a cue word or enough template pairs: ``doc_id, line,
     family`` (``unknown`` unless the prediction is likely enough and confirmed), ``predicted, probability,
     similarity``."""
     spark = docs.sparkSession
     classes = [*TEMPLATES, UNKNOWN]
     number = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    rows = written(training(spark, docs, text_col, max_unknown), "licence-training")
-    rows = featured(rows.withColumn("label", number[F.col("family")]).withColumn(
-        "weight", F.when(F.col("family") == UNKNOWN, UNKNOWN_WEIGHT).otherwise(1.0)))
+    corpus = written(paragraphs(docs, id_col, text_col), "licence-paragraphs")
+    plain = corpus.filter(F.col("paragraph").isNull())
+    fitted = plain.filter(~F.col("held"))
+    each = UNKNOWN_WEIGHT * min(1.0, UNKNOWN_ROWS / max(fitted.count(), 1))
+    known = featured(spark.createDataFrame(notices(), "family string, paragraph string, held boolean").coalesce(1))
+    rows = known.filter(~F.col("held")).select(
+        number[F.col("family")].alias("label"), F.when(F.col("family") == UNKNOWN, UNKNOWN_WEIGHT).otherwise(1.0).alias("weight"),
+        "features").unionAll(fitted.select(F.lit(float(len(TEMPLATES))), F.lit(each), "features"))
     model = LogisticRegression(regParam=0.0005, elasticNetParam=0.8, maxIter=40, standardization=False,
-                               weightCol="weight").fit(rows.filter(~F.col("held")).coalesce(1))
+                               weightCol="weight").fit(rows)
 
     def predicted(df: DataFrame) -> DataFrame:
         probable = vector_to_array("probability")
@@ -296,15 +364,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .withColumn("predicted", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("at").cast("int")))
                 .withColumn("probability", F.array_max(F.slice("p", 1, len(TEMPLATES)))))
 
-    held = predicted(focused(rows.filter(F.col("held") & (F.col("family") == UNKNOWN)).select("paragraph")))
-    threshold = held.agg(F.percentile("probability", 1 - FALSE_RATE)).first()[0] or 0.0
-    threshold = max(LEAST, threshold)
+    near = focused(known.filter(F.col("held") & (F.col("family") == UNKNOWN)).select("paragraph")).select("features")
+    threshold = threshold_of(predicted(near.unionAll(plain.filter("held").select("features"))))
 
     family_of = F.array(*[F.lit(f) for f, _ in _templates()])
     own = F.filter("fits", lambda x: F.element_at(family_of, x["t"] + 1) == F.col("predicted"))
     similarity = F.coalesce(F.array_max(F.transform(own, lambda x: x["sim"])), F.lit(0.0))
     closest = F.coalesce(F.col("best.sim"), F.lit(0.0))
-    got = predicted(focused(paragraphs(docs, id_col, text_col))).withColumn("similarity", similarity)
+    scored = corpus.filter(F.col("paragraph").isNotNull()).select("doc_id", "line", "paragraph")
+    got = predicted(focused(scored)).withColumn("similarity", similarity)
     sure = (F.col("probability") >= threshold) & (F.col("similarity") >= CONFIRM) & (F.col("similarity") >= closest)
     return got.select("doc_id", F.col("line").cast("long").alias("line"),
                       F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"),

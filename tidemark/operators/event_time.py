@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType, TimestampType
 
 from ..spec import EventTimeSpec
+from .interval_state import BUCKETS, can_keep_by_bucket, join_by_bucket
 
 _SALT = "tidemark_salt"
 
@@ -71,7 +72,7 @@ def dedup(df: DataFrame, ids: Sequence[str]) -> DataFrame:
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], left_time: str, right_time: str,
-                  lower: str, upper: str, *, how: str = "inner", salts: int = 1) -> DataFrame:
+                  lower: str, upper: str, *, how: str = "inner", salts: int = 1, buckets: int = BUCKETS) -> DataFrame:
     """Rows of two streams (each with a watermark) with equal keys whose times lie
     within ``left + lower <= right <= left + upper`` (SQL intervals without the word,
     such as ``-1 hour``).  ``how``: ``inner``, or ``left_outer``, where a left row
@@ -79,21 +80,27 @@ def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], left
 
     ``on`` maps left to right columns; no column name may be on both sides.
     ``salts`` cuts each key's state into that many parts: a left row goes to one, by
-    its content, and a right row to each, so no pair is lost or doubled.
+    its content, and a right row to each, so no pair is lost or doubled.  The state of
+    two streams is kept in ``buckets`` of keys (see ``interval_state``), a number to which
+    their checkpoint is bound; a join that does not fit it is left to Spark's own state.
     """
     if how not in ("inner", "left_outer"):
         raise ValueError(f"how must be inner or left_outer: {how!r}")
     both = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if both:
         raise ValueError(f"columns on both sides of the join: {sorted(both)}")
-    match = ((_col(right_time) >= _col(left_time) + F.expr(f"INTERVAL {lower}"))
-             & (_col(right_time) <= _col(left_time) + F.expr(f"INTERVAL {upper}")))
-    for a, b in on.items():
-        match = match & (_col(a) == _col(b))
+    pairs = list(on.items())
     if salts > 1:
         left = left.withColumn(_SALT, F.pmod(F.xxhash64(*[_col(c) for c in left.columns]), F.lit(salts)).cast("int"))
         right = right.withColumn(_SALT + "_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        match = match & (F.col(_SALT) == F.col(_SALT + "_r"))
+        pairs.append((_SALT, _SALT + "_r"))
+    if can_keep_by_bucket(left, right, pairs, left_time, right_time, lower, upper):
+        out = join_by_bucket(left, right, pairs, left_time, right_time, lower, upper, how, buckets)
+        return out.drop(_SALT, _SALT + "_r")
+    match = ((_col(right_time) >= _col(left_time) + F.expr(f"INTERVAL {lower}"))
+             & (_col(right_time) <= _col(left_time) + F.expr(f"INTERVAL {upper}")))
+    for a, b in pairs:
+        match = match & (_col(a) == _col(b))
     out = left.join(right, match, how)
     return out.drop(_SALT, _SALT + "_r")
 

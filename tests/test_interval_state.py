@@ -30,7 +30,7 @@ def put(folder, number, names, rows):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{number:03d}.json", "w") as f:
         for row in rows:
-            after = dict(zip(names, [*row[:-1], (T0 + timedelta(minutes=row[-1])).isoformat()]))
+            after = dict(zip(names, [*row[:-1], (T0 + timedelta(minutes=row[-1])).isoformat() + "Z"]))
             f.write(json.dumps({"before": None, "after": after, "op": "c"}) + "\n")
 
 
@@ -39,10 +39,10 @@ def sides(spark, tmp):
             for name, schema in (("l", LEFT), ("r", RIGHT))]
 
 
-def run(spark, tmp, sets, on, **kw):
+def run(spark, tmp, sets, on, first=0, **kw):
     """A restart after every set of (left rows, right rows); the pairs, and the rows of state seen."""
     seen = []
-    for number, (left, right) in enumerate(sets):
+    for number, (left, right) in enumerate(sets, first):
         put(f"{tmp}/l", number, [n for n, _ in LEFT], left)
         put(f"{tmp}/r", number, [n for n, _ in RIGHT], right)
         q = (interval_join(*sides(spark, tmp), on, "lt", "rt", "-5 minutes", "10 minutes", **kw).writeStream.format("parquet")
@@ -86,6 +86,18 @@ def test_late_rows_are_dropped_and_a_time_far_ahead_is_taken(spark, tmp_path):
     assert got == sorted([(1, None), (2, 7), (3, 8), (3, 10), (5, 8), (5, 10), (6, 11), (12, 13)], key=str)
 
 
+def test_a_restart_in_another_time_zone(spark, tmp_path):
+    sets = [([(1, 1, "a", 0), (2, 2, "b", 0)], [(7, 2, "b", 2)])], [([(3, 2, "c", 5)], [(8, 1, "a", 9)]), ([(9, 9, "x", FAR)], [(9, 8, "x", FAR)])]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        run(spark, str(tmp_path), sets[0], {"k": "rk"}, how="left_outer", buckets=2)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got, _ = run(spark, str(tmp_path), sets[1], {"k": "rk"}, 1, how="left_outer", buckets=2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [(1, 8), (2, 7), (3, 7)]
+
+
 def test_what_does_not_fit_is_left_to_sparks_own_state(spark, tmp_path):
     for name in ("l", "r"):
         os.makedirs(f"{tmp_path}/{name}")

@@ -83,9 +83,10 @@ def can_keep_by_bucket(left: DataFrame, right: DataFrame, on: Sequence[tuple[str
             and _micros(left, lower) is not None and _micros(left, upper) is not None)
 
 
-def _packer(time: str, is_left: bool, rows: int):
-    """The task's function: rows to one block a bucket.  It is made here, like the others,
-    so that workers need not import this package."""
+def _packer(time: str, is_left: bool, rows: int, schema):
+    """The task's function: rows to one block a bucket, in the columns of ``schema`` (Arrow's),
+    whatever zone the session shows times in.  It is made here, like the others, so that
+    workers need not import this package."""
     def pack(batches):
         import numpy as np
         import pyarrow as pa
@@ -102,7 +103,7 @@ def _packer(time: str, is_left: bool, rows: int):
             bucket = table.column("tidemark_bucket").to_numpy()
             order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
-            table = table.drop_columns(["tidemark_bucket"]).take(pa.array(order)).combine_chunks()
+            table = table.drop_columns(["tidemark_bucket"]).cast(schema).take(pa.array(order)).combine_chunks()
             at = table.column(time).cast(pa.int64()).to_numpy()
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             data = []
@@ -282,7 +283,8 @@ def join_by_bucket(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, st
         schema = StructType([StructField("bucket", IntegerType()), StructField("is_left", BooleanType()),
                              StructField("at", TimestampType(), True, frame.schema[time].metadata),
                              StructField("block", BinaryType())])
-        packed.append(rows.select(bucket.alias(_BUCKET), "*").mapInArrow(_packer(time, not place, _PACK_ROWS), schema))
+        packed.append(rows.select(bucket.alias(_BUCKET), "*").mapInArrow(
+            _packer(time, not place, _PACK_ROWS, to_arrow_schema(rows.schema)), schema))
     joined = packed[0].unionAll(packed[1]).groupBy("bucket").applyInPandasWithState(
         _joiner(left_time, right_time, _micros(left, lower), _micros(left, upper), how == "left_outer", _OUT_ROWS),
         outputStructType="block binary", stateStructType=_STATE, outputMode="append", timeoutConf="EventTimeTimeout")

@@ -1,16 +1,21 @@
 """The state of a stream-stream interval join is kept by bucket, with the rows of Spark's own join."""
 
+import glob
 import json
 import os
 import random
+import tempfile
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 
+from conftest import SF_SMALL
 from tidemark.operators.event_time import interval_join, with_watermark
 from tidemark.operators.interval_state import can_keep_by_bucket
 from tidemark.operators.parse import parse_changes
-from tidemark.session import STATE_STORE, use_rocksdb
+from tidemark.registry import stateful
+from tidemark.session import ONE_COPY, SHUFFLE_CLEANUP, STATE_STORE, use_rocksdb
 
 T0 = datetime(2024, 5, 1)
 LEFT = [("l", "long"), ("k", "long"), ("n", "string"), ("lt", "timestamp")]
@@ -107,3 +112,60 @@ def test_what_does_not_fit_is_left_to_sparks_own_state(spark, tmp_path):
     assert not fits(left, right, [("k", "rn")]) and not fits(left, right, [("k", "rk")], "1 month")
     still = spark.createDataFrame([], "r long, rk long, rn string, rt timestamp")
     assert not fits(left, still, [("k", "rk")])
+
+
+def held(spark, checkpoint):
+    """The blocks of the state as Arrow tables: left ones, right ones."""
+    rows = spark.read.format("statestore").load(checkpoint).select("value.groupState.*").collect()
+    return [[pa.ipc.open_stream(bytes(r[side])).read_all() for r in rows if r[side] is not None] for side in ("left", "right")]
+
+
+def test_state_holds_the_rows_own_columns_in_the_order_of_their_key(spark, tmp_path):
+    """A left row once, a right row once a salt, in blocks without a key or salt beside them."""
+    rnd = random.Random(3)
+    rows = lambda: [(i, rnd.randrange(40), "a", 5) for i in range(300)]
+    left, right = rows(), rows()
+    got, _ = run(spark, str(tmp_path), [(left, right)], {"k": "rk"}, how="inner", salts=3, buckets=8)
+    assert got == sorted(((x[0], y[0]) for x in left for y in right if x[1] == y[1]), key=str)
+    for tables, columns, key, copies in zip(held(spark, f"{tmp_path}/cp"), (LEFT, RIGHT), ("k", "rk"), (1, 3)):
+        assert {c for t in tables for c in t.column_names} - {"tidemark_matched"} == {n for n, _ in columns}
+        assert sum(t.num_rows for t in tables) == 300 * copies
+        assert all(t.column(key).to_pylist() == sorted(t.column(key).to_pylist()) for t in tables)
+
+
+def test_more_salts_than_buckets_and_keys_of_two_widths(spark, tmp_path):
+    rnd = random.Random(5)
+    sets = [([(100 * n + i, rnd.choice([None, *range(4)]), "a", 10 * n + rnd.randrange(20)) for i in range(40)],
+             [(100 * n + i, rnd.choice([None, *range(4)]), "a", 10 * n + rnd.randrange(20)) for i in range(40)]) for n in range(2)]
+    left, right = [r for s in sets for r in s[0]], [r for s in sets for r in s[1]]
+    sets.append(([(999, None, None, FAR)], [(999, None, None, FAR)]))
+    want = [(x[0], y[0]) for x in left for y in right if x[1] is not None and x[1] == y[1] and -5 <= y[-1] - x[-1] <= 10]
+    want += [(x[0], None) for x in left if x[0] not in {a for a, _ in want}]
+    before = list(RIGHT)
+    try:
+        RIGHT[1] = ("rk", "int")
+        for number, (some, others) in enumerate(sets):
+            put(f"{tmp_path}/l", number, [n for n, _ in LEFT], some)
+            put(f"{tmp_path}/r", number, [n for n, _ in RIGHT], others)
+            (interval_join(*sides(spark, tmp_path), {"k": "rk"}, "lt", "rt", "-5 minutes", "10 minutes", how="left_outer", salts=9, buckets=4)
+             .writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{tmp_path}/cp")
+             .trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination())
+    finally:
+        RIGHT[:] = before
+    assert sorted(((r.l, r.r) for r in spark.read.parquet(f"{tmp_path}/out").collect()), key=str) == sorted(want, key=str)
+
+
+def test_the_query_leaves_one_copy_of_what_it_keeps(spark, tmp_path, monkeypatch):
+    """Feeds are compressed, and old versions of the state do not stay in the checkpoint."""
+    work = f"{tmp_path}/work"
+    monkeypatch.setattr(stateful, "_workdir", lambda *_: work)
+    local = lambda: set(glob.glob(f"{tempfile.gettempdir()}/spark-*/**/StateStoreId*", recursive=True))
+    names = [*ONE_COPY, *SHUFFLE_CLEANUP]
+    before, at_first = {k: spark.conf.get(k, None) for k in names}, local()
+    assert stateful.stream_interval_join(spark, SF_SMALL).count() > 0
+    assert {k: spark.conf.get(k, None) for k in names} == before
+    plain = [n for side in ("orders", "lines") for n in glob.glob(f"{work}/{side}/*.txt")]
+    assert sum(len(open(n).readlines()) for n in plain) == 2        # the heartbeats
+    stores = glob.glob(f"{work}/checkpoint/state/0/[0-9]*")
+    assert stores and all(len(glob.glob(f"{s}/*.zip")) <= 2 for s in stores)
+    assert local() <= at_first

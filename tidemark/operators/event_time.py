@@ -81,8 +81,9 @@ def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], left
     ``on`` maps left to right columns; no column name may be on both sides.
     ``salts`` cuts each key's state into that many parts: a left row goes to one, by
     its content, and a right row to each, so no pair is lost or doubled.  The state of
-    two streams is kept in ``buckets`` of keys (see ``interval_state``), a number to which
-    their checkpoint is bound; a join that does not fit it is left to Spark's own state.
+    two streams is kept in ``buckets`` of keys and salts (see ``interval_state``; more salts
+    than buckets are not made), numbers to which their checkpoint is bound; a join that
+    does not fit it is left to Spark's own state.
     """
     if how not in ("inner", "left_outer"):
         raise ValueError(f"how must be inner or left_outer: {how!r}")
@@ -90,13 +91,12 @@ def interval_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], left
     if both:
         raise ValueError(f"columns on both sides of the join: {sorted(both)}")
     pairs = list(on.items())
+    if can_keep_by_bucket(left, right, pairs, left_time, right_time, lower, upper):
+        return join_by_bucket(left, right, pairs, left_time, right_time, lower, upper, how, salts, buckets)
     if salts > 1:
         left = left.withColumn(_SALT, F.pmod(F.xxhash64(*[_col(c) for c in left.columns]), F.lit(salts)).cast("int"))
         right = right.withColumn(_SALT + "_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         pairs.append((_SALT, _SALT + "_r"))
-    if can_keep_by_bucket(left, right, pairs, left_time, right_time, lower, upper):
-        out = join_by_bucket(left, right, pairs, left_time, right_time, lower, upper, how, buckets)
-        return out.drop(_SALT, _SALT + "_r")
     match = ((_col(right_time) >= _col(left_time) + F.expr(f"INTERVAL {lower}"))
              & (_col(right_time) <= _col(left_time) + F.expr(f"INTERVAL {upper}")))
     for a, b in pairs:

@@ -12,7 +12,11 @@ sides) says that none can come; a row is let go when no later row can pair with
 row at or behind the watermark by which its bucket was last cleared is late and dropped.
 
 A batch reads and writes the buckets that it touches whole, and a bucket's waiting rows
-are in one task's memory at a time: ``buckets`` is for these, ``salts`` for a hot key.
+are in one task's memory at a time: ``buckets`` is for these, ``salts`` for a hot key.  A
+bucket has rows of one salt only; a right row is packed once, and its block goes to the
+bucket of every salt.  Blocks that are shuffled or kept are ordered by a whole-number key
+and compressed, and have the rows' own columns: a join's state is a copy of all rows that
+wait, on the executor's disk and in the checkpoint.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ _PACK_ROWS = 1_000_000      # rows that a task packs at once
 _OUT_ROWS = 100_000         # rows of a result block
 _WATERMARK = "spark.watermarkDelayMs"       # in the metadata of a column with a watermark
 _BUCKET, _KEY = "tidemark_bucket", "tidemark_key"
-_STATE = "left binary, right binary, cleared long"
+_STATE = "cleared long, left binary, right binary"
 _PLAIN = (IntegralType, FractionalType, StringType, BinaryType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
@@ -83,25 +87,29 @@ def can_keep_by_bucket(left: DataFrame, right: DataFrame, on: Sequence[tuple[str
             and _micros(left, lower) is not None and _micros(left, upper) is not None)
 
 
-def _packer(time: str, is_left: bool, rows: int, schema):
+def _packer(time: str, key: str, ordered: bool, is_left: bool, copies: int, rows: int, schema):
     """The task's function: rows to one block a bucket, in the columns of ``schema`` (Arrow's),
-    whatever zone the session shows times in.  It is made here, like the others, so that
-    workers need not import this package."""
+    whatever zone the session shows times in; ``ordered`` by the key, if it is a whole number.
+    With ``copies`` a block goes to so many buckets in a row.  It is made here, like the
+    others, so that workers need not import this package."""
     def pack(batches):
         import numpy as np
         import pyarrow as pa
 
-        options = pa.ipc.IpcWriteOptions(compression="lz4")
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
         last = np.datetime64("2262-01-01").astype("datetime64[us]").astype("int64")      # of what pandas can hold
 
         def blocks(held):
             table = pa.Table.from_batches(held)
             if not is_left:
-                table = table.filter(table.column("tidemark_key").is_valid())
+                table = table.filter(table.column(key).is_valid())
                 if not table.num_rows:
                     return
             bucket = table.column("tidemark_bucket").to_numpy()
-            order = np.argsort(bucket, kind="stable")
+            if ordered:
+                order = np.lexsort((table.column(key).cast(pa.int64()).fill_null(0).to_numpy(), bucket))
+            else:
+                order = np.argsort(bucket, kind="stable")
             bucket = bucket[order]
             table = table.drop_columns(["tidemark_bucket"]).cast(schema).take(pa.array(order)).combine_chunks()
             at = table.column(time).cast(pa.int64()).to_numpy()
@@ -116,9 +124,11 @@ def _packer(time: str, is_left: bool, rows: int, schema):
             latest = pa.array(latest, pa.int64(), mask=np.abs(latest) > last).cast(pa.timestamp("us", "UTC"))
             for a in range(0, len(data), 64):
                 part = slice(a, a + 64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[starts[part]], pa.int32()), pa.array([is_left] * len(data[part]), pa.bool_()),
-                     latest[part], pa.array([d.to_pybytes() for d in data[part]], pa.binary())], ["bucket", "is_left", "at", "block"])
+                packed = pa.array([d.to_pybytes() for d in data[part]], pa.binary())
+                for copy in range(copies):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket[starts[part]] + copy, pa.int32()), pa.array([is_left] * len(packed), pa.bool_()),
+                         latest[part], packed], ["bucket", "is_left", "at", "block"])
 
         held, n = [], 0
         for batch in batches:
@@ -134,26 +144,34 @@ def _packer(time: str, is_left: bool, rows: int, schema):
     return pack
 
 
-def _joiner(left_time: str, right_time: str, lower: int, upper: int, outer: bool, out_rows: int):
-    """The task's function: a bucket's new rows against its waiting ones."""
+def _joiner(left_time: str, right_time: str, left_key: str, right_key: str, extra: Sequence[str], ordered: bool,
+            lower: int, upper: int, outer: bool, out_rows: int):
+    """The task's function: a bucket's new rows against its waiting ones.  ``extra`` are
+    the columns of a block that are not the rows' own."""
     def join(_, frames, state):
         import numpy as np
         import pandas as pd
         import pyarrow as pa
 
-        options = pa.ipc.IpcWriteOptions(compression="lz4")
-
         def read(block):
             return pa.ipc.open_stream(block).read_all()
 
-        def write(table):
-            if table is None:
-                return None
+        def write(table, compression):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=compression)) as writer:
                 writer.write_table(table.combine_chunks())
             return sink.getvalue().to_pybytes()
 
+        def keep(table, key):
+            if table is None:
+                return None
+            if ordered:
+                table = table.take(pa.array(np.argsort(whole(table.column(key)).fill_null(0).to_numpy(), kind="stable")))
+            return write(table, "zstd")
+
+        def whole(column):
+            return column.cast(pa.int64()).combine_chunks() if ordered else column.combine_chunks()
+
         def times(table, column):
             return table.column(column).cast(pa.int64()).to_numpy()
 
@@ -163,9 +181,9 @@ def _joiner(left_time: str, right_time: str, lower: int, upper: int, outer: bool
         def pairs(left, right):
             """Row numbers of all pairs, in pieces: right rows are ordered by key and time, so that
             a left row's partners are a run among them."""
-            keys, known = left.column("tidemark_key").combine_chunks(), right.column("tidemark_key").combine_chunks()
+            keys, known = whole(left.column(left_key)), whole(right.column(right_key))
             has_key = keys.is_valid().to_numpy(zero_copy_only=False)
-            if pa.types.is_integer(keys.type):
+            if ordered:
                 keys, known = keys.fill_null(0).to_numpy(), known.to_numpy()
             else:
                 codes = pa.chunked_array([keys.fill_null(""), known]).combine_chunks().dictionary_encode().indices.to_numpy()
@@ -193,12 +211,12 @@ def _joiner(left_time: str, right_time: str, lower: int, upper: int, outer: bool
                 start = stop
 
         def emit(left, right):
-            columns = {**{f"l{i}": c for i, c in enumerate(left.drop_columns(["tidemark_key", "tidemark_matched"]).columns)},
-                       **({} if right is None else {f"r{i}": c for i, c in enumerate(right.drop_columns(["tidemark_key"]).columns)})}
-            return pd.DataFrame({"block": [write(pa.table(columns))]})
+            columns = {**{f"l{i}": c for i, c in enumerate(left.drop_columns([*extra, "tidemark_matched"]).columns)},
+                       **({} if right is None else {f"r{i}": c for i, c in enumerate(right.drop_columns(extra).columns)})}
+            return pd.DataFrame({"block": [write(pa.table(columns), "lz4")]})
 
         limit = state.getCurrentWatermarkMs()
-        old_left, old_right, cleared = state.get if state.exists else (None, None, None)
+        cleared, old_left, old_right = state.get if state.exists else (None, None, None)
         old_left, old_right = (None if b is None else read(bytes(b)) for b in (old_left, old_right))
         new = {True: None, False: None}
         for frame in frames:
@@ -246,7 +264,7 @@ def _joiner(left_time: str, right_time: str, lower: int, upper: int, outer: bool
             right = right.filter(pa.array(stay)) if stay.any() else None
             if right is not None:
                 due.append(np.partition(ends[stay], stay.sum() // 2)[stay.sum() // 2])
-        state.update((write(left), write(right), int(limit)))
+        state.update((int(limit), keep(left, left_key), keep(right, right_key)))
         if due:         # fires when the watermark is past the timeout
             state.setTimeoutTimestamp(max(-(-int(min(due)) // 1000) - 1, int(limit), 1))
 
@@ -269,24 +287,28 @@ def _unpacker(schema):
 
 
 def join_by_bucket(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_time: str, right_time: str,
-                   lower: str, upper: str, how: str, buckets: int = BUCKETS) -> DataFrame:
+                   lower: str, upper: str, how: str, salts: int = 1, buckets: int = BUCKETS) -> DataFrame:
     """The join of ``interval_join`` on two streams (see ``can_keep_by_bucket``)."""
+    salts = max(1, min(salts, buckets))
+    whole = len(on) == 1 and isinstance(left.schema[on[0][0]].dataType, IntegralType)
+    keys, extra = (on[0], []) if whole else ((_KEY, _KEY), [_KEY])      # a whole number is its own key
     packed = []
     for frame, place, time in ((left, 0, left_time), (right, 1, right_time)):
-        names = [pair[place] for pair in on]
+        names, columns = [pair[place] for pair in on], [_col(c) for c in frame.columns]
         key = _key(frame, names, [frame.schema[n].dataType for n in names])
-        rows = frame.select(key.alias(_KEY), *[_col(c) for c in frame.columns])
         # a row without a key has no partner: a left one waits in any bucket, a right one only moves the watermark
-        bucket = F.pmod(F.coalesce(F.when(_col(_KEY).isNotNull(), F.xxhash64(_KEY)), F.xxhash64(*[_col(c) for c in frame.columns])),
-                        F.lit(buckets)).cast("int")
-        rows = rows.filter(_col(time).isNotNull())
+        bucket = F.pmod(F.coalesce(F.when(key.isNotNull(), F.xxhash64(key)), F.xxhash64(*columns)), F.lit(buckets // salts)) * salts
+        if salts > 1 and not place:     # a left row goes to one of its key's buckets, a right row to all
+            bucket = bucket + F.pmod(F.xxhash64(*columns), F.lit(salts))
+        rows = frame.select(*([] if whole else [key.alias(_KEY)]), *columns)
         schema = StructType([StructField("bucket", IntegerType()), StructField("is_left", BooleanType()),
                              StructField("at", TimestampType(), True, frame.schema[time].metadata),
                              StructField("block", BinaryType())])
-        packed.append(rows.select(bucket.alias(_BUCKET), "*").mapInArrow(
-            _packer(time, not place, _PACK_ROWS, to_arrow_schema(rows.schema)), schema))
+        dealt = frame.filter(_col(time).isNotNull()).select(bucket.cast("int").alias(_BUCKET), *([] if whole else [key.alias(_KEY)]), *columns)
+        packed.append(dealt.mapInArrow(
+            _packer(time, keys[place], whole, not place, salts if place else 1, _PACK_ROWS, to_arrow_schema(rows.schema)), schema))
     joined = packed[0].unionAll(packed[1]).groupBy("bucket").applyInPandasWithState(
-        _joiner(left_time, right_time, _micros(left, lower), _micros(left, upper), how == "left_outer", _OUT_ROWS),
+        _joiner(left_time, right_time, *keys, extra, whole, _micros(left, lower), _micros(left, upper), how == "left_outer", _OUT_ROWS),
         outputStructType="block binary", stateStructType=_STATE, outputMode="append", timeoutConf="EventTimeTimeout")
     out = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in [*left.schema.fields, *right.schema.fields]])
     return joined.mapInArrow(_unpacker(to_arrow_schema(out)), out)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.event_time import interval_join, with_watermark
 from ..operators.parse import parse_changes
 from ..operators.sketches import KLL_K, LG_K, estimates, hll_error, kll_error, merge_sketches
-from ..session import prepare_session, uncounted_state, use_rocksdb
+from ..session import ONE_COPY, SHUFFLE_CLEANUP, prepare_session, settings, uncounted_state, use_rocksdb
 from ..sinks.current import read_current
 from ..sinks.evolve import read_evolved
 from ..sources.change_stream import read_change_stream
@@ -226,7 +226,7 @@ def _join_once(spark, work: str, how: str, salts: int) -> None:
 
     joined = interval_join(side("orders", ORDER_SIDE, "o_orderdate"), side("lines", LINE_SIDE, "l_shipdate"),
                            {"o_orderkey": "l_orderkey"}, "o_orderdate", "l_shipdate", "0 days", UPPER, how=how, salts=salts)
-    with uncounted_state(spark):
+    with uncounted_state(spark), settings(spark, {**ONE_COPY, **SHUFFLE_CLEANUP}):
         q = (joined.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{work}/checkpoint")
              .trigger(availableNow=True).start(f"{work}/out"))
     q.awaitTermination()
@@ -245,7 +245,8 @@ def _interval(spark, sf, how: str, salts: int = 1) -> DataFrame:
                                             (lines, "l_shipdate", "l_orderkey", "lines", {"l_orderkey": "-2", "l_shipdate": FAR})):
             half = df.filter((F.col(column) < cut) if first else (F.col(column) >= cut))
             feed = change_feed(half, key=key, table=name, ts_col=column, ops=("c",)).select("value")
-            feed.write.mode("append").text(f"{work}/{name}")
+            with settings(spark, SHUFFLE_CLEANUP):      # records as text are ten times the table: compressed
+                feed.write.mode("append").option("compression", "gzip").text(f"{work}/{name}")
         _join_once(spark, work, how, salts)
     for name, beat in (("orders", {"o_orderkey": "-1", "o_orderdate": FAR}), ("lines", {"l_orderkey": "-2", "l_shipdate": FAR})):
         heartbeat(spark, beat).write.mode("append").text(f"{work}/{name}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -24,6 +25,17 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 HEAP_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+# A state of the size of its input lies on disk once and as the last two batches left it:
+# compacted before it is checkpointed, old versions deleted and the local copy let go as
+# soon as a task is done with it, not minutes later by a background thread.
+ONE_COPY = {
+    "spark.sql.streaming.stateStore.rocksdb.compactOnCommit": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+    "spark.sql.streaming.ratioExtraSpaceAllowedInCheckpoint": "0",
+}
+# A query's shuffle files go when it ends, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def prepare_session(spark: SparkSession, spec: JobSpec | None = None) -> None:
@@ -60,15 +72,22 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 @contextmanager
-def uncounted_state(spark: SparkSession):
-    """Queries started inside do not count their state's rows (``numRowsTotal``): the count
-    costs a lookup for every row that is put or removed."""
-    before = spark.conf.get(STATE_ROWS, None)
-    spark.conf.set(STATE_ROWS, "false")
+def settings(spark: SparkSession, values: Mapping[str, str]):
+    """The session's settings for what is started inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(STATE_ROWS, before) if before is not None else spark.conf.unset(STATE_ROWS)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def uncounted_state(spark: SparkSession):
+    """Queries started inside do not count their state's rows (``numRowsTotal``): the count
+    costs a lookup for every row that is put or removed."""
+    return settings(spark, {STATE_ROWS: "false"})
 
 
 def checkpoint_setting(spark: SparkSession) -> str | None:
